@@ -71,7 +71,7 @@ def compare(spark, name, fn, sql, sf_dir, con):
     detail = {}
     if not ok:
         detail["names"] = (s_names, d_names) if s_names != d_names else None
-        detail["rows"] = (len(s_vals), len(d_vals))
+        detail["row_counts"] = (len(s_vals), len(d_vals))
         sd = sorted(set(s_vals) - set(d_vals))[:3]
         dd = sorted(set(d_vals) - set(s_vals))[:3]
         detail["spark_only"] = sd
