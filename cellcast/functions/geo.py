@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.fixed_values import ALBERS
@@ -60,24 +60,38 @@ def albers_xy(lon: Column, lat: Column) -> tuple[Column, Column]:
     return x, y
 
 
-def albers_lonlat(x: Column, y: Column, iterations: int = 6) -> tuple[Column, Column]:
-    """F14 inverse: metres -> degrees; latitude by a fixed number of Newton steps."""
-    dx = x - F.lit(_FE)
-    dy = F.lit(_RHO0) - (y - F.lit(_FN))
+def albers_inverse(
+    df: DataFrame, x_col: str, y_col: str, lon_out: str = "lon", lat_out: str = "lat", iterations: int = 6
+) -> DataFrame:
+    """F14 inverse: metres -> degrees; latitude by a fixed number of Newton steps.
+
+    Each step is its own projection so the latitude expression is referenced,
+    not copied, by the next step (a nested expression would grow as 4^steps).
+    """
+    dx = F.col(x_col) - F.lit(_FE)
+    dy = F.lit(_RHO0) - (F.col(y_col) - F.lit(_FN))
     rho = F.sqrt(dx * dx + dy * dy)
-    theta = F.atan2(dx, dy)
-    q = (F.lit(_C) - rho * rho * F.lit(_N * _N) / F.lit(_A * _A)) / F.lit(_N)
-    phi = F.asin(q / F.lit(2.0))
+    out = df.withColumn("_theta", F.atan2(dx, dy)).withColumn(
+        "_q", (F.lit(_C) - rho * rho * F.lit(_N * _N) / F.lit(_A * _A)) / F.lit(_N)
+    )
+    out = out.withColumn("_phi", F.asin(F.col("_q") / F.lit(2.0)))
     for _ in range(iterations):
+        phi = F.col("_phi")
         s = F.sin(phi)
         one = F.lit(1.0) - F.lit(_E2) * s * s
-        phi = phi + one * one / (F.lit(2.0) * F.cos(phi)) * (
-            q / F.lit(1 - _E2)
-            - s / one
-            + F.lit(1 / (2 * _E)) * F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s))
+        out = out.withColumn(
+            "_phi",
+            phi
+            + one * one / (F.lit(2.0) * F.cos(phi))
+            * (
+                F.col("_q") / F.lit(1 - _E2)
+                - s / one
+                + F.lit(1 / (2 * _E)) * F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s))
+            ),
         )
-    lon = F.degrees(F.lit(_LAM0) + theta / F.lit(_N))
-    return lon, F.degrees(phi)
+    out = out.withColumn(lon_out, F.degrees(F.lit(_LAM0) + F.col("_theta") / F.lit(_N)))
+    out = out.withColumn(lat_out, F.degrees(F.col("_phi")))
+    return out.drop("_theta", "_q", "_phi")
 
 
 def albers_xy_py(lon: float, lat: float) -> tuple[float, float]:

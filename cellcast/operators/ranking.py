@@ -327,7 +327,9 @@ def binary_metrics(
     confusion = confusion_at_threshold(df, label_col, score_col, threshold, group_cols)
     if group_cols:
         return curve.join(confusion, list(group_cols), "inner")
-    return curve.crossJoin(confusion)  # one row x one row
+    from cellcast.operators.contracts import side_by_side
+
+    return side_by_side(curve, confusion)
 
 
 # --------------------------------------------------------------------------- #

@@ -365,7 +365,7 @@ def q_domain_checks(spark, sf_dir):
     dom = C.domain_report(
         labels, {"labels_outside_domain": ~F.col("quality").isin(0, 1) | ~F.col("toxic").isin(0, 1)}
     )
-    return inv.crossJoin(dom)  # 1 x 1
+    return C.side_by_side(inv, dom)
 
 
 # --------------------------------------------------------------------------- #

@@ -6,3 +6,4 @@ from cellcast.plans import catalog_metrics  # noqa: F401
 QUERIES = catalog.QUERIES
 ORACLE_SQL = catalog.ORACLE_SQL
 from cellcast.plans import catalog_history  # noqa: F401,E402
+from cellcast.plans import catalog_spatial  # noqa: F401,E402
