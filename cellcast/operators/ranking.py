@@ -55,6 +55,23 @@ def score_bounds(
     return sorted({float(q) for q in quantiles if q is not None and math.isfinite(q)})
 
 
+def score_bounds_many(
+    df: DataFrame,
+    score_cols: Sequence[str],
+    n_buckets: int | None = None,
+    relative_error: float = 0.001,
+) -> dict[str, list[float]]:
+    """Boundaries for several score columns from one quantile pass."""
+    n_buckets = n_buckets or default_bucket_count(df)
+    probabilities = [i / n_buckets for i in range(1, n_buckets)]
+    cast = df.select(*[F.col(c).cast("double").alias(c) for c in score_cols])
+    result = cast.approxQuantile(list(score_cols), probabilities, relative_error)
+    return {
+        c: sorted({float(q) for q in qs if q is not None and math.isfinite(q)})
+        for c, qs in zip(score_cols, result)
+    }
+
+
 def bucket_of(score: Column, bounds: Sequence[float]) -> Column:
     """Index = number of boundaries <= score, as a balanced CASE tree (depth log2 B)."""
 

@@ -10,6 +10,7 @@ from cellcast.functions.display import risk_tier
 from cellcast.operators import ranking as R
 from cellcast.operators import windows as W
 from cellcast.operators.learn import class_balance
+from cellcast.session import cut_lineage
 from cellcast.plans.catalog import (
     CELL,
     DAY,
@@ -264,9 +265,10 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
         "rank_max_3d": F.coalesce(F.col("max_previous_3d"), F.lit(0.0)),
         "rank_min_3d": F.coalesce(F.col("min_previous_3d"), F.lit(0.0)),
     }
-    out = labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()])
+    out = cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
+    bounds = R.score_bounds_many(out, [f"s_{name}" for name in BLEND_MODELS])
     for name in BLEND_MODELS:
-        out = R.average_percentile(out, [DAY], f"s_{name}", name)
+        out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"])
     return out
 
 

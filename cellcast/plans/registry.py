@@ -7,3 +7,4 @@ QUERIES = catalog.QUERIES
 ORACLE_SQL = catalog.ORACLE_SQL
 from cellcast.plans import catalog_history  # noqa: F401,E402
 from cellcast.plans import catalog_spatial  # noqa: F401,E402
+from cellcast.plans import catalog_io  # noqa: F401,E402

@@ -79,5 +79,13 @@ def checkpoint_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (never ``localCheckpoint``):
+    later jobs that reuse ``df`` start from the files, and a lost executor
+    re-reads them instead of recomputing the whole upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
