@@ -540,3 +540,43 @@ SELECT user_id, date, 1 AS fire_present, CAST(error_count AS BIGINT) AS fire_cou
 def q_positive_cell_days(spark, sf_dir):
     panel = full_panel_df(spark, sf_dir).withColumnRenamed("error_count", "fire_detection_count")
     return P.positive_cell_days(panel, CELL, DAY)
+
+
+# --------------------------------------------------------------------------- #
+# A12 / A13 -- numeric describe (exact quartiles) and monthly label stats
+# --------------------------------------------------------------------------- #
+DESCRIBE_COLS = ["o_totalprice", "o_custkey"]
+
+
+@register(
+    "numeric_describe",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std,
+       CAST(MIN({c}) AS DOUBLE) AS min, ROUND(QUANTILE_CONT({c}, 0.25), 6) AS p25, ROUND(QUANTILE_CONT({c}, 0.5), 6) AS p50,
+       ROUND(QUANTILE_CONT({c}, 0.75), 6) AS p75, CAST(MAX({c}) AS DOUBLE) AS max FROM orders"""
+        for c in DESCRIBE_COLS
+    ),
+)
+def q_numeric_describe(spark, sf_dir):
+    from cellcast.operators.profile import describe_numeric
+
+    out = describe_numeric(table(spark, sf_dir, "orders"), DESCRIBE_COLS)
+    for c in ("mean", "std", "p25", "p50", "p75"):
+        out = out.withColumn(c, F.round(c, 6))
+    return out
+
+
+@register(
+    "monthly_label_stats",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS month, COUNT(*) AS rows,
+       SUM(CAST(o_orderstatus = 'F' AS INTEGER)) AS positives,
+       ROUND(AVG(CAST(o_orderstatus = 'F' AS INTEGER)), 10) AS positive_rate
+FROM orders GROUP BY 1""",
+)
+def q_monthly_label_stats(spark, sf_dir):
+    from cellcast.operators.profile import monthly_label_stats
+
+    o = table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias(DAY), (F.col("o_orderstatus") == "F").cast("int").alias("label")
+    )
+    return monthly_label_stats(o, DAY, "label").withColumn("positive_rate", r10("positive_rate"))

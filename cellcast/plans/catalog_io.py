@@ -386,3 +386,34 @@ def q_model_backtest(spark, sf_dir):
     threshold = R.choose_threshold(R.score_levels(v, "label", "score"), "score").first()["threshold"]
     t = L.score(model, test, ["c_mktsegment"])
     return R.binary_metrics(t, "label", "score", threshold).withColumn("threshold", F.lit(float(threshold)))
+
+
+# --------------------------------------------------------------------------- #
+# P20 -- valid pins, chosen tiers, padded viewport
+# --------------------------------------------------------------------------- #
+VIEW = (36.0, -122.0, 38.0, -118.0)
+
+
+@register(
+    "viewport_pins",
+    f"""WITH {SQL_FULL.strip()},
+f AS (SELECT *, {_rows_sql(EVENT_PAST_SPECS[:1], False)} FROM panel),
+dm AS (SELECT MAX(date) AS d FROM f),
+t AS (SELECT f.user_id, CAST(32.5 AS DOUBLE) + f.user_id * CAST(0.05 AS DOUBLE) AS lat,
+             CAST(-124.0 AS DOUBLE) + f.user_id * CAST(0.07 AS DOUBLE) AS lng, COALESCE(f.total_previous_7d, 0.0) AS score
+      FROM f JOIN dm ON f.date = dm.d),
+p AS (SELECT *, (RANK() OVER (ORDER BY score) - 1 + (COUNT(*) OVER (PARTITION BY score) + 1) / 2.0) / COUNT(*) OVER () * 100 AS risk_score FROM t),
+q AS (SELECT *, CASE WHEN risk_score >= 99 THEN 'Extreme' WHEN risk_score >= 95 THEN 'High'
+                     WHEN risk_score >= 90 THEN 'Medium' ELSE 'Low' END AS risk_level FROM p)
+SELECT CAST(user_id AS VARCHAR) AS id, round_even(lat, 6) AS lat, round_even(lng, 6) AS lng, round_even(risk_score, 1) AS risk_score, risk_level
+FROM q WHERE risk_level IN ('Low', 'Medium')
+  AND lat BETWEEN {VIEW[0]} - ({VIEW[2]} - {VIEW[0]}) * 0.25 AND {VIEW[2]} + ({VIEW[2]} - {VIEW[0]}) * 0.25
+  AND lng BETWEEN {VIEW[1]} - ({VIEW[3]} - {VIEW[1]}) * 0.25 AND {VIEW[3]} + ({VIEW[3]} - {VIEW[1]}) * 0.25""",
+)
+def q_viewport_pins(spark, sf_dir):
+    from cellcast.operators.spatial import viewport_filter
+
+    feats, _ = _publish_features(spark, sf_dir)
+    pins = publish_locations(feats, PUBLISH_THRESHOLD, CELL).select("id", "lat", "lng", "risk_score", "risk_level")
+    south, west, north, east = VIEW
+    return viewport_filter(pins, south, west, north, east, 0.25, ["Low", "Medium"])
