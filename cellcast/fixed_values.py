@@ -41,6 +41,18 @@ INCLUSIVE_WINDOW_SPECS = [
     (3, "humidity_min", "min", 1, "humidity_min_3d"),
 ]
 
+# Feed variable names -> model column names.
+WEATHER_API_RENAMES = {
+    "time": "date",
+    "temperature_2m_max": "temperature_max",
+    "temperature_2m_min": "temperature_min",
+    "relative_humidity_2m_mean": "humidity_mean",
+    "relative_humidity_2m_min": "humidity_min",
+    "precipitation_sum": "precipitation_total",
+    "wind_speed_10m_max": "wind_speed_max",
+    "wind_direction_10m_dominant": "wind_direction_dominant",
+}
+
 # --- fixed values: publishing ------------------------------------------------
 RISK_TIERS = [(99.0, "Extreme"), (95.0, "High"), (90.0, "Medium")]
 RISK_TIER_DEFAULT = "Low"

@@ -140,8 +140,8 @@ def ordinal_rank(
 
     Equals ``rank(method="first")`` on input ordered by the tie columns.
     """
-    b = _bucketed(df, score_col, bounds).withColumn("_one", F.lit(1))
-    offsets = bucket_offsets(b, group_cols, ["_one"], descending)
+    b = _bucketed(df, score_col, bounds)
+    offsets = bucket_offsets(b.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending)
     joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
     score_order = F.col(score_col).desc() if descending else F.col(score_col).asc()
     local = Window.partitionBy(*group_cols, _BUCKET).orderBy(
@@ -150,7 +150,7 @@ def ordinal_rank(
     out = joined.withColumn(output_col, (F.col("_off__one") + F.row_number().over(local)).cast("long"))
     if size_col:
         out = out.withColumn(size_col, F.col("_all__one").cast("long"))
-    return out.drop(_BUCKET, "_one", "_off__one", "_all__one")
+    return out.drop(_BUCKET, "_off__one", "_all__one")
 
 
 def average_percentile(
@@ -159,14 +159,22 @@ def average_percentile(
     score_col: str,
     output_col: str = "daily_percentile",
     bounds: Sequence[float] | None = None,
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Average-tie ascending rank divided by group size (single row -> 1.0).
 
     This is ``rank(method="average", pct=True)``; it differs from Spark's
     ``percent_rank`` and ``cume_dist`` on ties and at the ends.
+
+    ``totals_from`` (same rows, e.g. a checkpointed base) feeds the per-bucket
+    counts, so chained ranks over one table scan the base instead of
+    re-evaluating the chain.
     """
-    b = _bucketed(df, score_col, bounds).withColumn("_one", F.lit(1))
-    offsets = bucket_offsets(b, group_cols, ["_one"], descending=False)
+    b = _bucketed(df, score_col, bounds)
+    source = b if totals_from is None else totals_from.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
+    offsets = bucket_offsets(
+        source.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending=False
+    )
     joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
     local = Window.partitionBy(*group_cols, _BUCKET).orderBy(F.col(score_col).asc())
     ties = Window.partitionBy(*group_cols, _BUCKET, score_col)
@@ -177,7 +185,7 @@ def average_percentile(
         + (F.count(F.lit(1)).over(ties) + F.lit(1)) / F.lit(2.0)
     )
     out = joined.withColumn(output_col, average_rank / F.col("_all__one"))
-    return out.drop(_BUCKET, "_one", "_off__one", "_all__one")
+    return out.drop(_BUCKET, "_off__one", "_all__one")
 
 
 def query_ids(df: DataFrame, date_col: str = "date", output_col: str = "query_id") -> DataFrame:
@@ -206,17 +214,18 @@ def score_levels(
     """One row per (group, distinct score) with cumulative counts, score descending.
 
     Columns: ``pos``/``neg`` at the level, ``tp``/``fp`` at ``score >= level``,
-    and group totals ``P``/``N``.
+    and group totals ``P``/``N``.  The per-bucket totals are aggregated
+    straight from the rows (map-side partial sums, groups x buckets output),
+    so the large level table is aggregated once.
     """
     if bounds is None:
         bounds = score_bounds(df, score_col)
-    label = F.col(label_col).cast("long")
-    levels = df.groupBy(*group_cols, score_col).agg(
-        F.sum(label).alias("pos"), F.sum(F.lit(1) - label).alias("neg")
-    )
-    b = levels.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
-    offsets = bucket_offsets(b, group_cols, ["pos", "neg"], descending=True)
-    joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
+    y = F.col(label_col).cast("long")
+    rows = df.select(*group_cols, F.col(score_col), y.alias("pos"), (F.lit(1) - y).alias("neg"))
+    rows = rows.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
+    offsets = bucket_offsets(rows, group_cols, ["pos", "neg"], descending=True)
+    levels = rows.groupBy(*group_cols, _BUCKET, score_col).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    joined = levels.join(offsets, [*group_cols, _BUCKET], "inner")
     running = (
         Window.partitionBy(*group_cols, _BUCKET)
         .orderBy(F.col(score_col).desc())
@@ -540,10 +549,6 @@ def blend_weight_search(
 
 
 def best_candidate(results: DataFrame, metric_col: str = "validation_pr_auc") -> DataFrame:
-    """The single best row by metric, first candidate on ties."""
-    best = results.agg(
-        F.max(F.struct(F.col(metric_col), F.negative(F.col("candidate")).alias("_neg"))).alias("_b")
-    )
-    return results.join(
-        best.select(F.negative(F.col("_b._neg")).alias("candidate")), "candidate", "inner"
-    )
+    """The single best row by metric, first candidate on ties (one
+    top-1 pass; the candidate table is small)."""
+    return results.orderBy(F.col(metric_col).desc_nulls_last(), F.col("candidate").asc()).limit(1)

@@ -267,8 +267,9 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
     }
     out = cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
     bounds = R.score_bounds_many(out, [f"s_{name}" for name in BLEND_MODELS])
+    base = out
     for name in BLEND_MODELS:
-        out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"])
+        out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"], totals_from=base)
     return out
 
 
@@ -365,3 +366,26 @@ def q_class_weights(spark, sf_dir):
         r10("imbalance_ratio").alias("imbalance_ratio"),
         r10("sqrt_imbalance").alias("sqrt_imbalance"),
     )
+
+
+@register(
+    "blend_best",
+    f"""WITH {SQL_FOUR},
+long AS (SELECT wt.*, ranks.label,
+                0.0 + rank_total_7d_weight * rank_total_7d + rank_total_30d_weight * rank_total_30d
+                    + rank_max_3d_weight * rank_max_3d + rank_min_3d_weight * rank_min_3d AS blended
+         FROM ranks CROSS JOIN {_sql_weights()}),
+lv AS (SELECT candidate, blended, SUM(label) AS pos, SUM(1 - label) AS neg FROM long GROUP BY candidate, blended),
+c AS (SELECT candidate, pos, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp,
+             SUM(pos) OVER (PARTITION BY candidate) AS "P"
+      FROM lv WINDOW w AS (PARTITION BY candidate ORDER BY blended DESC)),
+ap AS (SELECT candidate, ROUND(SUM(pos * tp / (tp + fp)) / MAX("P"), 10) AS ap FROM c GROUP BY candidate)
+SELECT wt.*, ap.ap AS validation_pr_auc
+FROM {_sql_weights()} JOIN ap ON wt.candidate = ap.candidate
+ORDER BY validation_pr_auc DESC, wt.candidate ASC LIMIT 1""",
+)
+def q_blend_best(spark, sf_dir):
+    """The best weight vector by validation PR AUC, first candidate on ties."""
+    ranks = four_rank_panel(spark, sf_dir)
+    out = R.blend_weight_search(ranks, "label", BLEND_MODELS, BLEND_WEIGHT_UNITS)
+    return R.best_candidate(out.withColumn("validation_pr_auc", r10("validation_pr_auc")))

@@ -96,3 +96,12 @@ def write_by_year(df: DataFrame, path: str, key: str = "grid_id", year_col: str
         if bad:
             raise ValueError("A year summary changed the grid count.")
     df.write.mode("overwrite").partitionBy(year_col).parquet(path)
+
+
+def experiment_row(spark, metadata: dict, feature_columns: Sequence[str], metrics: DataFrame) -> DataFrame:
+    """K5 record: run metadata + the feature list joined with "|" (F21) + one metrics row."""
+    meta = spark.createDataFrame([tuple(metadata.values())], list(metadata.keys()))
+    feats = spark.createDataFrame([(list(feature_columns),)], "features array<string>").select(
+        F.concat_ws("|", "features").alias("features"), F.size("features").alias("feature_count")
+    )
+    return C.side_by_side(meta.withColumn("recorded_at_utc", F.current_timestamp()), feats, metrics)

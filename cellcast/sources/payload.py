@@ -17,6 +17,14 @@ from pyspark.sql import types as T
 from cellcast.operators.ranking import ordinal_rank
 
 
+def rename_feed_columns(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
+    """Feed variable names -> model column names (only those present)."""
+    from cellcast.fixed_values import WEATHER_API_RENAMES
+
+    renames = renames or WEATHER_API_RENAMES
+    return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
+
+
 def location_schema(variables: Sequence[str]) -> T.ArrayType:
     daily = T.StructType(
         [T.StructField("time", T.ArrayType(T.StringType()))]
