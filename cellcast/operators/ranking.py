@@ -3,10 +3,11 @@
 Every ordering here ("rank within a day", "precision at every distinct score")
 is computed with one pattern:
 
-1. Cut the score axis into ranges whose boundaries come from one
-   ``approxQuantile`` pass and are written into the plan as literals, so the
-   bucket is a fixed function of the score (stable under recompute and
-   executor loss).
+1. Cut the score axis into ordered buckets that are a fixed function of the
+   score (stable under recompute and executor loss).  By default the bucket is
+   the score's binade split into 64 slices (:func:`log_bucket`), which needs
+   no pass over the data; explicit boundaries (for example from one
+   ``approxQuantile`` pass, :func:`score_bounds`) can be given instead.
 2. Total each (group, bucket) -- a table of at most groups x buckets rows --
    and take exclusive prefix sums over the buckets of a group.
 3. Join the offsets back and finish the ordering inside (group, bucket)
@@ -86,6 +87,41 @@ def bucket_of(score: Column, bounds: Sequence[float]) -> Column:
     return build(0, len(bounds)).cast("int")
 
 
+LOG_SLICES = 64  # buckets per binade (power of two)
+_NULL_BUCKET = -(1 << 40)
+
+
+def log_bucket(score: Column, slices: int = LOG_SLICES) -> Column:
+    """Order-preserving bucket of a double with no data pass.
+
+    Positive ``x`` = m * 2^e with m in [1, 2): bucket ``e * slices + floor((m - 1) * slices)``
+    (``e`` from ``log2`` and then corrected exactly, so rounding near powers of
+    two cannot break monotonicity); zero sits between negatives and positives;
+    negatives mirror positives.  Equal scores share a bucket, larger scores
+    never get a smaller bucket.  Null/NaN go to one sentinel bucket.
+    """
+    x = score.cast("double")
+    a = F.abs(x)
+    finite = (a > F.lit(0.0)) & (a < F.lit(float("inf")))
+    safe = F.when(finite, a).otherwise(F.lit(1.0))  # keeps log2/floor in range
+    e0 = F.floor(F.log2(safe))
+    m0 = safe / F.pow(F.lit(2.0), e0)
+    e = F.when(m0 >= 2.0, e0 + 1).when(m0 < 1.0, e0 - 1).otherwise(e0)
+    m = safe / F.pow(F.lit(2.0), e)
+    magnitude = e * F.lit(slices) + F.floor((m - F.lit(1.0)) * F.lit(slices))
+    offset = F.lit(2 * 1100 * slices)  # larger than any |magnitude|
+    top = F.lit(4 * 1100 * slices)  # infinities
+    key = (
+        F.when(F.isnan(x), top + 1)  # Spark orders NaN above +inf
+        .when(x == F.lit(float("inf")), top)
+        .when(x == F.lit(float("-inf")), -top)
+        .when(x > 0, offset + magnitude)
+        .when(x < 0, -(offset + magnitude))
+        .when(x == 0, F.lit(0))
+    )
+    return F.coalesce(key.cast("long"), F.lit(_NULL_BUCKET))
+
+
 def _window(partition: Sequence[str]) -> Window:
     return Window.partitionBy(*partition) if partition else Window.partitionBy()
 
@@ -112,15 +148,18 @@ def bucket_offsets(
         columns.append(F.sum(f"_tot_{m}").over(whole).alias(f"_all_{m}"))
     offsets = totals.select(*group_cols, _BUCKET, *columns)
     if not group_cols:
-        # Proven size bound: one row per bucket.
+        # Proven size bound: one row per bucket (at most ~2^18 log buckets).
         offsets = F.broadcast(offsets)
     return offsets
 
 
+def bucket_expr(score: Column, bounds: Sequence[float] | None) -> Column:
+    """Explicit boundaries -> CASE tree; ``None`` -> :func:`log_bucket` (no data pass)."""
+    return log_bucket(score) if bounds is None else bucket_of(score, bounds)
+
+
 def _bucketed(df: DataFrame, score_col: str, bounds: Sequence[float] | None) -> DataFrame:
-    if bounds is None:
-        bounds = score_bounds(df, score_col)
-    return df.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
+    return df.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
 
 
 # --------------------------------------------------------------------------- #
@@ -171,7 +210,7 @@ def average_percentile(
     re-evaluating the chain.
     """
     b = _bucketed(df, score_col, bounds)
-    source = b if totals_from is None else totals_from.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
+    source = b if totals_from is None else totals_from.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
     offsets = bucket_offsets(
         source.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending=False
     )
@@ -218,11 +257,9 @@ def score_levels(
     straight from the rows (map-side partial sums, groups x buckets output),
     so the large level table is aggregated once.
     """
-    if bounds is None:
-        bounds = score_bounds(df, score_col)
     y = F.col(label_col).cast("long")
     rows = df.select(*group_cols, F.col(score_col), y.alias("pos"), (F.lit(1) - y).alias("neg"))
-    rows = rows.withColumn(_BUCKET, bucket_of(F.col(score_col), bounds))
+    rows = rows.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
     offsets = bucket_offsets(rows, group_cols, ["pos", "neg"], descending=True)
     levels = rows.groupBy(*group_cols, _BUCKET, score_col).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     joined = levels.join(offsets, [*group_cols, _BUCKET], "inner")

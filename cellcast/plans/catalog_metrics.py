@@ -266,10 +266,9 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
         "rank_min_3d": F.coalesce(F.col("min_previous_3d"), F.lit(0.0)),
     }
     out = cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
-    bounds = R.score_bounds_many(out, [f"s_{name}" for name in BLEND_MODELS])
     base = out
     for name in BLEND_MODELS:
-        out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"], totals_from=base)
+        out = R.average_percentile(out, [DAY], f"s_{name}", name, totals_from=base)
     return out
 
 

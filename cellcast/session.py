@@ -79,12 +79,15 @@ def checkpoint_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never ``localCheckpoint``):
-    later jobs that reuse ``df`` start from the files, and a lost executor
-    re-reads them instead of recomputing the whole upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Reliable lineage cut into the shared checkpoint folder (never ``localCheckpoint``).
+
+    Written as Parquet and read back: one job (``Dataset.checkpoint`` computes
+    the plan twice unless cached), columnar and compressed, and later jobs
+    that reuse ``df`` -- or retry after losing an executor -- start from the
+    files instead of recomputing the upstream plan.
+    """
+    return checkpoint_table(df, name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -132,3 +132,32 @@ def test_confusion_zero_division(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.2)], "label int, score double")
     r = R.confusion_at_threshold(df, "label", "score", 0.5).first()
     assert (r["precision"], r["recall"], r["f1"]) == (0.0, 0.0, 0.0)
+
+
+def test_log_bucket_is_monotone(spark):
+    import struct
+
+    vals = [0.0, -0.0, 5e-324, 1e-300, 0.1, 0.5, 1.0, 2.0, 3.0, 4.0, 8.0, 1e300, float("inf")]
+    vals += [x * (1 + d) for x in (1.0, 2.0, 4.0, 1024.0, 2.0 ** -20) for d in (-1e-16, -2.2e-16, 2.2e-16, 1e-12)]
+    vals += [-v for v in vals]
+    vals += [struct.unpack("d", struct.pack("Q", b))[0] for b in range(0x3FF0000000000000 - 3, 0x3FF0000000000000 + 3)]
+    df = spark.createDataFrame([(float(v),) for v in vals], "s double")
+    rows = sorted((r["s"], r["b"]) for r in df.select("s", R.log_bucket(F.col("s")).alias("b")).collect())
+    for (s1, b1), (s2, b2) in zip(rows, rows[1:]):
+        assert b1 <= b2, (s1, b1, s2, b2)
+        if s1 == s2:
+            assert b1 == b2
+
+
+def test_default_buckets_match_explicit_bounds(spark):
+    rng = random.Random(11)
+    rows = [(g, rng.randint(0, 1), rng.choice([0.0, -1.5, 2.0, 1e-3, rng.random(), rng.random() * 100])) for g in range(3) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g int, label int, score double")
+    a = {r["g"]: r for r in R.curve_metrics(R.score_levels(df, "label", "score", ["g"]), ["g"]).collect()}
+    b = {r["g"]: r for r in R.curve_metrics(R.score_levels(df, "label", "score", ["g"], bounds=[0.5]), ["g"]).collect()}
+    for g in range(3):
+        assert a[g]["pr_auc"] == pytest.approx(b[g]["pr_auc"], abs=1e-12)
+        assert a[g]["roc_auc"] == pytest.approx(b[g]["roc_auc"], abs=1e-12)
+    r1 = {(r["g"], r["label"], r["score"], r["p"]) for r in R.average_percentile(df, ["g"], "score", "p").collect()}
+    r2 = {(r["g"], r["label"], r["score"], r["p"]) for r in R.average_percentile(df, ["g"], "score", "p", bounds=[0.0, 1.0]).collect()}
+    assert r1 == r2
