@@ -267,8 +267,11 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
     }
     out = cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
     base = out
+    # The base is materialized, so one quantile pass over it is a cheap file
+    # scan and gives balanced buckets for all four scores.
+    bounds = R.score_bounds_many(base, [f"s_{name}" for name in BLEND_MODELS])
     for name in BLEND_MODELS:
-        out = R.average_percentile(out, [DAY], f"s_{name}", name, totals_from=base)
+        out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"], totals_from=base)
     return out
 
 
