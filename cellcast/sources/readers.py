@@ -31,6 +31,17 @@ DETECTION_SCHEMA = T.StructType(
 DETECTION_REQUIRED = ["latitude", "longitude", "acq_date", "acq_time"]
 
 
+def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Missing values arrive as NaN from pandas-written files; Spark treats NaN
+    as a value (``max`` returns it, ``count`` counts it), so float columns are
+    normalised to null at every read."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    targets = [c for c in (columns or df.columns) if c in floats]
+    if not targets:
+        return df
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in targets})
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -71,7 +82,7 @@ def read_detection_csv(
         .csv(paths)
     )
     require_columns(df, required, "Detection")
-    return df
+    return nan_to_null(df)
 
 
 def read_csv_folder(spark: SparkSession, folder: str, pattern: str, schema: T.StructType | None = None) -> DataFrame:
@@ -124,14 +135,14 @@ def read_ordered_parquet(
     )
     if dup:
         raise ValueError(f"Weather files contain {dup:,} duplicate grid/date rows.")
-    return tagged.drop("_file")
+    return nan_to_null(tagged.drop("_file"))
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Parquet read of only the named columns (pruned at the scan)."""
     df = spark.read.parquet(path)
     require_columns(df, columns, path)
-    return df.select(*columns)
+    return nan_to_null(df.select(*columns))
 
 
 def read_grid_geojson(spark: SparkSession, path: str, id_field: str = "grid_id") -> DataFrame:
@@ -181,7 +192,7 @@ def read_grid_geojson(spark: SparkSession, path: str, id_field: str = "grid_id")
 
 def read_pixels(spark: SparkSession, path: str, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Pixel table (x, y, value); an optional bounding box is pushed to the scan."""
-    df = spark.read.parquet(path).select("x", "y", "value")
+    df = nan_to_null(spark.read.parquet(path).select("x", "y", "value"))
     if bbox:
         x0, y0, x1, y1 = bbox
         df = df.filter(F.col("x").between(x0, x1) & F.col("y").between(y0, y1))

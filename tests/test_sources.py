@@ -96,3 +96,11 @@ def test_refuse_overwrite(spark, tmp_dir):
     K.write_new(spark.range(1), path)
     with pytest.raises(Exception):
         K.write_new(spark.range(1), path)
+
+
+def test_nan_becomes_null_at_read(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "w.parquet")
+    spark.createDataFrame([("c", "2024-01-01", float("nan")), ("c", "2024-01-02", 2.0)], "grid_id string, date string, v double").write.parquet(path)
+    df = RD.read_columns(spark, path, ["grid_id", "date", "v"])
+    r = df.agg(F.count("v").alias("n"), F.max("v").alias("m")).first()
+    assert (r["n"], r["m"]) == (1, 2.0)
