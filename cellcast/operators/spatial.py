@@ -354,21 +354,36 @@ def _area_centroid(poly: np.ndarray) -> tuple[float, float, float]:
 CLIP_SCHEMA = "grid_key long, area double, centroid_x double, centroid_y double, clipped array<struct<x:double,y:double>>"
 
 
-def clip_cells(cells: DataFrame, region: DataFrame, key_col: str = "cell_key", region_ring: str = "ring") -> DataFrame:
+def clip_cells(
+    cells: DataFrame, region: DataFrame, key_col: str = "cell_key", region_ring: str = "ring", bucket: float | None = None
+) -> DataFrame:
     """Intersection of each square cell with the region; empty cells dropped.
 
-    Rows are (cell, region part) pairs found by a bucket join on the region's
-    bounding box; each pair is clipped by a small numpy routine in
+    Rows are (cell, region part) pairs found by a bucket equi-join on the
+    part's bounding box; each pair is clipped by a small numpy routine in
     ``mapInPandas``.  Pieces of a cell split by the region come back as one
     ring joined by zero-width edges; area and centroid stay right.
     """
+    if bucket is None:
+        bucket = float(cells.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0])
     rx0, ry0, rx1, ry1 = _ring_bbox(F.col(region_ring))
     reg = region.select(F.col(region_ring).alias("region_ring"), rx0.alias("rx0"), ry0.alias("ry0"), rx1.alias("rx1"), ry1.alias("ry1"))
-    pairs = cells.join(
-        F.broadcast(reg),
-        (F.col("x1") > F.col("rx0")) & (F.col("x0") < F.col("rx1")) & (F.col("y1") > F.col("ry0")) & (F.col("y0") < F.col("ry1")),
-        "inner",
-    ).select(F.col(key_col).alias("grid_key"), "x0", "y0", "x1", "y1", "region_ring")
+    # A cell (side <= bucket) overlapping a part's box has its lower-left corner
+    # in the box widened by one bucket to the lower left: each part lists those
+    # buckets, each cell keys on its corner's bucket, so every overlapping
+    # (cell, part) pair meets exactly once in an equi-join.
+    reg = reg.select(
+        "*",
+        F.explode(F.sequence(F.floor((F.col("rx0") - bucket) / bucket), F.floor(F.col("rx1") / bucket))).alias("bx"),
+    ).select(
+        "*",
+        F.explode(F.sequence(F.floor((F.col("ry0") - bucket) / bucket), F.floor(F.col("ry1") / bucket))).alias("by"),
+    )
+    keyed = cells.withColumn("bx", F.floor(F.col("x0") / bucket)).withColumn("by", F.floor(F.col("y0") / bucket))
+    overlap = (F.col("x1") > F.col("rx0")) & (F.col("x0") < F.col("rx1")) & (F.col("y1") > F.col("ry0")) & (F.col("y0") < F.col("ry1"))
+    pairs = keyed.join(reg, ["bx", "by"], "inner").filter(overlap).select(
+        F.col(key_col).alias("grid_key"), "x0", "y0", "x1", "y1", "region_ring"
+    )
 
     def run(batches):
         for pdf in batches:

@@ -270,7 +270,7 @@ def q_clip_cells(spark, sf_dir):
     ).first()
     grid = S.generate_grid(spark, float(b[0]), float(b[1]), float(b[2]), float(b[3]), 0.02)
     grid = grid.withColumn("cell_key", F.col("ix") * F.lit(1 << 20) + F.col("iy"))
-    clipped = S.clip_cells(grid, region, "cell_key", "ring")
+    clipped = S.clip_cells(grid, region, "cell_key", "ring", bucket=0.02)
     return clipped.join(grid.select("cell_key", "grid_id"), clipped.grid_key == grid.cell_key).select(
         "grid_id", F.round("area", 10).alias("area"), F.round("centroid_x", 8).alias("centroid_x"),
         F.round("centroid_y", 8).alias("centroid_y"),
