@@ -48,4 +48,64 @@ def test_rolling_backtest_resumes(spark, tmp_dir):
     assert monthly.select("fold").distinct().count() == 2
     ranking = spark.read.parquet(os.path.join(out, "ranking"))
     assert ranking.count() == 6
-    del full_panel_df
+
+
+
+def test_training_table_job_end_to_end(spark, tmp_dir):
+    """Detections CSV -> projected nearest cell -> daily events -> training table."""
+    from cellcast.plans.jobs import run_training_table
+
+    det_csv = os.path.join(tmp_dir, "det.csv")
+    with open(det_csv, "w") as fh:
+        fh.write("latitude,longitude,acq_date,acq_time,frp,satellite,instrument\n")
+        fh.write("36.001,-120.001,2024-07-01,5,2.0,N,VIIRS\n")      # near cell A, 00:05 UTC
+        fh.write("36.002,-120.000,2024-07-01,2359,4.0,N,VIIRS\n")   # near cell A
+        fh.write("37.000,-121.000,2024-07-02,1200,1.0,N,VIIRS\n")   # near cell B
+    cent = spark.createDataFrame([("CA-00001", 36.0, -120.0), ("CA-00002", 37.0, -121.0)], "grid_id string, centroid_lat double, centroid_lon double")
+    cent.write.parquet(os.path.join(tmp_dir, "cent.parquet"))
+    rows = [(g, d(2024, 7, day), 1.0 * day, 20.0 + day, 30.0) for g in ("CA-00001", "CA-00002") for day in range(1, 5)]
+    spark.createDataFrame(rows, "grid_id string, date date, precipitation_total double, temperature_max double, humidity_min double") \
+        .write.parquet(os.path.join(tmp_dir, "weather.parquet"))
+    spark.createDataFrame([("CA-00001", 50.0, 101, 0)], "grid_id string, vegetation_cover_mean double, fuel_model_dominant int, landfire_missing int") \
+        .write.parquet(os.path.join(tmp_dir, "static.parquet"))
+    spark.createDataFrame([("CA-00002", 3)], "grid_id string, historical_firms_detection_count_2020_2023 int") \
+        .write.parquet(os.path.join(tmp_dir, "hist.parquet"))
+    out = run_training_table(spark, os.path.join(tmp_dir, "weather.parquet"), det_csv, os.path.join(tmp_dir, "cent.parquet"),
+                             os.path.join(tmp_dir, "static.parquet"), os.path.join(tmp_dir, "hist.parquet"), tmp_dir)
+    t = {(r["grid_id"], r["date"].day): r for r in spark.read.parquet(out).collect()}
+    assert len(t) == 6  # 2 cells x 4 days, last day per cell has no next-row label
+    assert t[("CA-00001", 1)]["fire_detection_count"] == 2 and t[("CA-00001", 1)]["maximum_frp"] == 4.0
+    assert t[("CA-00002", 2)]["fire_today"] == 1 and t[("CA-00002", 1)]["fire_next_day"] == 1
+    assert t[("CA-00002", 1)]["landfire_missing"] == 1 and t[("CA-00002", 1)]["historical_firms_detection_count_2020_2023"] == 3
+    assert t[("CA-00001", 3)]["rain_7d"] == 6.0
+
+
+def d(y, m, day):
+    return dt.date(y, m, day)
+
+
+def test_daily_scoring_job_newest_file_wins(spark, tmp_dir):
+    from test_next_day import META, WEATHER_SCHEMA, fake_scorer, weather_rows
+
+    from cellcast.plans.daily_scoring import read_current_document
+    from cellcast.plans.jobs import run_daily_scoring
+
+    rows = weather_rows()
+    old = [r for r in rows if r[1] <= dt.date(2024, 1, 30)]
+    # the newer file revises Jan 30-31 and makes CA-00001 the hotter cell
+    new = [tuple(list(r[:2]) + [30.0 if r[0] == "CA-00001" else r[2]] + list(r[3:])) for r in rows if r[1] >= dt.date(2024, 1, 30)]
+    spark.createDataFrame(old, WEATHER_SCHEMA).write.parquet(os.path.join(tmp_dir, "w1.parquet"))
+    spark.createDataFrame(new, WEATHER_SCHEMA).write.parquet(os.path.join(tmp_dir, "w2.parquet"))
+    spark.createDataFrame([("CA-00001", 50.0, 101, 0), ("CA-00002", 60.0, 102, 0)],
+                          "grid_id string, vegetation_cover_mean double, fuel_model_dominant int, landfire_missing int") \
+        .write.parquet(os.path.join(tmp_dir, "static.parquet"))
+    spark.createDataFrame([("CA-00001", 0), ("CA-00002", 9)], "grid_id string, historical_firms_detection_count_2020_2023 long") \
+        .write.parquet(os.path.join(tmp_dir, "hist.parquet"))
+    out_dir = os.path.join(tmp_dir, "pub")
+    run_daily_scoring(spark, [os.path.join(tmp_dir, "w1.parquet"), os.path.join(tmp_dir, "w2.parquet")],
+                      os.path.join(tmp_dir, "static.parquet"), os.path.join(tmp_dir, "hist.parquet"), None,
+                      fake_scorer, META, "stub", out_dir, feature_date="2024-01-31", expected_grid_count=2)
+    doc = read_current_document(spark, out_dir)
+    scores = {loc["id"]: loc["risk_score"] for loc in doc["locations"]}
+    assert scores == {"CA-00001": 100.0, "CA-00002": 50.0}
+    assert doc["prediction_date"] == "2024-02-01"
