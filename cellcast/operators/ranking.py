@@ -205,26 +205,33 @@ def average_percentile(
     This is ``rank(method="average", pct=True)``; it differs from Spark's
     ``percent_rank`` and ``cume_dist`` on ties and at the ends.
 
-    ``totals_from`` (same rows, e.g. a checkpointed base) feeds the per-bucket
-    counts, so chained ranks over one table scan the base instead of
-    re-evaluating the chain.
+    Computed on distinct (group, score) levels: ties collapse in a partial
+    aggregation, the prefix runs over levels (bucketed), and rows join back on
+    (group, score) -- a score shared by a third of all rows is one level row,
+    and AQE's skew join splits the row side of that key.  ``totals_from``
+    (same rows, e.g. a checkpointed base) feeds the level counts, so chained
+    ranks scan the base instead of re-evaluating the chain.  Null scores get
+    a null percentile.
     """
-    b = _bucketed(df, score_col, bounds)
-    source = b if totals_from is None else totals_from.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
-    offsets = bucket_offsets(
-        source.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending=False
+    source = df if totals_from is None else totals_from
+    levels = source.where(F.col(score_col).isNotNull()).groupBy(*group_cols, score_col).agg(
+        F.count(F.lit(1)).alias("_ties")
     )
-    joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
-    local = Window.partitionBy(*group_cols, _BUCKET).orderBy(F.col(score_col).asc())
-    ties = Window.partitionBy(*group_cols, _BUCKET, score_col)
-    average_rank = (
-        F.col("_off__one")
-        + F.rank().over(local)
-        - F.lit(1)
-        + (F.count(F.lit(1)).over(ties) + F.lit(1)) / F.lit(2.0)
+    levels = levels.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
+    offsets = bucket_offsets(levels, group_cols, ["_ties"], descending=False)
+    joined = levels.join(offsets, [*group_cols, _BUCKET], "inner")
+    before = (
+        Window.partitionBy(*group_cols, _BUCKET)
+        .orderBy(F.col(score_col).asc())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    out = joined.withColumn(output_col, average_rank / F.col("_all__one"))
-    return out.drop(_BUCKET, "_off__one", "_all__one")
+    less = F.col("_off__ties") + F.coalesce(F.sum("_ties").over(before), F.lit(0))
+    table = joined.select(
+        *group_cols,
+        score_col,
+        ((less + (F.col("_ties") + F.lit(1)) / F.lit(2.0)) / F.col("_all__ties")).alias(output_col),
+    )
+    return df.join(table, [*group_cols, score_col], "left")
 
 
 def query_ids(df: DataFrame, date_col: str = "date", output_col: str = "query_id") -> DataFrame:
