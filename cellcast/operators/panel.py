@@ -79,20 +79,29 @@ def date_bounds(df: DataFrame, date_col: str = "date") -> tuple[dt.date, dt.date
 
 def calendar_spine(
     cells: DataFrame,
-    start: dt.date,
-    end: dt.date,
+    start: dt.date | Column,
+    end: dt.date | Column,
     cell_col: str = "grid_id",
     date_col: str = "date",
 ) -> DataFrame:
     """Every cell x every calendar day in [start, end].
 
-    Generated per cell with ``sequence`` (a generator, not a join): the day
-    range is a plan literal, the cells are the distributed side.
+    Generated per cell with ``sequence`` (a generator, not a join).  The
+    bounds are plan literals or scalar subqueries (see :func:`calendar_bounds`).
     """
-    days = F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))
+    s = start if isinstance(start, Column) else F.lit(start)
+    e = end if isinstance(end, Column) else F.lit(end)
+    days = F.sequence(s, e, F.expr("INTERVAL 1 DAY"))
     return cells.select(F.col(cell_col), F.explode(days).alias(date_col))
 
 
+def calendar_bounds(df: DataFrame, date_col: str = "date") -> tuple[Column, Column]:
+    """First and last day as scalar subqueries: evaluated once inside the
+    query that uses them, with no separate driver round trip."""
+    bounds = df.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).alias("b")).scalar()
+    return bounds["lo"], bounds["hi"]
+
+
 def spine_fill(
     spine: DataFrame,
     values: DataFrame,

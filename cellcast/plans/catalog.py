@@ -92,7 +92,7 @@ def full_panel_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell x every day of the event calendar; no-event days: counts 0, measures null."""
     sparse = sparse_panel(spark, sf_dir)
     days = event_days(spark, sf_dir)
-    start, end = P.date_bounds(days, DAY)
+    start, end = P.calendar_bounds(days, DAY)
     cells = days.select(CELL).distinct()
     spine = P.calendar_spine(cells, start, end, CELL, DAY)
     return P.spine_fill(
