@@ -13,6 +13,7 @@ import json
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -219,7 +220,13 @@ def fit_model(
         params["validation_col"] = "_is_val"
     stages = preprocessing_stages(numeric, categorical, scale=(kind == "logistic"), one_hot=(kind == "logistic"))
     stages.append(classifier(kind, label_col, weight_col, **params))
-    return Pipeline(stages=stages).fit(data)
+    # Every stage and every optimizer iteration scans the training rows: keep
+    # them cached for the fit (spills to disk if they do not fit in memory).
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, categorical: Sequence[str], output_col: str = "score") -> DataFrame:

@@ -255,7 +255,8 @@ def q_risk_tiers(spark, sf_dir):
 BLEND_MODELS = ["rank_total_7d", "rank_total_30d", "rank_max_3d", "rank_min_3d"]
 
 
-def four_rank_panel(spark, sf_dir) -> DataFrame:
+def four_score_base(spark, sf_dir) -> DataFrame:
+    """Labelled panel with four simple past-only scores, materialized once."""
     base = full_panel_df(spark, sf_dir).select(CELL, DAY, "value_total", "value_max", "value_min", "fire_today")
     feats = W.rolling_rows(base, EVENT_PAST_SPECS, False, CELL, DAY)
     labelled = W.next_day_label(feats, "fire_today", "label", CELL, DAY)
@@ -265,8 +266,12 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
         "rank_max_3d": F.coalesce(F.col("max_previous_3d"), F.lit(0.0)),
         "rank_min_3d": F.coalesce(F.col("min_previous_3d"), F.lit(0.0)),
     }
-    out = cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
-    base = out
+    return cut_lineage(labelled.select(CELL, DAY, "label", *[v.alias(f"s_{k}") for k, v in scores.items()]))
+
+
+def four_rank_panel(spark, sf_dir) -> DataFrame:
+    base = four_score_base(spark, sf_dir)
+    out = base
     # The base is materialized, so one quantile pass over it is a cheap file
     # scan and gives balanced buckets for all four scores.
     bounds = R.score_bounds_many(base, [f"s_{name}" for name in BLEND_MODELS])
