@@ -580,3 +580,28 @@ def q_monthly_label_stats(spark, sf_dir):
         F.to_date("o_orderdate").alias(DAY), (F.col("o_orderstatus") == "F").cast("int").alias("label")
     )
     return monthly_label_stats(o, DAY, "label").withColumn("positive_rate", r10("positive_rate"))
+
+
+# --------------------------------------------------------------------------- #
+# J4 -- reference values: the weather's own newest value wins, the external
+# reference fills the rest (full outer join)
+# --------------------------------------------------------------------------- #
+@register(
+    "reference_fallback",
+    f"""WITH {SQL_SPARSE.strip()},
+w AS (SELECT user_id, arg_max(value_max, date) AS elevation FROM sparse GROUP BY user_id),
+r AS (SELECT c_custkey AS user_id, MAX(c_acctbal) AS elevation_ref, MAX(CAST(c_nationkey AS DOUBLE)) AS lat_ref
+      FROM customer GROUP BY 1)
+SELECT COALESCE(w.user_id, r.user_id) AS user_id, COALESCE(w.elevation, r.elevation_ref) AS elevation,
+       r.lat_ref AS centroid_lat
+FROM w FULL OUTER JOIN r ON w.user_id = r.user_id""",
+)
+def q_reference_fallback(spark, sf_dir):
+    from cellcast.plans.daily_scoring import reference_grid
+
+    weather = sparse_panel(spark, sf_dir).select(CELL, DAY, F.col("value_max").alias("elevation"))
+    reference = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias(CELL), F.col("c_acctbal").alias("elevation"),
+        F.col("c_nationkey").cast("double").alias("centroid_lat"),
+    )
+    return reference_grid(weather, reference, [CELL, "elevation", "centroid_lat"], CELL)
