@@ -263,6 +263,32 @@ def season_summary(
     )
 
 
+def yearly_summary(
+    daily: DataFrame,
+    cell_col: str = "grid_id",
+    date_col: str = "date",
+    count_col: str = "fire_count",
+    history_years: Sequence[int] | None = None,
+) -> DataFrame:
+    """A4, whole-year flavour: per (cell, calendar year) the summed detections
+    and distinct active days, keyed for the next year; active cells only (the
+    lenient lookup fills the rest with 0).  Counts below 1 are rejected."""
+    if daily.filter(F.col(count_col) < 1).limit(1).count():
+        raise ValueError("Daily detections contain non-positive counts.")
+    rows = daily
+    if history_years:
+        rows = year_range_filter(rows, date_col, min(history_years), max(history_years))
+    return rows.groupBy(cell_col, F.year(date_col).alias("history_year")).agg(
+        F.sum(count_col).cast("long").alias("prior_year_firms_detection_count"),
+        F.countDistinct(date_col).alias("prior_year_firms_active_days"),
+    ).select(
+        cell_col,
+        (F.col("history_year") + 1).cast("int").alias("feature_year"),
+        "prior_year_firms_detection_count",
+        "prior_year_firms_active_days",
+    )
+
+
 # --------------------------------------------------------------------------- #
 # Year-shifted lookup
 # --------------------------------------------------------------------------- #

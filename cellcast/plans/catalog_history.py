@@ -605,3 +605,24 @@ def q_reference_fallback(spark, sf_dir):
         F.col("c_nationkey").cast("double").alias("centroid_lat"),
     )
     return reference_grid(weather, reference, [CELL, "elevation", "centroid_lat"], CELL)
+
+
+# --------------------------------------------------------------------------- #
+# A4 whole-year flavour + lenient J3 lookup
+# --------------------------------------------------------------------------- #
+@register(
+    "prior_year_whole",
+    """
+WITH daily AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS date, COUNT(*) AS fire_count FROM orders GROUP BY 1, 2),
+y AS (SELECT o_custkey, CAST(year(date) + 1 AS INTEGER) AS feature_year, CAST(SUM(fire_count) AS BIGINT) AS n,
+             COUNT(DISTINCT date) AS d FROM daily GROUP BY 1, 2)
+SELECT daily.o_custkey, daily.date, daily.fire_count,
+       COALESCE(y.n, 0) AS prior_year_firms_detection_count, COALESCE(y.d, 0) AS prior_year_firms_active_days
+FROM daily LEFT JOIN y ON y.o_custkey = daily.o_custkey AND y.feature_year = year(daily.date)""",
+)
+def q_prior_year_whole(spark, sf_dir):
+    daily = daily_orders(spark, sf_dir)
+    summary = P.yearly_summary(daily, "o_custkey", DAY, "fire_count")
+    return P.prior_year_lookup(
+        daily, summary, "o_custkey", DAY, ("prior_year_firms_detection_count", "prior_year_firms_active_days")
+    )
