@@ -145,10 +145,15 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     return nan_to_null(df.select(*columns))
 
 
-def read_grid_geojson(spark: SparkSession, path: str, id_field: str = "grid_id") -> DataFrame:
+def read_grid_geojson(
+    spark: SparkSession, path: str, id_field: str = "grid_id", line_delimited: bool = False
+) -> DataFrame:
     """FeatureCollection -> (grid_id, properties, rings).
 
     Polygons give one ring list; MultiPolygons are exploded to their parts.
+    A FeatureCollection file is one JSON record (read by one task; fine for a
+    grid of thousands of cells); ``line_delimited`` reads one feature per line
+    so a large grid is split across tasks.
     """
     coords_schema = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
     schema = T.StructType(
@@ -174,8 +179,13 @@ def read_grid_geojson(spark: SparkSession, path: str, id_field: str = "grid_id")
             )
         ]
     )
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    feats = raw.select(F.explode("features").alias("f"))
+    if line_delimited:
+        feats = spark.read.schema(schema["features"].dataType.elementType).json(path).select(
+            F.struct("properties", "geometry").alias("f")
+        )
+    else:
+        raw = spark.read.schema(schema).option("multiLine", True).json(path)
+        feats = raw.select(F.explode("features").alias("f"))
     geom = F.col("f.geometry.coordinates")
     multi = F.from_json(geom, coords_schema)
     single = F.from_json(geom, T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))

@@ -104,3 +104,14 @@ def test_nan_becomes_null_at_read(spark, tmp_dir):
     df = RD.read_columns(spark, path, ["grid_id", "date", "v"])
     r = df.agg(F.count("v").alias("n"), F.max("v").alias("m")).first()
     assert (r["n"], r["m"]) == (1, 2.0)
+
+
+def test_geojson_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "grid.jsonl")
+    with open(path, "w") as fh:
+        for i in range(3):
+            fh.write(json.dumps({"type": "Feature", "properties": {"grid_id": f"CA-{i:05d}"},
+                                 "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]}}) + "\n")
+    g = RD.read_grid_geojson(spark, path, line_delimited=True)
+    assert sorted(r["grid_id"] for r in g.collect()) == ["CA-00000", "CA-00001", "CA-00002"]
+    assert len(g.first()["ring"]) == 4
