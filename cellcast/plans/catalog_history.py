@@ -216,7 +216,7 @@ dm AS (SELECT MAX(date) AS d FROM sparse)
 )
 def q_past_window_snapshot(spark, sf_dir):
     sparse = sparse_panel(spark, sf_dir)
-    day = P.select_feature_date(sparse, DAY)
+    day = sparse.agg(F.max(DAY)).scalar()  # as-of date D as a scalar subquery
     out = P.past_window_snapshot(sparse, day, EVENT_PAST_SPECS, CELL, DAY)
     return _spark_round_sums(out, EVENT_PAST_SPECS)
 

@@ -267,10 +267,9 @@ UNION ALL SELECT 'rolling_including_today', n, n = 0 FROM today_d""",
 )
 def q_leakage_audit(spark, sf_dir):
     panel = full_panel_df(spark, sf_dir).select(CELL, DAY, "value_total", "value_max", "value_min")
-    start, end = P.date_bounds(panel, DAY)
-    import datetime as dt
-
-    target = start + dt.timedelta(days=((end - start).days + 1) // 2)
+    start, end = P.calendar_bounds(panel, DAY)
+    # middle day of the calendar, as a scalar subquery
+    target = F.date_add(start, F.floor((F.datediff(end, start) + 1) / 2).cast("int"))
     rows = []
     for name, specs, inclusive in (
         ("rolling_past_only", EVENT_PAST_SPECS, False),

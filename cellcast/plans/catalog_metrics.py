@@ -112,7 +112,7 @@ FROM m""",
 def q_confusion(spark, sf_dir):
     scored = scored_documents(spark, sf_dir)
     levels = R.score_levels(scored, "label", "score")
-    threshold = R.choose_threshold(levels, "score").first()["threshold"]  # one scalar
+    threshold = R.choose_threshold(levels, "score").select("threshold").scalar()  # scalar subquery
     out = R.confusion_at_threshold(scored, "label", "score", threshold)
     return out.select("tn", "fp", "fn", "tp", *[r10(c).alias(c) for c in ("precision", "recall", "f1")])
 
