@@ -174,11 +174,18 @@ def ordinal_rank(
     output_col: str = "daily_rank",
     size_col: str | None = "group_rows",
     bounds: Sequence[float] | None = None,
+    split_ties: bool = True,
 ) -> DataFrame:
     """1-based position within the group by score, ties broken by ``tie_cols`` ascending.
 
     Equals ``rank(method="first")`` on input ordered by the tie columns.
+    With tie columns (and ``split_ties``, the default) this is
+    :func:`ordinal_rank_split_ties`, which also spreads one score shared by a
+    huge number of rows over many tasks; without them, rows are ordered inside
+    (group, score-bucket) partitions.
     """
+    if split_ties and tie_cols:
+        return ordinal_rank_split_ties(df, group_cols, score_col, tie_cols, descending, output_col, size_col, bounds)
     b = _bucketed(df, score_col, bounds)
     offsets = bucket_offsets(b.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending)
     joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
@@ -192,6 +199,66 @@ def ordinal_rank(
     return out.drop(_BUCKET, "_off__one", "_all__one")
 
 
+def _tie_bucket(df: DataFrame, col: str, prefix: int) -> Column:
+    """Order-preserving coarse bucket of a tie key: log buckets for numbers, a
+    fixed-length prefix for strings (same prefix -> same bucket)."""
+    dtype = df.schema[col].dataType.typeName()
+    if dtype in ("integer", "long", "short", "byte", "double", "float", "decimal"):
+        return log_bucket(F.col(col))
+    if dtype == "string":
+        return F.coalesce(F.substring(F.col(col), 1, prefix), F.lit(""))
+    return F.lit(0)
+
+
+def ordinal_rank_split_ties(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    score_col: str,
+    tie_cols: Sequence[str],
+    descending: bool = True,
+    output_col: str = "daily_rank",
+    size_col: str | None = "group_rows",
+    bounds: Sequence[float] | None = None,
+    tie_prefix: int = 6,
+) -> DataFrame:
+    """W7 that stays spread out when one score holds a large share of a group.
+
+    rank = (rows of the group with a strictly better score)
+         + (position inside the tie set by ``tie_cols``).
+    The first term comes from distinct (group, score) levels (ties collapse in
+    a partial aggregation; bucketed prefix over levels).  The second is a
+    bucketed prefix over the first tie column inside each tie set, so a hot
+    tie set is split across (group, score, tie-bucket) partitions.  Exact.
+    """
+    levels = df.groupBy(*group_cols, score_col).agg(F.count(F.lit(1)).alias("_n"))
+    levels = levels.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
+    offsets = bucket_offsets(levels, group_cols, ["_n"], descending)
+    order = F.col(score_col).desc() if descending else F.col(score_col).asc()
+    before = Window.partitionBy(*group_cols, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    level_table = levels.join(offsets, [*group_cols, _BUCKET], "inner").select(
+        *group_cols,
+        score_col,
+        (F.col("_off__n") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_better"),
+        F.col("_all__n").alias("_group_rows"),
+    )
+    keyed = df.withColumn("_tb", _tie_bucket(df, tie_cols[0], tie_prefix))
+    tie_groups = [*group_cols, score_col]
+    tie_totals = keyed.groupBy(*tie_groups, "_tb").agg(F.count(F.lit(1)).alias("_t"))
+    tie_before = Window.partitionBy(*tie_groups).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    tie_offsets = tie_totals.select(
+        *tie_groups, "_tb", F.coalesce(F.sum("_t").over(tie_before), F.lit(0)).alias("_tie_off")
+    )
+    local = Window.partitionBy(*tie_groups, "_tb").orderBy(*[F.col(c).asc() for c in tie_cols])
+    out = (
+        keyed.join(level_table, tie_groups, "inner")
+        .join(tie_offsets, [*tie_groups, "_tb"], "inner")
+        .withColumn(output_col, (F.col("_better") + F.col("_tie_off") + F.row_number().over(local)).cast("long"))
+    )
+    if size_col:
+        out = out.withColumn(size_col, F.col("_group_rows").cast("long"))
+    return out.drop("_tb", "_better", "_group_rows", "_tie_off")
+
+
 def average_percentile(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -161,3 +161,25 @@ def test_default_buckets_match_explicit_bounds(spark):
     r1 = {(r["g"], r["label"], r["score"], r["p"]) for r in R.average_percentile(df, ["g"], "score", "p").collect()}
     r2 = {(r["g"], r["label"], r["score"], r["p"]) for r in R.average_percentile(df, ["g"], "score", "p", bounds=[0.0, 1.0]).collect()}
     assert r1 == r2
+
+
+def test_split_ties_rank_matches_plain_and_brute_force(spark):
+    rng = random.Random(5)
+    rows = []
+    for d in range(3):
+        for i in range(400):
+            score = 0.0 if rng.random() < 0.6 else round(rng.random(), 2)  # a hot tie at 0.0
+            rows.append((d, f"g{rng.randint(0, 99999):05d}-{i}", score))
+    df = spark.createDataFrame(rows, "date int, grid_id string, score double")
+    plain = {(r["date"], r["grid_id"]): r["daily_rank"] for r in R.ordinal_rank(df, ["date"], "score", ["grid_id"]).collect()}
+    split = {(r["date"], r["grid_id"]): r["daily_rank"] for r in R.ordinal_rank(df, ["date"], "score", ["grid_id"], split_ties=True).collect()}
+    brute = {}
+    for d in range(3):
+        day = sorted([r for r in rows if r[0] == d], key=lambda r: (-r[2], r[1]))
+        brute.update({(d, r[1]): i + 1 for i, r in enumerate(day)})
+    assert plain == brute
+    assert split == brute
+    num = spark.createDataFrame([(1, i, 0.5 if i % 3 else 0.9) for i in range(300)], "date int, k long, score double")
+    got = {r["k"]: r["daily_rank"] for r in R.ordinal_rank(num, ["date"], "score", ["k"], split_ties=True).collect()}
+    exp = {k: i + 1 for i, k in enumerate(sorted(range(300), key=lambda k: (-(0.5 if k % 3 else 0.9), k)))}
+    assert got == exp
