@@ -46,6 +46,39 @@ def get_session(
     return spark
 
 
+def scale_conf(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    shuffle_fraction: float = 0.25,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Session settings sized for a cluster run.
+
+    Shuffle partitions are sized so that the expected shuffle volume (input
+    after pruning and partial aggregation, ``shuffle_fraction``) lands near
+    ``target_partition_bytes`` per partition -- small enough to sort in
+    executor memory without heavy spill -- and never fewer than two waves of
+    cores.  AQE then coalesces small partitions and splits skewed ones.
+    """
+    slots = max(1, executors * cores_per_executor)
+    wanted = int(input_bytes * shuffle_fraction // target_partition_bytes) + 1
+    partitions = min(max(2 * slots, wanted), 100_000)
+    mb = target_partition_bytes >> 20
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
