@@ -277,7 +277,9 @@ def four_rank_panel(spark, sf_dir) -> DataFrame:
     bounds = R.score_bounds_many(base, [f"s_{name}" for name in BLEND_MODELS])
     for name in BLEND_MODELS:
         out = R.average_percentile(out, [DAY], f"s_{name}", name, bounds=bounds[f"s_{name}"], totals_from=base)
-    return out
+    # Materialize the ranks: the candidate search reads them from two branches
+    # (level table and bucket totals) and must not re-run the rank chain.
+    return cut_lineage(out, "four_ranks")
 
 
 def _sql_weights() -> str:
