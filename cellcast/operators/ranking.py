@@ -304,13 +304,13 @@ def average_percentile(
 def query_ids(df: DataFrame, date_col: str = "date", output_col: str = "query_id") -> DataFrame:
     """Contiguous 0-based id per distinct day.
 
-    The numbering window runs over distinct days only (bounded by the
-    calendar), then is joined back, so no window touches the rows.
+    Distinct days are numbered with the distributed ordinal rank on the day
+    number (no global window), then broadcast back: the day table is bounded
+    by the calendar.
     """
-    days = df.select(date_col).distinct()
-    numbered = days.withColumn(
-        output_col, (F.row_number().over(Window.orderBy(date_col)) - 1).cast("long")
-    )
+    days = df.select(date_col).distinct().withColumn("_day_number", F.unix_date(F.col(date_col)))
+    numbered = ordinal_rank(days, [], "_day_number", (), descending=False, output_col="_qid", size_col=None)
+    numbered = numbered.select(date_col, (F.col("_qid") - 1).cast("long").alias(output_col))
     return df.join(F.broadcast(numbered), date_col, "left")
 
 

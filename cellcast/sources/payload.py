@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,8 +138,12 @@ def _numeric(df: DataFrame, col: str) -> bool:
 
 
 def _string_rank(cells: DataFrame, col: str) -> DataFrame:
-    # Cell ids are few (a grid); ordering them needs one global sort.
-    return cells.withColumn("_n", F.row_number().over(Window.orderBy(col)).cast("long"))
+    # One constant score: the rank is the position by the id, computed with
+    # the tie-key buckets of the distributed ordinal rank (no global window).
+    ranked = ordinal_rank(
+        cells.withColumn("_const", F.lit(0.0)), [], "_const", [col], descending=False, output_col="_n", size_col=None
+    )
+    return ranked.drop("_const")
 
 
 def skip_finished(plan: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
