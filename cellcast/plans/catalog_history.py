@@ -636,3 +636,28 @@ def q_prior_year_whole(spark, sf_dir):
     return P.prior_year_lookup(
         daily, summary, "o_custkey", DAY, ("prior_year_firms_detection_count", "prior_year_firms_active_days")
     )
+
+
+# --------------------------------------------------------------------------- #
+# M8 (prior-year part): mapping, window before the feature year, coverage
+# --------------------------------------------------------------------------- #
+AUDIT_FEATURE_YEARS = [1997, 1998]
+
+
+@register(
+    "prior_year_audit",
+    f"""WITH {SQL_SEASON.strip()},
+rel AS (SELECT * FROM season WHERE feature_year IN ({', '.join(map(str, AUDIT_FEATURE_YEARS))})),
+py AS (SELECT feature_year, COUNT(DISTINCT o_custkey) AS cells FROM rel GROUP BY 1),
+chk AS (SELECT COUNT(*) FILTER (WHERE history_year <> feature_year - 1) AS bad_mapping,
+               COUNT(*) FILTER (WHERE window_end >= make_date(feature_year, 1, 1)) AS late_windows FROM rel),
+cov AS (SELECT COUNT(*) AS years_present, MIN(cells) AS min_cells, MAX(cells) AS max_cells FROM py)
+SELECT 'prior_year_mapping' AS "check", bad_mapping = 0 AS passed FROM chk
+UNION ALL SELECT 'prior_year_window_precedes_features', late_windows = 0 FROM chk
+UNION ALL SELECT 'prior_year_grid_coverage', years_present = {len(AUDIT_FEATURE_YEARS)} AND min_cells = max_cells AND min_cells = (SELECT COUNT(*) FROM customer) FROM cov""",
+)
+def q_prior_year_audit(spark, sf_dir):
+    from cellcast.plans.backtest import prior_year_audit
+
+    cells = all_customers(spark, sf_dir).count()  # expected grid size (one small job)
+    return prior_year_audit(_season(spark, sf_dir).withColumnRenamed("o_custkey", "grid_id"), AUDIT_FEATURE_YEARS, cells)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +187,25 @@ def test_weather_history_is_merged_revised_and_trimmed(spark):
     out = upsert_history(existing, downloaded, dt.date(2024, 2, 1)).orderBy("grid_id", "date").collect()
     assert [str(r["date"]) for r in out] == ["2024-01-31", "2024-02-01"]
     assert [r["temperature_max"] for r in out] == [21.0, 22.0]
+
+
+def test_large_grid_publishes_split_form(spark, tmp_dir, monkeypatch):
+    from cellcast.plans import daily_scoring as D
+
+    monkeypatch.setattr(D, "SINGLE_DOCUMENT_MAX_LOCATIONS", 10)
+    cells = spark.range(1, 51).select(
+        F.format_string("CA-%05d", "id").alias("grid_id"),
+        (F.lit(32.5) + F.col("id") / 1000.0).alias("centroid_lat"),
+        (F.lit(-124.0) + F.col("id") / 900.0).alias("centroid_lon"),
+        F.lit(101).alias("fuel_model_dominant"),
+        F.lit(25.0).alias("temperature_max"),
+        F.lit(20.0).alias("humidity_min"),
+        F.lit(10.0).alias("wind_speed_max"),
+        F.lit(0.0).alias("precipitation_total"),
+        (F.col("id") / 50.0).alias("model_score"),
+    )
+    target = D.publish(D.publish_locations(cells, 0.5), dt.date(2024, 1, 31), dt.date(2024, 2, 1), "m", tmp_dir, "now")
+    header = spark.read.json(os.path.join(target, "header")).first()
+    locs = spark.read.json(os.path.join(target, "locations"))
+    assert header["grid_count"] == 50 and locs.count() == 50
+    assert locs.agg(F.max("risk_score")).first()[0] == 100.0
