@@ -14,8 +14,10 @@ is computed with one pattern:
    partitions, which Spark can spread over the whole cluster.
 
 Boundaries affect only balance, never results: equal scores always share a
-bucket, so ties are resolved inside one partition.  A hot day or group is cut
-into as many pieces as it spans score ranges.
+bucket.  A hot day or group is cut into as many pieces as it spans score
+ranges.  Ties never pile up in one task: percentiles and curves work on
+distinct (group, score) levels, and the ordinal rank splits a tie set by
+buckets of its tie key (:func:`ordinal_rank_split_ties`).
 """
 
 from __future__ import annotations
