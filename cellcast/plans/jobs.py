@@ -54,6 +54,19 @@ def assign_detections(
     return assigned.select("grid_id", "date", "frp", "assignment_distance_m")
 
 
+def assign_detections_within(detections: DataFrame, grid_rings: DataFrame, bucket_degrees: float = 0.1) -> DataFrame:
+    """Detections -> (grid_id, date, frp) by strict ``within`` on the cell
+    polygons stored in lon/lat (J6); detections outside every cell are dropped."""
+    pts = detections.select(
+        detection_day(F.col("acq_date"), F.col("acq_time")).alias("date"),
+        F.col("frp"),
+        F.col("longitude").alias("px"),
+        F.col("latitude").alias("py"),
+    )
+    located = S.point_in_polygon(pts, grid_rings, "px", "py", "grid_id", "ring", bucket_degrees, "grid_id")
+    return located.select("grid_id", "date", "frp")
+
+
 def run_training_table(
     spark: SparkSession,
     weather_path: str,
@@ -62,13 +75,24 @@ def run_training_table(
     static_path: str,
     history_path: str,
     output_dir: str,
+    grid_geojson: str | None = None,
 ) -> str:
     """Landed detections + weather + attributes -> training table (Parquet,
-    CSV, 5,000-row sample)."""
+    CSV, 5,000-row sample).
+
+    Detections are assigned to the nearest centroid within 10 km (all must
+    match), or, with ``grid_geojson``, strictly within the cell polygons
+    (misses dropped) -- the two flavours the reference uses for different
+    years; their counts are not interchangeable.
+    """
     det = RD.read_detection_csv(spark, detections_csv)
     C.enforce_zero(C.coercion_report(det, "acq_date", "yyyy-MM-dd", ["latitude", "longitude"]), "Detections")
-    centroids = RD.read_columns(spark, centroids_path, ["grid_id", "centroid_lat", "centroid_lon"])
-    daily = P.daily_cell_events(assign_detections(det, centroids), "grid_id", "date", "frp")
+    if grid_geojson:
+        assigned = assign_detections_within(det, RD.read_grid_geojson(spark, grid_geojson))
+    else:
+        centroids = RD.read_columns(spark, centroids_path, ["grid_id", "centroid_lat", "centroid_lon"])
+        assigned = assign_detections(det, centroids)
+    daily = P.daily_cell_events(assigned, "grid_id", "date", "frp")
     weather = RD.read_columns(spark, weather_path, WEATHER_COLUMNS[:2] + ["precipitation_total", "temperature_max", "humidity_min"])
     weather = weather.withColumn("date", F.to_date("date"))
     static = spark.read.parquet(static_path)

@@ -109,3 +109,23 @@ def test_daily_scoring_job_newest_file_wins(spark, tmp_dir):
     scores = {loc["id"]: loc["risk_score"] for loc in doc["locations"]}
     assert scores == {"CA-00001": 100.0, "CA-00002": 50.0}
     assert doc["prediction_date"] == "2024-02-01"
+
+
+def test_within_assignment_drops_outside_points(spark, tmp_dir):
+    import json as _json
+
+    from cellcast.plans.jobs import assign_detections_within
+    from cellcast.sources.readers import read_grid_geojson
+
+    path = os.path.join(tmp_dir, "grid.geojson")
+    ring = lambda x0, y0: [[x0, y0], [x0 + 0.1, y0], [x0 + 0.1, y0 + 0.1], [x0, y0 + 0.1], [x0, y0]]
+    with open(path, "w") as fh:
+        _json.dump({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"grid_id": "CA-00001"}, "geometry": {"type": "Polygon", "coordinates": [ring(-120.0, 36.0)]}},
+            {"type": "Feature", "properties": {"grid_id": "CA-00002"}, "geometry": {"type": "Polygon", "coordinates": [ring(-119.9, 36.0)]}},
+        ]}, fh)
+    det = spark.createDataFrame(
+        [(36.05, -119.95, "2024-07-01", "0105", 1.0), (36.05, -119.85, "2024-07-01", "5", 2.0), (37.0, -121.0, "2024-07-01", "1200", 3.0)],
+        "latitude double, longitude double, acq_date string, acq_time string, frp double")
+    out = {r["frp"]: r["grid_id"] for r in assign_detections_within(det, read_grid_geojson(spark, path)).collect()}
+    assert out == {1.0: "CA-00001", 2.0: "CA-00002"}
