@@ -190,7 +190,7 @@ def ordinal_rank(
         return ordinal_rank_split_ties(df, group_cols, score_col, tie_cols, descending, output_col, size_col, bounds)
     b = _bucketed(df, score_col, bounds)
     offsets = bucket_offsets(b.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending)
-    joined = b.join(offsets, [*group_cols, _BUCKET], "inner")
+    joined = _null_safe_join(b, offsets, [*group_cols, _BUCKET])
     score_order = F.col(score_col).desc() if descending else F.col(score_col).asc()
     local = Window.partitionBy(*group_cols, _BUCKET).orderBy(
         score_order, *[F.col(c).asc() for c in tie_cols]
@@ -237,7 +237,7 @@ def ordinal_rank_split_ties(
     offsets = bucket_offsets(levels, group_cols, ["_n"], descending)
     order = F.col(score_col).desc() if descending else F.col(score_col).asc()
     before = Window.partitionBy(*group_cols, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    level_table = levels.join(offsets, [*group_cols, _BUCKET], "inner").select(
+    level_table = _null_safe_join(levels, offsets, [*group_cols, _BUCKET]).select(
         *group_cols,
         score_col,
         (F.col("_off__n") + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_better"),
@@ -251,16 +251,27 @@ def ordinal_rank_split_ties(
         *tie_groups, "_tb", F.coalesce(F.sum("_t").over(tie_before), F.lit(0)).alias("_tie_off")
     )
     local = Window.partitionBy(*tie_groups, "_tb").orderBy(*[F.col(c).asc() for c in tie_cols])
-    out = (
-        keyed.join(level_table, tie_groups, "inner")
-        .join(tie_offsets, [*tie_groups, "_tb"], "inner")
-        .withColumn(output_col, (F.col("_better") + F.col("_tie_off") + F.row_number().over(local)).cast("long"))
+    joined = _null_safe_join(keyed, level_table, tie_groups)
+    joined = _null_safe_join(joined, tie_offsets, [*tie_groups, "_tb"])
+    out = joined.withColumn(
+        output_col, (F.col("_better") + F.col("_tie_off") + F.row_number().over(local)).cast("long")
     )
     if size_col:
         out = out.withColumn(size_col, F.col("_group_rows").cast("long"))
     return out.drop("_tb", "_better", "_group_rows", "_tie_off")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null matches null (a null score or group is a
+    level of its own, so no row is lost)."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def average_percentile(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -288,7 +299,7 @@ def average_percentile(
     )
     levels = levels.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
     offsets = bucket_offsets(levels, group_cols, ["_ties"], descending=False)
-    joined = levels.join(offsets, [*group_cols, _BUCKET], "inner")
+    joined = _null_safe_join(levels, offsets, [*group_cols, _BUCKET])
     before = (
         Window.partitionBy(*group_cols, _BUCKET)
         .orderBy(F.col(score_col).asc())
@@ -300,7 +311,7 @@ def average_percentile(
         score_col,
         ((less + (F.col("_ties") + F.lit(1)) / F.lit(2.0)) / F.col("_all__ties")).alias(output_col),
     )
-    return df.join(table, [*group_cols, score_col], "left")
+    return _null_safe_join(df, table, [*group_cols, score_col], "left")
 
 
 def query_ids(df: DataFrame, date_col: str = "date", output_col: str = "query_id") -> DataFrame:
@@ -338,7 +349,7 @@ def score_levels(
     rows = rows.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
     offsets = bucket_offsets(rows, group_cols, ["pos", "neg"], descending=True)
     levels = rows.groupBy(*group_cols, _BUCKET, score_col).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    joined = levels.join(offsets, [*group_cols, _BUCKET], "inner")
+    joined = _null_safe_join(levels, offsets, [*group_cols, _BUCKET])
     running = (
         Window.partitionBy(*group_cols, _BUCKET)
         .orderBy(F.col(score_col).desc())

@@ -183,3 +183,11 @@ def test_split_ties_rank_matches_plain_and_brute_force(spark):
     got = {r["k"]: r["daily_rank"] for r in R.ordinal_rank(num, ["date"], "score", ["k"], split_ties=True).collect()}
     exp = {k: i + 1 for i, k in enumerate(sorted(range(300), key=lambda k: (-(0.5 if k % 3 else 0.9), k)))}
     assert got == exp
+
+
+def test_split_ties_keeps_null_scores_and_groups(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 0.5), (1, "b", None), (1, "c", 0.9), (None, "d", 0.1), (None, "e", None)],
+        "date int, grid_id string, score double")
+    out = {r["grid_id"]: (r["daily_rank"], r["group_rows"]) for r in R.ordinal_rank(df, ["date"], "score", ["grid_id"]).collect()}
+    assert out == {"c": (1, 3), "a": (2, 3), "b": (3, 3), "d": (1, 2), "e": (2, 2)}
