@@ -181,13 +181,22 @@ def ordinal_rank(
     """1-based position within the group by score, ties broken by ``tie_cols`` ascending.
 
     Equals ``rank(method="first")`` on input ordered by the tie columns.
-    With tie columns (and ``split_ties``, the default) this is
-    :func:`ordinal_rank_split_ties`, which also spreads one score shared by a
-    huge number of rows over many tasks; without them, rows are ordered inside
-    (group, score-bucket) partitions.
+    With ``split_ties`` (the default) this is :func:`ordinal_rank_split_ties`,
+    which also spreads one score shared by a huge number of rows over many
+    tasks; without tie columns a deterministic row hash orders the ties.
+    ``split_ties=False`` orders rows inside (group, score-bucket) partitions,
+    for callers whose scores are unique.
     """
     if split_ties and tie_cols:
         return ordinal_rank_split_ties(df, group_cols, score_col, tie_cols, descending, output_col, size_col, bounds)
+    if split_ties:
+        # No tie-break requested: any order among equal scores is valid, so a
+        # deterministic row hash orders (and splits) a tie set.
+        hashed = df.withColumn("_row_hash", F.xxhash64(*df.columns))
+        ranked = ordinal_rank_split_ties(
+            hashed, group_cols, score_col, ["_row_hash", *df.columns], descending, output_col, size_col, bounds
+        )
+        return ranked.drop("_row_hash")
     b = _bucketed(df, score_col, bounds)
     offsets = bucket_offsets(b.select(*group_cols, _BUCKET, F.lit(1).alias("_one")), group_cols, ["_one"], descending)
     joined = _null_safe_join(b, offsets, [*group_cols, _BUCKET])
@@ -322,7 +331,9 @@ def query_ids(df: DataFrame, date_col: str = "date", output_col: str = "query_id
     by the calendar.
     """
     days = df.select(date_col).distinct().withColumn("_day_number", F.unix_date(F.col(date_col)))
-    numbered = ordinal_rank(days, [], "_day_number", (), descending=False, output_col="_qid", size_col=None)
+    numbered = ordinal_rank(
+        days, [], "_day_number", (), descending=False, output_col="_qid", size_col=None, split_ties=False
+    )  # day numbers are unique: no ties to split
     numbered = numbered.select(date_col, (F.col("_qid") - 1).cast("long").alias(output_col))
     return df.join(F.broadcast(numbered), date_col, "left")
 

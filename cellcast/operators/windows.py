@@ -143,6 +143,6 @@ def sequential_ids(
     for c in order_cols:
         key = key * F.lit(span) + F.col(c).cast("long")
     ranked = ordinal_rank(
-        cells.withColumn("_order_key", key), [], "_order_key", (), False, "_seq", None
-    )
+        cells.withColumn("_order_key", key), [], "_order_key", (), False, "_seq", None, split_ties=False
+    )  # packed keys are unique: no ties to split
     return ranked.withColumn(output_col, F.format_string(fmt, F.col("_seq"))).drop("_order_key", "_seq")

@@ -127,7 +127,7 @@ def cell_batches(cells: DataFrame, size: int, order_col: str = "grid_id", batch_
     The ordinal comes from the distributed ranking primitive (no single
     partition window over the cells).
     """
-    ranked = ordinal_rank(cells, [], order_col, (), descending=False, output_col="_n", size_col=None) if _numeric(cells, order_col) else _string_rank(cells, order_col)
+    ranked = ordinal_rank(cells, [], order_col, (), descending=False, output_col="_n", size_col=None, split_ties=False) if _numeric(cells, order_col) else _string_rank(cells, order_col)
     return ranked.withColumn(batch_col, ((F.col("_n") - 1) / size).cast("long") + 1).withColumn(
         "position", ((F.col("_n") - 1) % size).cast("int")
     ).drop("_n")

@@ -191,3 +191,16 @@ def test_split_ties_keeps_null_scores_and_groups(spark):
         "date int, grid_id string, score double")
     out = {r["grid_id"]: (r["daily_rank"], r["group_rows"]) for r in R.ordinal_rank(df, ["date"], "score", ["grid_id"]).collect()}
     assert out == {"c": (1, 3), "a": (2, 3), "b": (3, 3), "d": (1, 2), "e": (2, 2)}
+
+
+def test_rank_without_tie_columns_is_a_valid_order(spark):
+    rows = [(d, i, 0.0 if i % 4 else float(i)) for d in range(2) for i in range(200)]
+    df = spark.createDataFrame(rows, "date int, k int, score double")
+    out = R.ordinal_rank(df, ["date"], "score").collect()
+    again = {(r["date"], r["k"]): r["daily_rank"] for r in R.ordinal_rank(df.repartition(5), ["date"], "score").collect()}
+    for d in range(2):
+        day = sorted((r for r in out if r["date"] == d), key=lambda r: r["daily_rank"])
+        assert [r["daily_rank"] for r in day] == list(range(1, 201))
+        scores = [r["score"] for r in day]
+        assert scores == sorted(scores, reverse=True)
+    assert again == {(r["date"], r["k"]): r["daily_rank"] for r in out}  # deterministic
