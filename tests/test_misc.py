@@ -114,3 +114,23 @@ def test_blended_daily_ranks(spark, model_data, tmp_dir):
     loaded, meta = L.load_artifact(os.path.join(tmp_dir, "art"))
     assert meta["threshold"] == 0.1 and meta["categorical_missing_value"] == "__MISSING__"
     assert L.score(loaded, model_data, []).count() == model_data.count()
+
+
+def test_scale_conf_sizes_partitions():
+    from cellcast.session import scale_conf
+
+    big = scale_conf(100 * 2**40, 1000, 8)
+    small = scale_conf(10 * 2**30, 10, 4)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert int(small["spark.sql.shuffle.partitions"]) >= 80
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_cut_lineage_writes_under_checkpoint_dir(spark):
+    from cellcast.session import cut_lineage, ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark)
+    df = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2), "probe")
+    assert df.count() == 10
+    files = df.inputFiles()
+    assert files and all(root.replace("file:", "") in f.replace("file:", "") for f in files)
