@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -125,3 +126,24 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable on every Python worker (once per context).
+
+    Pandas and Arrow functions are pickled by reference to their module, so a
+    worker started elsewhere needs the sources; Spark itself hands out the zip.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_cellcast_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cellcast-zip-"), "cellcast_sources.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    sc._cellcast_shipped = True
