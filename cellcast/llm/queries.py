@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellcast.llm import decontam, ngram_join, packing, secret_scan
+from cellcast.llm import decontam, line_dedup, ngram_join, packing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -47,6 +47,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, summary = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return line_dedup.digest(summary)
+
+
 ORACLE_SQL["op1_decontaminate"] = f"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
@@ -131,3 +137,44 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(spans, '') AS spans
 FROM doc LEFT JOIN joined USING (doc_id)
 """
+
+
+# Lines are compared as word lists joined by a blank; variants are texts, not hashes.
+ORACLE_SQL["op10_line_dedup"] = """
+WITH line AS (
+  SELECT doc_id, i - 1 AS line, regexp_extract_all(parts[i], '[^\\x20\\x09-\\x0D]+') AS w
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+    unnest(range(1, len(parts) + 1)) AS r(i)),
+occurrence AS (
+  SELECT doc_id, line, w, array_to_string(w, ' ') AS t FROM line WHERE len(w) > 0),
+firsts AS (SELECT t, any_value(w) AS w, min((doc_id, line)) AS pos FROM occurrence GROUP BY t),
+variant AS (
+  SELECT t, pos, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS key
+  FROM firsts, unnest(range(1, len(w) + 1)) AS r(i) WHERE len(w) >= 8),
+replaced AS (
+  SELECT DISTINCT t FROM (
+    SELECT t, pos, min(pos) OVER (PARTITION BY key, i) AS least FROM variant) WHERE pos > least),
+pair AS (
+  SELECT v.t, v.pos, o.t AS t2, o.pos AS pos2 FROM variant v JOIN firsts o ON o.t = v.key
+  WHERE len(o.w) >= 8),
+near AS (
+  SELECT t FROM replaced UNION SELECT t FROM pair WHERE pos > pos2
+  UNION SELECT t2 FROM pair WHERE pos2 > pos),
+judged AS (
+  SELECT doc_id, line, (doc_id, line) > firsts.pos AS exact, t IN (SELECT t FROM near) AS near
+  FROM occurrence JOIN firsts USING (t)),
+dropped AS (
+  SELECT doc_id, count(*) FILTER (exact) AS n_exact, count(*) FILTER (near AND NOT exact) AS n_near,
+    string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS dropped
+  FROM judged WHERE exact OR near GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(parts[i], chr(10) ORDER BY i) AS kept FROM (
+    SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+    unnest(range(1, len(parts) + 1)) AS r(i)
+  WHERE (doc_id, i - 1) NOT IN (SELECT (doc_id, line) FROM judged WHERE exact OR near)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT)
+    AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+  coalesce(dropped, '') AS dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN dropped USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
