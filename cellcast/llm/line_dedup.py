@@ -34,10 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.llm import words as W
+from cellcast.llm.bitmap import filter_rows, key_bitmap, may_contain
 from cellcast.session import cut_lineage, ship_package
 
 _K1 = 0x9E3779B97F4A7C15
@@ -132,6 +134,31 @@ def _list_lines(least: int):
     return run
 
 
+def _shared(keys: DataFrame, column: str):
+    return keys.sparkSession.sparkContext.broadcast(key_bitmap(keys, column))
+
+
+def _some_halves(bitmap):
+    """(h, h2, half) of the halves that may be shared with another line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves = batch.column("halves")
+            values = halves.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(halves).to_numpy())
+            hit = may_contain(bitmap.value, values)
+            pick = pa.array(owner[hit])
+            yield pa.record_batch(
+                {
+                    "h": batch.column("h").take(pick),
+                    "h2": batch.column("h2").take(pick),
+                    "half": pa.array(values[hit]),
+                }
+            )
+
+    return run
+
+
 _NEAR = "id long, row long, line int, h long, h2 long, own long, variants array<long>, text string"
 
 
@@ -202,24 +229,32 @@ def find_repeats(docs: DataFrame, min_words: int = 8) -> DataFrame:
     lines = cut_lineage(docs.mapInArrow(_list_lines(min_words), _LINE), "lines")
     place = F.struct("id", "row", "line")
     firsts = lines.groupBy("h", "h2").agg(F.min(place).alias("first"))
-    halves = lines.select("h", "h2", F.explode("halves").alias("half"))
-    common = (
-        halves.groupBy("half")
+    common = cut_lineage(
+        lines.select("h", F.explode("halves").alias("half"))
+        .groupBy("half")
         .agg(F.min("h").alias("least"), F.max("h").alias("most"))
         .where("least <> most")
-        .select("half")
+        .select("half"),
+        "halves",
+    )
+    halves = (
+        lines.select("h", "h2", "halves")
+        .mapInArrow(_some_halves(_shared(common, "half")), "h long, h2 long, half long")
+        .distinct()
     )
-    some = halves.distinct().join(common, "half").select("h", "h2").distinct()
-    wanted = (
+    some = halves.join(common, "half").select("h", "h2").distinct()
+    wanted = cut_lineage(
         some.join(firsts, ["h", "h2"])
         .groupBy(F.col("first.id").alias("wid"), F.col("first.row").alias("wrow"))
-        .agg(F.collect_set("first.line").alias("lines"))
+        .agg(F.collect_set("first.line").alias("lines")),
+        "wanted",
     )
     near = cut_lineage(
-        docs.dropDuplicates(["id", "row"])
+        filter_rows(docs, "row", key_bitmap(wanted, "wrow"))
         .join(wanted, (F.col("row") == F.col("wrow")) & F.col("id").eqNullSafe(F.col("wid")))
         .select("id", "row", "text", "lines")
-        .mapInArrow(_line_variants, _NEAR),
+        .mapInArrow(_line_variants, _NEAR)
+        .dropDuplicates(["h", "h2"]),
         "variants",
     )
     order = F.struct("id", "row", "line", "h", "h2").alias("at")
