@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +59,22 @@ def filter_rows(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
             yield batch.filter(pa.array(may_contain(shared.value, keys)))
 
     return df.mapInArrow(run, df.schema)
+
+
+def explode_hits(df: DataFrame, column: str, bitmap: np.ndarray, keep: list[str]) -> DataFrame:
+    """Rows (``keep``, key) for the elements of an array column that may be in the bitmap."""
+    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(column)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            hit = may_contain(shared.value, values)
+            pick = pa.array(owner[hit])
+            cols = {c: batch.column(c).take(pick) for c in keep}
+            yield pa.record_batch({**cols, "key": pa.array(values[hit], pa.int64())})
+
+    types = dict(df.dtypes)
+    schema = ", ".join(f"{c} {types[c]}" for c in keep) + ", key bigint"
+    return df.select(*keep, column).mapInArrow(run, schema)

@@ -34,12 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.llm import words as W
-from cellcast.llm.bitmap import filter_rows, key_bitmap, may_contain
+from cellcast.llm.bitmap import explode_hits, filter_rows, key_bitmap
 from cellcast.session import cut_lineage, ship_package
 
 _K1 = 0x9E3779B97F4A7C15
@@ -54,7 +53,6 @@ class _Lines:
         words = W.Words(buf, offsets, W.NON_SPACE)
         feeds = np.flatnonzero(buf == 10)
         before = np.searchsorted(feeds, offsets)
-        self.n_lines = np.diff(before) + 1
         doc = words.docs()
         number = np.searchsorted(feeds, words.starts) - before[:-1][doc]
         head = np.ones(len(words), bool)
@@ -99,17 +97,19 @@ class _Lines:
             for n, e, row in zip(self.n.tolist(), even.tolist(), table.tolist())
         ]
 
-    def variants(self) -> tuple[np.ndarray, np.ndarray]:
-        """(own key, keys of the variants with one word deleted, in word order over all lines)."""
+    def variants(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(own key, keys of the variants with one word deleted, the same with the word's place)."""
         total, inv = self.sums[0], np.uint64(pow(_K1, -1, 1 << 64))
         line = np.repeat(np.arange(len(self.n)), self.n)
         word = np.arange(len(line))
         left = total[word] - total[self.start[line]]
         right = (total[self.end[line]] - total[word + 1]) * inv
-        return self.key(0), W.mix(left + right + (self.n[line] - 1).astype(np.uint64))
+        keys = W.mix(left + right + (self.n[line] - 1).astype(np.uint64))
+        place = word - self.start[line]
+        return self.key(0), keys, W.combine(keys, place.astype(np.uint64))
 
 
-_LINE = "id long, row long, line int, h long, h2 long, n int, halves array<long>, n_lines int"
+_LINE = "id long, row long, line int, h long, h2 long, halves array<long>"
 
 
 def _list_lines(least: int):
@@ -125,41 +125,17 @@ def _list_lines(least: int):
                         "line": pa.array(x.number, pa.int32()),
                         "h": pa.array(x.key(0).view(np.int64)),
                         "h2": pa.array(x.key(1).view(np.int64)),
-                        "n": pa.array(x.n, pa.int32()),
                         "halves": pa.array(x.halves(least), pa.list_(pa.int64())),
-                        "n_lines": pa.array(x.n_lines[x.doc], pa.int32()),
                     }
                 )
 
     return run
 
 
-def _shared(keys: DataFrame, column: str):
-    return keys.sparkSession.sparkContext.broadcast(key_bitmap(keys, column))
-
-
-def _some_halves(bitmap):
-    """(h, h2, half) of the halves that may be shared with another line."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            halves = batch.column("halves")
-            values = halves.flatten().to_numpy()
-            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(halves).to_numpy())
-            hit = may_contain(bitmap.value, values)
-            pick = pa.array(owner[hit])
-            yield pa.record_batch(
-                {
-                    "h": batch.column("h").take(pick),
-                    "h2": batch.column("h2").take(pick),
-                    "half": pa.array(values[hit]),
-                }
-            )
-
-    return run
-
-
-_NEAR = "id long, row long, line int, h long, h2 long, own long, variants array<long>, text string"
+_NEAR = (
+    "id long, row long, line int, h long, h2 long, own long, variants array<long>, "
+    "placed array<long>, text string"
+)
 
 
 def _line_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +143,10 @@ def _line_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for whole in batches:
         for batch in W.slices(whole, "text"):
             x = _Lines(batch, "text")
-            own, keys = x.variants()
+            own, keys, placed = x.variants()
             h, h2 = x.key(0).view(np.int64), x.key(1).view(np.int64)
             wanted = batch.column("lines")
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(9)]
             by_doc = np.searchsorted(x.doc, np.arange(batch.num_rows + 1))
             for d in range(batch.num_rows):
                 want = set(wanted[d].as_py())
@@ -186,6 +162,7 @@ def _line_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                             int(h2[i]),
                             int(own[i].view(np.int64)),
                             keys[a:b].view(np.int64),
+                            placed[a:b].view(np.int64),
                             text.decode("utf-8", "replace"),
                         )
                         for col, v in zip(out, row):
@@ -195,9 +172,10 @@ def _line_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 [
                     *[pa.array(c, t) for c, t in zip(out, types)],
                     pa.array(out[6], pa.list_(pa.int64())),
-                    pa.array(out[7], pa.string()),
+                    pa.array(out[7], pa.list_(pa.int64())),
+                    pa.array(out[8], pa.string()),
                 ],
-                names=["id", "row", "line", "h", "h2", "own", "variants", "text"],
+                names=["id", "row", "line", "h", "h2", "own", "variants", "placed", "text"],
             )
 
 
@@ -223,26 +201,35 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["h", "h2"])
 
 
+def _several(hashes: DataFrame, column: str) -> DataFrame:
+    """Values of an array column that rows with different ``h`` have (for a bitmap and an exact join)."""
+    return cut_lineage(
+        hashes.select("h", F.explode(column).alias("key"))
+        .groupBy("key")
+        .agg(F.min("h").alias("least"), F.max("h").alias("most"))
+        .where("least <> most")
+        .select("key"),
+        "several",
+    )
+
+
 def find_repeats(docs: DataFrame, min_words: int = 8) -> DataFrame:
-    """One row per occurrence of a line with words: (id, row, line, n_lines, exact, near);
-    ``exact``: an equal line is earlier; ``near``: a near one is.  ``docs``: id, row, text."""
+    """One row per line to drop: (id, row, line, exact, near); ``exact``: an equal line is
+    earlier; ``near``: a near one is.  ``docs``: id, row, text."""
     lines = cut_lineage(docs.mapInArrow(_list_lines(min_words), _LINE), "lines")
     place = F.struct("id", "row", "line")
-    firsts = lines.groupBy("h", "h2").agg(F.min(place).alias("first"))
-    common = cut_lineage(
-        lines.select("h", F.explode("halves").alias("half"))
-        .groupBy("half")
-        .agg(F.min("h").alias("least"), F.max("h").alias("most"))
-        .where("least <> most")
-        .select("half"),
-        "halves",
+    firsts = cut_lineage(
+        lines.groupBy("h", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times")),
+        "firsts",
     )
-    halves = (
-        lines.select("h", "h2", "halves")
-        .mapInArrow(_some_halves(_shared(common, "half")), "h long, h2 long, half long")
+    common = _several(lines, "halves")
+    some = (
+        explode_hits(lines, "halves", key_bitmap(common, "key"), ["h", "h2"])
+        .distinct()
+        .join(common, "key")
+        .select("h", "h2")
         .distinct()
     )
-    some = halves.join(common, "half").select("h", "h2").distinct()
     wanted = cut_lineage(
         some.join(firsts, ["h", "h2"])
         .groupBy(F.col("first.id").alias("wid"), F.col("first.row").alias("wrow"))
@@ -257,23 +244,28 @@ def find_repeats(docs: DataFrame, min_words: int = 8) -> DataFrame:
         .dropDuplicates(["h", "h2"]),
         "variants",
     )
-    order = F.struct("id", "row", "line", "h", "h2").alias("at")
-    variants = near.select(order, F.posexplode("variants").alias("place", "key"))
-    earliest = (
-        variants.groupBy("key", "place")
-        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
-        .where("first <> last")
-        .select("key", "place", "first")
-    )
-    replaced = variants.join(earliest, ["key", "place"]).where("at <> first").select(
-        F.col("at").alias("later"), F.col("first").alias("earlier")
+    line = ["id", "row", "line", "h", "h2"]
+    order = F.struct(*line)
+    replaced = explode_hits(near, "placed", key_bitmap(_several(near, "placed"), "key"), line)
+    replaced = replaced.select("key", order.alias("at"))
+    earliest = replaced.groupBy("key").agg(F.min("at").alias("first"))
+    replaced = (
+        replaced.join(earliest, "key")
+        .where("at <> first")
+        .select(F.col("at").alias("later"), F.col("first").alias("earlier"))
     )
     whole = near.select(F.col("own").alias("key"), order.alias("other"))
-    inserted = variants.select("key", "at").join(whole, "key").select(
-        F.greatest("at", "other").alias("later"), F.least("at", "other").alias("earlier")
+    inserted = (
+        explode_hits(near, "variants", key_bitmap(whole, "key"), line)
+        .select("key", order.alias("at"))
+        .join(whole, "key")
+        .select(F.greatest("at", "other").alias("later"), F.least("at", "other").alias("earlier"))
     )
     links = replaced.unionAll(inserted).distinct()
     words = near.select("h", "h2", "text")
+    other = near.select(
+        F.col("h").alias("eh"), F.col("h2").alias("eh2"), F.col("text").alias("other")
+    )
     repeats = (
         links.select(
             F.col("later.h").alias("h"),
@@ -282,20 +274,23 @@ def find_repeats(docs: DataFrame, min_words: int = 8) -> DataFrame:
             F.col("earlier.h2").alias("eh2"),
         )
         .join(words, ["h", "h2"])
-        .join(words.select(F.col("h").alias("eh"), F.col("h2").alias("eh2"), F.col("text").alias("other")), ["eh", "eh2"])
+        .join(other, ["eh", "eh2"])
         .select("h", "h2", "text", "other")
         .mapInArrow(_confirm, "h long, h2 long")
         .distinct()
         .withColumn("near", F.lit(True))
     )
-    known = firsts.join(repeats, ["h", "h2"], "left")
-    return lines.join(known, ["h", "h2"]).select(
-        "id",
-        "row",
-        "line",
-        "n_lines",
-        (place != F.col("first")).alias("exact"),
-        F.coalesce("near", F.lit(False)).alias("near"),
+    known = cut_lineage(
+        firsts.join(repeats, ["h", "h2"], "left")
+        .where("times > 1 or near")
+        .select("h", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")),
+        "known",
+    )
+    return (
+        filter_rows(lines.select(*line), "h", key_bitmap(known, "h"))
+        .join(known, ["h", "h2"])
+        .select("id", "row", "line", (place != F.col("first")).alias("exact"), "near")
+        .where("exact or near")
     )
 
 
@@ -315,7 +310,7 @@ def dedup_lines(
     )
     found = find_repeats(docs, min_words)
     dropped = (
-        found.where("exact or near")
+        found
         # Repeated rows list the same lines: once is enough.
         .groupBy("id", "row", "line")
         .agg(F.max("exact").alias("exact"), F.max("near").alias("near"))
