@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellcast.llm import decontam, line_dedup, ngram_join, packing, secret_scan
+from pyspark.sql import functions as F
+
+from cellcast.llm import (
+    decontam,
+    embed_dedup,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    secret_scan,
+    token_count,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +43,30 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(found)
 
 
+@_register
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def held_out(modulus: int, remainder: int):
+    """Whether a document's id puts it in the held-out part (a null id never does)."""
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+    return F.coalesce(part, F.lit(False))
+
+
+@_register
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    filters = language_id.learn_filters(docs.where(~held_out(4, 2)))
+    found = language_id.identify(docs, filters)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "coverage")
+
+
+@_register
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
