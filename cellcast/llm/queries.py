@@ -14,6 +14,7 @@ from cellcast.llm import (
     embed_dedup,
     language_id,
     line_dedup,
+    lm_score,
     ngram_join,
     packing,
     secret_scan,
@@ -72,6 +73,16 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.score_documents(
+        _table(spark, sf_dir, "documents"), train=(F.col("doc_id").isNotNull()) & ~held_out(7, 2)
+    )
+    return scored.select(
+        "doc_id", held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @_register
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
