@@ -19,6 +19,7 @@ from cellcast.llm import (
     packing,
     secret_scan,
     token_count,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +69,22 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    train = docs.where(~held_out(3, 1)).join(labels.where(~held_out(3, 1)), "doc_id")
+    field = toxicity.learn_field(train.select("doc_id", "text", "toxic"))
+    scored = toxicity.score_toxicity(docs, field)
+    return scored.select(
+        "doc_id",
+        held_out(3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
 @_register
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
