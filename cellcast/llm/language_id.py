@@ -144,6 +144,30 @@ def learn_filters(
     return LanguageFilters({k: np.array(v, np.uint32) for k, v in grams.items()})
 
 
+def _predict(
+    own: LanguageFilters, batch: pa.RecordBatch
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, coverage) of the texts of a batch."""
+    grams, first, letters = _grams(batch)
+    share = own.shares(grams, first)
+    texts = batch.column("text")
+    n = batch.num_rows
+    names, score, cover = ["und"] * n, np.zeros(n), np.zeros(n)
+    if own.names:
+        best = share.argmax(axis=1)
+        top = share[np.arange(n), best]
+        rest = share.copy()
+        rest[np.arange(n), best] = 0
+        second = rest.max(axis=1)
+        margin = np.where(top > 0, top / np.maximum(top + second, 1e-300), 0)
+        for i in range(n):
+            if letters[i] or any(c.isalpha() for c in texts[i].as_py() or ""):
+                names[i] = own.names[best[i]]
+                cover[i] = min(1.0, top[i])
+                score[i] = cover[i] * margin[i]
+    return names, score, cover
+
+
 def identify(
     documents: DataFrame, filters: LanguageFilters, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -154,27 +178,9 @@ def identify(
     id_type = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for whole in batches:
             for batch in W.slices(whole, "text", _SLICE):
-                grams, first, letters = _grams(batch)
-                share = own.shares(grams, first)
-                texts = batch.column("text")
-                n = batch.num_rows
-                names, score, cover = ["und"] * n, np.zeros(n), np.zeros(n)
-                if own.names:
-                    best = share.argmax(axis=1)
-                    top = share[np.arange(n), best]
-                    rest = share.copy()
-                    rest[np.arange(n), best] = 0
-                    second = rest.max(axis=1)
-                    with np.errstate(invalid="ignore"):
-                        margin = np.where(top > 0, top / np.maximum(top + second, 1e-300), 0)
-                    for i in range(n):
-                        if letters[i] or any(c.isalpha() for c in texts[i].as_py() or ""):
-                            names[i] = own.names[best[i]]
-                            cover[i] = min(1.0, top[i])
-                            score[i] = cover[i] * margin[i]
+                names, score, cover = _predict(shared.value, batch)
                 yield pa.record_batch(
                     {
                         "id": batch.column("id"),
@@ -189,3 +195,25 @@ def identify(
         .mapInArrow(run, f"id {id_type}, lang_pred string, score double, coverage double")
         .withColumnRenamed("id", id_col)
     )
+
+
+def keep_identified(
+    documents: DataFrame,
+    filters: LanguageFilters,
+    text_col: str = "text",
+    min_coverage: float = 0.2,
+) -> DataFrame:
+    """The rows of ``documents``, as they are, whose text is in a learned language."""
+    spark = documents.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in W.slices(whole, text_col, _SLICE):
+                texts = pa.record_batch({"text": batch.column(text_col)})
+                names, _, cover = _predict(shared.value, texts)
+                keep = (np.array(names) != "und") & (cover >= min_coverage)
+                yield batch.filter(pa.array(keep))
+
+    return documents.mapInArrow(run, documents.schema)
