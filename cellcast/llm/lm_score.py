@@ -13,8 +13,8 @@ the word before, a missing arc costs the failure weight, and the logarithms add
 up.  The probabilities of each state sum to one.
 
 No table of the whole model exists anywhere.  Documents are dealt into chunks;
-each chunk's distinct words and word pairs (as 64-bit hashes, with their counts
-in training texts) go to groups by hash, where they are added up over the
+each chunk's distinct words and word pairs (as hashes, with their counts in
+training texts) go to groups by hash, where they are added up over the
 corpus; a group answers a chunk with the sums that differ from what the chunk
 itself counted.  The chunk's part of the automaton is then built from its own
 counts and the answers, and its texts are scored.  Common words are summed per
@@ -40,8 +40,39 @@ from cellcast.session import cut_lineage, ship_package
 
 _END = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
-_PAIR = np.dtype([("h", "<i8"), ("n", "<i4"), ("word", "?")])
-_ANSWER = np.dtype([("h", "<i8"), ("n", "<i8")])
+_LOW = np.uint64((1 << 48) - 1)
+_IS_PAIR = np.int64(1 << 48)
+
+
+def _group_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Group by the upper half of a hash; inside a group its lower 48 bits tell hashes apart."""
+    return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _code(bucket, low: np.ndarray) -> np.ndarray:
+    """Hashes again as one number: group and lower bits (the flag of pairs is bit 63)."""
+    low = low.astype(np.uint64)
+    flag = (low >> np.uint64(48)) << np.uint64(63)
+    group = (np.asarray(bucket).astype(np.uint64) & np.uint64((1 << 15) - 1)) << np.uint64(48)
+    return flag | group | (low & _LOW)
+
+
+def _pack(low: np.ndarray, counts: np.ndarray) -> bytes:
+    """Words first, then pairs: two lengths, six bytes per hash, four per count."""
+    words = int((low < _IS_PAIR).sum())
+    head = np.array([words, len(low) - words], "<u4").tobytes()
+    six = low.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return head + six + counts.astype("<u4").tobytes()
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    words, pairs = np.frombuffer(blob, "<u4", 2).tolist()
+    n = words + pairs
+    low = np.zeros((n, 8), np.uint8)
+    low[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 8).reshape(n, 6)
+    low = low.reshape(-1).view("<i8").copy()
+    low[words:] += _IS_PAIR
+    return low, np.frombuffer(blob, "<u4", n, 8 + 6 * n).astype(np.int64)
 
 
 class _Tokens:
@@ -64,22 +95,16 @@ class _Tokens:
         self.pair = W.combine(self.state, self.h)
         self.starts = self.first[:-1]
 
-    def entries(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes with their training counts and whether they are words (not pairs)."""
+    def entries(self, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(distinct hashes in order, training counts) of the words, then of the pairs."""
         weight = np.repeat(train, self.count).astype(np.int64)
-        out = []
         # The start state's count is the number of training texts.
-        singles = np.concatenate([self.h, np.full(len(train), _START)])
-        for values, weights, word in (
-            (singles, np.concatenate([weight, train.astype(np.int64)]), True),
-            (self.pair, weight, False),
-        ):
-            key, back = np.unique(values, return_inverse=True)
-            out.append((key, np.bincount(back, weights, len(key)).astype(np.int64), word))
-        keys = np.concatenate([k for k, _, _ in out])
-        counts = np.concatenate([c for _, c, _ in out])
-        is_word = np.concatenate([np.full(len(k), w) for k, _, w in out])
-        return keys, counts, is_word
+        words = np.concatenate([self.h, np.full(len(train), _START)])
+        out = []
+        for h, w in ((words, np.concatenate([weight, train.astype(np.int64)])), (self.pair, weight)):
+            keys, back = np.unique(h, return_inverse=True)
+            out.append((keys, np.bincount(back, w, len(keys)).astype(np.int64)))
+        return out
 
 
 def _gather(buckets: int):
@@ -90,68 +115,68 @@ def _gather(buckets: int):
             chunk = whole.column("chunk").to_numpy()
             for c in np.unique(chunk).tolist():
                 for batch in W.slices(whole.filter(pa.array(chunk == c)), "text"):
-                    tokens = _Tokens(batch)
                     train = batch.column("train").to_numpy(zero_copy_only=False)
-                    keys, counts, is_word = tokens.entries(train)
-                    bucket = ((keys >> np.uint64(17)) % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    rows = np.empty(len(keys), _PAIR)
-                    rows["h"], rows["n"] = keys.view(np.int64), counts
-                    rows["word"] = is_word
-                    rows = rows[order]
-                    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                    some = np.flatnonzero(np.diff(cuts))
+                    kinds = []
+                    for (h, counts), flag in zip(_Tokens(batch).entries(train), (0, _IS_PAIR)):
+                        # Groups follow the order of the hashes.
+                        cuts = np.searchsorted(_group_of(h, buckets), np.arange(buckets + 1))
+                        kinds.append(((h & _LOW).astype(np.int64) + flag, counts, cuts))
+                    some, blobs = [], []
+                    for g in range(buckets):
+                        part = [(low[k[g] : k[g + 1]], n[k[g] : k[g + 1]]) for low, n, k in kinds]
+                        if len(part[0][0]) + len(part[1][0]):
+                            some.append(g)
+                            blobs.append(_pack(*(np.concatenate(x) for x in zip(*part))))
                     yield pa.record_batch(
                         {
-                            "bucket": pa.array(some.astype(np.int64)),
+                            "bucket": pa.array(some, pa.int64()),
                             "chunk": pa.array(np.full(len(some), c, np.int64)),
-                            "blob": pa.array(
-                                [rows[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()
-                            ),
+                            "blob": pa.array(blobs, pa.binary()),
                         }
                     )
 
     return run
 
 
-_ANSWERS = "chunk long, blob binary, tokens long, distinct long"
+_ANSWERS = "bucket long, chunk long, blob binary, tokens long, distinct long"
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _answer(buckets: int):
     """Sums over the corpus of a group's hashes; to each chunk, those it does not know itself."""
-    chunks, blobs = table["chunk"].to_numpy(), table["blob"].to_pylist()
-    parts = [np.frombuffer(b, _PAIR) for b in blobs]
-    rows = np.concatenate(parts)
-    owner = np.repeat(chunks, [len(p) for p in parts])
-    keys, back = np.unique(rows["h"], return_inverse=True)
-    total = np.bincount(back, rows["n"], len(keys)).astype(np.int64)
-    word = np.zeros(len(keys), bool)
-    word[back] = rows["word"]
-    word &= keys != _START.view(np.int64)
-    # What the chunk counted, over all its parts.
-    order = np.lexsort((back, owner))
-    owner, back, own = owner[order], back[order], rows["n"][order].astype(np.int64)
-    head = np.ones(len(order), bool)
-    head[1:] = (owner[1:] != owner[:-1]) | (back[1:] != back[:-1])
-    own = np.add.reduceat(own, np.flatnonzero(head))
-    owner, back = owner[head], back[head]
-    news = own != total[back]
-    owner, back = owner[news], back[news]
-    answers = np.empty(len(back), _ANSWER)
-    answers["h"], answers["n"] = keys[back], total[back]
-    names, first = np.unique(owner, return_index=True)
-    cuts = np.append(first, len(owner))
-    out = [(-1, b"", int(total[word].sum()), int((total[word] > 0).sum()))]
-    out += [(int(c), answers[cuts[i] : cuts[i + 1]].tobytes(), 0, 0) for i, c in enumerate(names)]
-    cols = list(zip(*out))
-    return pa.table(
-        {
-            "chunk": pa.array(cols[0], pa.int64()),
-            "blob": pa.array(cols[1], pa.binary()),
-            "tokens": pa.array(cols[2], pa.int64()),
-            "distinct": pa.array(cols[3], pa.int64()),
-        }
-    )
+    start = np.array([_START], np.uint64)
+    start_group, start_low = int(_group_of(start, buckets)[0]), int(start[0] & _LOW)
+
+    def run(table: pa.Table) -> pa.Table:
+        group = table["bucket"][0].as_py()
+        chunks = table["chunk"].to_numpy()
+        parts = [_unpack(b) for b in table["blob"].to_pylist()]
+        owner = np.repeat(chunks, [len(p[0]) for p in parts])
+        own = np.concatenate([p[1] for p in parts])
+        keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        total = np.bincount(back, own, len(keys)).astype(np.int64)
+        word = keys < _IS_PAIR
+        if group == start_group:
+            word &= keys != start_low
+        # What the chunk counted, over all its parts.
+        order = np.lexsort((back, owner))
+        owner, back, own = owner[order], back[order], own[order]
+        head = np.ones(len(order), bool)
+        head[1:] = (owner[1:] != owner[:-1]) | (back[1:] != back[:-1])
+        own = np.add.reduceat(own, np.flatnonzero(head))
+        owner, back = owner[head], back[head]
+        news = own != total[back]
+        owner, back = owner[news], back[news]
+        names, first = np.unique(owner, return_index=True)
+        cuts = np.append(first, len(owner))
+        out = [(group, -1, b"", int(total[word].sum()), int((total[word] > 0).sum()))]
+        for i, c in enumerate(names.tolist()):
+            mine = back[cuts[i] : cuts[i + 1]]
+            out.append((group, c, _pack(keys[mine], total[mine]), 0, 0))
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        names = ["bucket", "chunk", "blob", "tokens", "distinct"]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    return run
 
 
 class BackoffAutomaton:
@@ -177,32 +202,36 @@ class BackoffAutomaton:
         return np.log10(prob), np.log10(plain), seen
 
 
-def _score(n: int, v: int, kappa: float):
+def _score(n: int, v: int, kappa: float, buckets: int):
+    def codes(h: np.ndarray, flag: int = 0) -> np.ndarray:
+        return _code(_group_of(h, buckets), (h & _LOW).astype(np.int64) + flag)
+
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         batches = [
             b
             for whole in texts.combine_chunks().to_batches()
             for b in W.slices(whole, "text")
         ]
-        parts = [np.frombuffer(b, _ANSWER) for b in answers["blob"].to_pylist()]
-        told = np.concatenate(parts) if parts else np.zeros(0, _ANSWER)
         own_keys, own_counts, tokens = [], [], []
         for batch in batches:
             t = _Tokens(batch)
             train = batch.column("train").to_numpy(zero_copy_only=False)
-            keys, counts, _ = t.entries(train)
-            own_keys.append(keys)
-            own_counts.append(counts)
+            for (h, counts), flag in zip(t.entries(train), (0, int(_IS_PAIR))):
+                own_keys.append(codes(h, flag))
+                own_counts.append(counts)
             tokens.append(t)
         keys, back = np.unique(np.concatenate(own_keys), return_inverse=True)
         counts = np.bincount(back, np.concatenate(own_counts), len(keys)).astype(np.int64)
         # Answers replace the chunk's own counts.
-        at = np.searchsorted(keys, told["h"].view(np.uint64))
-        counts[at] = told["n"]
+        for group, blob in zip(answers["bucket"].to_pylist(), answers["blob"].to_pylist()):
+            low, total = _unpack(blob)
+            counts[np.searchsorted(keys, _code(group, low))] = total
         automaton = BackoffAutomaton(keys, counts, n, v, kappa)
         out = []
         for batch, t in zip(batches, tokens):
-            log, plain, seen = automaton.traverse(t.state, t.h, t.pair)
+            log, plain, seen = automaton.traverse(
+                codes(t.state), codes(t.h), codes(t.pair, int(_IS_PAIR))
+            )
             out.append(
                 pa.table(
                     {
@@ -227,7 +256,7 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     kappa: float = 200.0,
-    chunk_ids: int = 1024,
+    chunk_ids: int = 2048,
     entries: int = 1_000_000,
 ) -> DataFrame:
     """One row per document row: the id, ``train`` (whether it trained the model),
@@ -249,7 +278,7 @@ def score_documents(
     answers = cut_lineage(
         docs.mapInArrow(_gather(buckets), "bucket long, chunk long, blob binary")
         .groupBy("bucket")
-        .applyInArrow(_answer, _ANSWERS),
+        .applyInArrow(_answer(buckets), _ANSWERS),
         "answers",
     )
     total = answers.where("chunk = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
@@ -257,10 +286,10 @@ def score_documents(
         "id long, train boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
-    told = answers.where("chunk <> -1").select("chunk", "blob")
+    told = answers.where("chunk <> -1").select("chunk", "bucket", "blob")
     return (
         docs.groupBy("chunk")
         .cogroup(told.groupBy("chunk"))
-        .applyInArrow(_score(int(total[0] or 0), int(total[1] or 0), kappa), schema)
+        .applyInArrow(_score(int(total[0] or 0), int(total[1] or 0), kappa, buckets), schema)
         .withColumnRenamed("id", id_col)
     )
