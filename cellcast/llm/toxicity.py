@@ -325,7 +325,7 @@ def learn_field(
     text_col: str = "text",
     label_col: str = "toxic",
     max_rows: int = 4_000,
-    min_docs: int = 5,
+    min_docs: int = 3,
     min_share: float = 0.9,
 ) -> ToxicField:
     """Fit a field on labelled documents (rows without text or label are left out)."""
