@@ -241,3 +241,39 @@ SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, ch
   coalesce(dropped, '') AS dropped, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN dropped USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+# All pairs of vectors; links are closed transitively.
+ORACLE_SQL["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+  vec_id = coalesce(root, vec_id) AS kept
+FROM v LEFT JOIN degree ON degree.a = vec_id LEFT JOIN root ON root.a = vec_id
+"""
+
+# All pairs that share a shingle; links are closed transitively.
+ORACLE_SQL["op9_ngram_join"] = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+    '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM doc, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS r(i)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+root AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
+SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc.doc_id) AS component_id
+FROM doc LEFT JOIN size ON size.doc_id = doc.doc_id LEFT JOIN root ON root.a = doc.doc_id
+"""
