@@ -97,8 +97,8 @@ def apply_levels(
 ) -> DataFrame:
     """map values to saved levels; unseen values become null.
 
-    Levels are a small table (features x distinct values) joined by broadcast;
-    its size is bounded by the categorical vocabularies.
+    The join strategy is left to AQE, which broadcasts a level table only when
+    its measured size allows it.
     """
     as_type = as_type or {}
     out = df
@@ -107,7 +107,7 @@ def apply_levels(
             F.col("level").alias(f"_lv_{c}"), F.col("level_index").alias(f"{c}_index")
         )
         key = category_string(F.col(c), as_type.get(c))
-        out = out.withColumn(f"_key_{c}", key).join(F.broadcast(lv), F.col(f"_key_{c}") == F.col(f"_lv_{c}"), "left")
+        out = out.withColumn(f"_key_{c}", key).join(lv, F.col(f"_key_{c}") == F.col(f"_lv_{c}"), "left")
         out = out.withColumn(c, F.col(f"_lv_{c}")).drop(f"_key_{c}", f"_lv_{c}")
     return out
 

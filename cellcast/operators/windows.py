@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellcast.fixed_values import INCLUSIVE_WINDOW_SPECS, PAST_WINDOW_SPECS
-from cellcast.operators.ranking import ordinal_rank
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -132,17 +131,22 @@ def sequential_ids(
     order_cols: Sequence[str] = ("ix", "iy"),
     output_col: str = "grid_id",
     fmt: str = "CA-%05d",
-    span: int = 1 << 20,
 ) -> DataFrame:
-    """1-based ids in (ix, iy) order, formatted.
+    """1-based ids in the order of ``order_cols``, formatted.
 
-    The order key is packed into one long so the distributed ordinal rank
-    (bucketed prefix counts) applies; no single-partition window.
+    The first column splits the grid: an id is the number of cells of smaller
+    first columns (a running sum over one row per grid column) plus the position
+    by the other columns inside its own.
     """
-    key = F.lit(0).cast("long")
-    for c in order_cols:
-        key = key * F.lit(span) + F.col(c).cast("long")
-    ranked = ordinal_rank(
-        cells.withColumn("_order_key", key), [], "_order_key", (), False, "_seq", None, split_ties=False
-    )  # packed keys are unique: no ties to split
-    return ranked.withColumn(output_col, F.format_string(fmt, F.col("_seq"))).drop("_order_key", "_seq")
+    first, *others = order_cols
+    before = (
+        cells.groupBy(F.col(first).alias("_first"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(Window.orderBy("_first")) - F.col("_n"))
+        .drop("_n")
+    )
+    inside = F.row_number().over(Window.partitionBy(first).orderBy(*(others or [first])))
+    ranked = cells.withColumn("_inside", inside).join(before, F.col(first) == F.col("_first"))
+    return ranked.withColumn(
+        output_col, F.format_string(fmt, F.col("_before") + F.col("_inside"))
+    ).drop("_first", "_before", "_inside")

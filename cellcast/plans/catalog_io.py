@@ -374,7 +374,7 @@ def q_model_backtest(spark, sf_dir):
 
     data = four_score_base(spark, sf_dir)  # materialized: reused by every fitting pass
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias(CELL), "c_mktsegment")
-    data = data.join(F.broadcast(cust), CELL, "left")
+    data = data.join(cust, CELL, "left")
     numeric = ["s_rank_total_7d", "s_rank_total_30d", "s_rank_max_3d", "s_rank_min_3d"]
     split = P.temporal_split(data, DAY, "2024-01-15", "2024-01-23")
     train = split.filter(F.col("split") == "train")

@@ -68,21 +68,26 @@ def read_detection_csv(
     schema: T.StructType = DETECTION_SCHEMA,
     required: Sequence[str] = DETECTION_REQUIRED,
 ) -> DataFrame:
-    """CSV with a declared schema (no inference) and a required-column check.
+    """The declared columns of CSV files that may have others besides.
 
-    ``enforceSchema=False`` makes Spark check the header against the schema
-    names, so a renamed column is an error rather than a silent shift.
+    The header of the files is read first and checked for the required names;
+    the columns of ``schema`` are then taken by name, with their types, and a
+    value that does not fit becomes null.  ``enforceSchema=False`` makes Spark
+    compare every file's header with the first one's.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = (
+    header = spark.read.option("header", True).csv(paths).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
-        .schema(schema)
+        .schema(text)
         .csv(paths)
     )
-    require_columns(df, required, "Detection")
-    return nan_to_null(df)
+    require_columns(raw, required, "Detection")
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema if f.name in header]
+    return nan_to_null(raw.select(*typed))
 
 
 def read_csv_folder(spark: SparkSession, folder: str, pattern: str, schema: T.StructType | None = None) -> DataFrame:
@@ -105,7 +110,7 @@ def discover_parquet(spark: SparkSession, inputs: Sequence[str]) -> list[str]:
         if fs.getFileStatus(p).isDirectory():
             files.extend(list_files(spark, os.path.join(item, "*.parquet")))
         else:
-            files.append(str(p.toString()))
+            files.append(str(fs.makeQualified(p).toString()))
     unique = list(dict.fromkeys(files))
     if not unique:
         raise FileNotFoundError("No Parquet weather files were found.")
@@ -121,18 +126,24 @@ def read_ordered_parquet(
     """S3: read all files at once, tag each row with its file's position.
 
     The position comes from a broadcast (path -> order) table joined on
-    ``_metadata.file_path``; a key repeated inside one file is rejected with
-    one grouped count.  Later files win in :func:`cellcast.operators.windows.dedupe_keep`.
+    ``_metadata.file_path``; every file's footer must have the required
+    columns, and a key repeated inside one file is rejected with one grouped
+    count.  Later files win in :func:`cellcast.operators.windows.dedupe_keep`.
     """
     files = discover_parquet(spark, inputs)
+    for path in files:
+        require_columns(spark.read.parquet(path), required, "Weather")
     df = spark.read.parquet(*files).select("*", F.col("_metadata.file_path").alias("_file"))
-    require_columns(df, required, "Weather")
     order = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _source_order int")
     tagged = df.join(F.broadcast(order), "_file", "left")
-    dup = (
-        tagged.groupBy("_file", *keys).count().filter(F.col("count") > 1)
-        .agg(F.sum(F.col("count") - 1)).first()[0]
+    dup, lost = (
+        tagged.groupBy("_file", "_source_order", *keys)
+        .count()
+        .agg(F.sum(F.col("count") - 1), F.count_if(F.col("_source_order").isNull()))
+        .first()
     )
+    if lost:
+        raise ValueError("Some rows come from files whose position in the input list is unknown.")
     if dup:
         raise ValueError(f"Weather files contain {dup:,} duplicate grid/date rows.")
     return nan_to_null(tagged.drop("_file"))
@@ -197,7 +208,7 @@ def read_grid_geojson(
     )
     to_ring = lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
     return rows.select("grid_id", "properties", to_ring(F.col("polygon")[0]).alias("ring"),
-                       F.transform(F.slice("polygon", 2, 1 << 20), to_ring).alias("holes"))
+                       F.transform(F.slice("polygon", 2, F.size("polygon")), to_ring).alias("holes"))
 
 
 def read_pixels(spark: SparkSession, path: str, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:

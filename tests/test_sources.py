@@ -115,3 +115,29 @@ def test_geojson_lines(spark, tmp_dir):
     g = RD.read_grid_geojson(spark, path, line_delimited=True)
     assert sorted(r["grid_id"] for r in g.collect()) == ["CA-00000", "CA-00001", "CA-00002"]
     assert len(g.first()["ring"]) == 4
+
+
+def test_explicit_unsorted_files_keep_their_order(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name, value in (("a", 1.0), ("b", 2.0)):
+        pq.write_table(pa.table({"grid_id": ["x"], "date": ["2024-01-01"], "v": [value]}), f"{tmp_dir}/{name}.parquet")
+    files = [f"{tmp_dir}/b.parquet", f"{tmp_dir}/a.parquet"]
+    got = {r.v: r._source_order for r in RD.read_ordered_parquet(spark, files, ["grid_id", "v"]).collect()}
+    assert got == {2.0: 0, 1.0: 1}
+    pq.write_table(pa.table({"grid_id": ["x"], "date": ["2024-01-02"]}), f"{tmp_dir}/c.parquet")
+    with pytest.raises(ValueError):
+        RD.read_ordered_parquet(spark, [*files, f"{tmp_dir}/c.parquet"], ["grid_id", "v"])
+
+
+def test_wide_detection_header(spark, tmp_dir):
+    names = "latitude,longitude,brightness,scan,acq_date,acq_time,satellite,instrument,frp,daynight"
+    with open(f"{tmp_dir}/wide.csv", "w") as f:
+        f.write(names + "\n34.5,-118.2,300.1,0.4,2024-07-01,0905,N,VIIRS,2.5,D\n")
+    row = RD.read_detection_csv(spark, f"{tmp_dir}/wide.csv").first()
+    assert (row.latitude, row.longitude, row.frp, row.satellite) == (34.5, -118.2, 2.5, "N")
+    with open(f"{tmp_dir}/short.csv", "w") as f:
+        f.write("latitude,longitude,frp\n34.5,-118.2,2.5\n")
+    with pytest.raises(ValueError):
+        RD.read_detection_csv(spark, f"{tmp_dir}/short.csv")

@@ -64,3 +64,11 @@ def test_sequential_ids(spark):
     cells = spark.createDataFrame([(1, 0), (0, 1), (0, 0), (1, 1)], "ix long, iy long")
     out = {(r["ix"], r["iy"]): r["grid_id"] for r in W.sequential_ids(cells).collect()}
     assert out == {(0, 0): "CA-00001", (0, 1): "CA-00002", (1, 0): "CA-00003", (1, 1): "CA-00004"}
+
+
+def test_sequential_ids_follow_large_coordinates(spark):
+    from cellcast.operators.windows import sequential_ids
+
+    cells = spark.createDataFrame([(0, 1048581), (1, 0), (0, 7), (2, 3)], "ix long, iy long")
+    got = {(r.ix, r.iy): r.grid_id for r in sequential_ids(cells).collect()}
+    assert got == {(0, 7): "CA-00001", (0, 1048581): "CA-00002", (1, 0): "CA-00003", (2, 3): "CA-00004"}
