@@ -202,15 +202,21 @@ def history_summary(
 ) -> DataFrame:
     """A3: per cell over a fixed year range: detections, distinct days, distinct years.
 
-    With ``all_cells`` every cell appears (zeros filled, int32), J5.
+    With ``all_cells`` every cell appears (zeros filled, int32), J5.  Detections
+    are counted by day, days by year, years by cell: each step combines before
+    its shuffle, and no row is expanded for a distinct count.
     """
     first, last = years
     suffix = f"{first}_{last}"
     rows = year_range_filter(detections.select(cell_col, date_col), date_col, first, last)
-    summary = rows.groupBy(cell_col).agg(
-        F.count(F.lit(1)).alias(f"historical_firms_detection_count_{suffix}"),
-        F.countDistinct(date_col).alias(f"historical_fire_active_days_{suffix}"),
-        F.countDistinct(F.year(date_col)).alias(f"historical_fire_active_years_{suffix}"),
+    daily = rows.groupBy(cell_col, date_col).agg(F.count(F.lit(1)).alias("_n"))
+    yearly = daily.groupBy(cell_col, F.year(date_col).alias("_year")).agg(
+        F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_days")
+    )
+    summary = yearly.groupBy(cell_col).agg(
+        F.sum("_n").alias(f"historical_firms_detection_count_{suffix}"),
+        F.sum("_days").alias(f"historical_fire_active_days_{suffix}"),
+        F.count(F.lit(1)).alias(f"historical_fire_active_years_{suffix}"),
     )
     value_cols = [c for c in summary.columns if c != cell_col]
     if all_cells is not None:
@@ -364,7 +370,7 @@ def select_feature_date(
         return feature_date
     newest = weather.agg(F.max(date_col)).first()[0]
     if newest is None:
-        raise ValueError("Weather data contains no usable dates.")
+        raise ValueError(f"No date in column {date_col}.")
     return newest
 
 

@@ -351,15 +351,27 @@ def score_levels(
     """One row per (group, distinct score) with cumulative counts, score descending.
 
     Columns: ``pos``/``neg`` at the level, ``tp``/``fp`` at ``score >= level``,
-    and group totals ``P``/``N``.  The per-bucket totals are aggregated
-    straight from the rows (map-side partial sums, groups x buckets output),
-    so the large level table is aggregated once.
+    and group totals ``P``/``N``.
     """
     y = F.col(label_col).cast("long")
     rows = df.select(*group_cols, F.col(score_col), y.alias("pos"), (F.lit(1) - y).alias("neg"))
-    rows = rows.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
-    offsets = bucket_offsets(rows, group_cols, ["pos", "neg"], descending=True)
+    return counted_levels(rows, score_col, group_cols, bounds)
+
+
+def counted_levels(
+    counts: DataFrame,
+    score_col: str,
+    group_cols: Sequence[str] = (),
+    bounds: Sequence[float] | None = None,
+) -> DataFrame:
+    """:func:`score_levels` of rows that carry ``pos`` and ``neg`` counts.
+
+    The bucket totals are sums over the level table, so both sides of the join
+    start from one exchange and the rows are read once.
+    """
+    rows = counts.withColumn(_BUCKET, bucket_expr(F.col(score_col), bounds))
     levels = rows.groupBy(*group_cols, _BUCKET, score_col).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    offsets = bucket_offsets(levels, group_cols, ["pos", "neg"], descending=True)
     joined = _null_safe_join(levels, offsets, [*group_cols, _BUCKET])
     running = (
         Window.partitionBy(*group_cols, _BUCKET)
@@ -383,20 +395,26 @@ def curve_metrics(levels: DataFrame, group_cols: Sequence[str] = ()) -> DataFram
 
     One-class groups give null, by choice.
     """
+    return levels.groupBy(*group_cols).agg(*_curve_sums()).select(*group_cols, *_curve_columns())
+
+
+def _curve_sums() -> list[Column]:
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    agg = levels.groupBy(*group_cols).agg(
+    return [
         F.max("P").alias("_P"),
         F.max("N").alias("_N"),
         F.sum(F.col("pos") * precision).alias("_ap"),
         F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / F.lit(2.0))).alias("_auc"),
-    )
-    return agg.select(
-        *group_cols,
+    ]
+
+
+def _curve_columns() -> list[Column]:
+    return [
         F.when(F.col("_P") > 0, F.col("_ap") / F.col("_P")).alias("pr_auc"),
         F.when((F.col("_P") > 0) & (F.col("_N") > 0), F.col("_auc") / (F.col("_P") * F.col("_N"))).alias(
             "roc_auc"
         ),
-    )
+    ]
 
 
 def precision_recall_curve(levels: DataFrame, score_col: str) -> DataFrame:
@@ -458,16 +476,16 @@ def confusion_at_threshold(
         F.count_if(~predicted & actual).alias("fn"),
         F.count_if(~predicted & ~actual).alias("tn"),
     )
-    return agg.select(
-        *group_cols,
-        "tn",
-        "fp",
-        "fn",
-        "tp",
+    return agg.select(*group_cols, *_confusion_columns())
+
+
+def _confusion_columns() -> list[Column]:
+    return [
+        *[F.col(c) for c in ("tn", "fp", "fn", "tp")],
         _safe_ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _safe_ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
         _safe_ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
-    )
+    ]
 
 
 def _safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -482,15 +500,28 @@ def binary_metrics(
     group_cols: Sequence[str] = (),
     bounds: Sequence[float] | None = None,
 ) -> DataFrame:
-    """The metric record of a scored set: PR AUC, ROC AUC, precision, recall, F1."""
+    """The metric record of a scored set: PR AUC, ROC AUC, precision, recall, F1.
+
+    The counts at the threshold are sums over the same level table as the curve.
+    """
     levels = score_levels(df, label_col, score_col, group_cols, bounds)
-    curve = curve_metrics(levels, group_cols)
-    confusion = confusion_at_threshold(df, label_col, score_col, threshold, group_cols)
-    if group_cols:
-        return curve.join(confusion, list(group_cols), "inner")
-    from cellcast.operators.contracts import side_by_side
+    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    predicted = F.col(score_col) >= t
 
-    return side_by_side(curve, confusion)
+    def count(rows: Column, column: str, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(rows, F.col(column))), F.lit(0)).cast("long").alias(name)
+
+    agg = levels.groupBy(*group_cols).agg(
+        *_curve_sums(),
+        count(predicted, "pos", "_tp"),
+        count(predicted, "neg", "_fp"),
+        count(~predicted, "pos", "_fn"),
+        count(~predicted, "neg", "_tn"),
+    )
+    agg = agg.select(
+        *group_cols, *_curve_columns(), *[F.col(f"_{c}").alias(c) for c in ("tn", "fp", "fn", "tp")]
+    )
+    return agg.select(*group_cols, "pr_auc", "roc_auc", *_confusion_columns())
 
 
 # --------------------------------------------------------------------------- #
@@ -650,11 +681,14 @@ def blend_weight_search(
 ) -> DataFrame:
     """Average precision of every candidate weight vector, one pass over the rows.
 
-    Each row is replicated once per candidate by exploding a literal array (the
-    candidate list is a fixed, small parameter), then AP is computed per
+    Rows are first counted by rank vector and label; each distinct vector is
+    then replicated once per candidate by exploding a literal array (the
+    candidate list is a fixed, small parameter), and AP is computed per
     candidate with the grouped curve.  Output: candidate index, weights, AP.
     """
     vectors = weight_grid(len(rank_cols), units)
+    y = F.col(label_col).cast("long")
+    counts = df.groupBy(*rank_cols).agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
     candidates = F.explode(
         F.array(
             *[
@@ -666,15 +700,15 @@ def blend_weight_search(
             ]
         )
     ).alias("_c")
-    long_form = df.select(F.col(label_col), candidates).select(
-        label_col, "_c.candidate", "_c.blended_score"
+    long_form = counts.select("pos", "neg", candidates).select(
+        "pos", "neg", "_c.candidate", "_c.blended_score"
     )
     if bounds is None:
         # Blended ranks live in (0, 1]; fixed boundaries avoid a quantile pass
         # over the replicated rows.
         n = default_bucket_count(df)
         bounds = [i / n for i in range(1, n)]
-    levels = score_levels(long_form, label_col, "blended_score", ["candidate"], bounds)
+    levels = counted_levels(long_form, "blended_score", ["candidate"], bounds)
     ap = curve_metrics(levels, ["candidate"]).select("candidate", F.col("pr_auc").alias("validation_pr_auc"))
     weights = df.sparkSession.createDataFrame(
         [(i, *v) for i, v in enumerate(vectors)],

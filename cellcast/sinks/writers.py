@@ -9,7 +9,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellcast.operators import contracts as C
@@ -29,15 +29,36 @@ def write_versioned(df: DataFrame, root: str, fmt: str = "parquet", partition_by
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
-    pointer = os.path.join(root, "CURRENT")
-    tmp = f"{pointer}.{uuid.uuid4().hex}.tmp"
-    os.makedirs(root, exist_ok=True)
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(version + "\n")
-    os.replace(tmp, pointer)
+    switch_pointer(df.sparkSession, root, version)
     return target
 
 
+def switch_pointer(spark: SparkSession, root: str, version: str) -> None:
+    """Let ``root/CURRENT`` name ``version``: a new file, renamed over the old one by
+    the Hadoop file system of ``root``."""
+    api = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = api.Path(root).getFileSystem(conf)
+    folder = fs.makeQualified(api.Path(root))
+    fs.mkdirs(folder)
+    fresh = api.Path(folder, f"CURRENT.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(fresh, False)
+    stream.write(bytearray(f"{version}\n".encode()))
+    stream.close()
+    rename = getattr(api, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    api.FileContext.getFileContext(folder.toUri(), conf).rename(fresh, api.Path(folder, "CURRENT"), options)
+
+
+def read_pointer(spark: SparkSession, root: str) -> str | None:
+    """The version that ``root/CURRENT`` names, or None."""
+    from cellcast.sources.readers import path_exists
+
+    pointer = os.path.join(root, "CURRENT")
+    return spark.read.text(pointer).first()["value"].strip() if path_exists(spark, pointer) else None
+
+
 def write_sample(df: DataFrame, path: str, order: Sequence[str] = ("grid_id", "date"), rows: int = 5000) -> None:
     """K3: the first ``rows`` rows in key order, as CSV (a sample is the feature here)."""
     df.orderBy(*order).limit(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

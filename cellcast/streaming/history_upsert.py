@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from cellcast.fixed_values import HISTORY_DAYS
 from cellcast.operators.panel import history_trim
 from cellcast.operators.windows import dedupe_keep
+from cellcast.sinks.writers import read_pointer, switch_pointer
 
 
 def upsert_history(
@@ -34,54 +35,53 @@ def upsert_history(
     keys: Sequence[str] = ("grid_id", "date"),
     date_col: str = "date",
     days: int = HISTORY_DAYS,
+    order_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Merge (new rows replace old ones on the same key), then trim to ``days + 1`` dates."""
+    """Merge (new rows replace old ones on the same key), then trim to ``days + 1`` dates.
+
+    ``order_cols`` of ``downloaded`` order its rows of one key (the last wins);
+    they are not kept.
+    """
     old = existing.withColumn(date_col, F.to_date(date_col)).withColumn("_src", F.lit(0))
     new = downloaded.withColumn(date_col, F.to_date(date_col)).withColumn("_src", F.lit(1))
     both = old.unionByName(new, allowMissingColumns=True)
     # Trim first: rows outside the window never reach the shuffle.
     both = history_trim(both, date_col, forecast_date, days)
-    latest = dedupe_keep(both, list(keys), ["_src"], keep="last")
-    return latest.drop("_src")
-
-
-def _pointer(root: str) -> str:
-    return os.path.join(root, "CURRENT")
-
-
-def current_version(root: str) -> str | None:
-    try:
-        with open(_pointer(root), encoding="utf-8") as fh:
-            return os.path.join(root, fh.read().strip())
-    except FileNotFoundError:
-        return None
+    latest = dedupe_keep(both, list(keys), ["_src", *order_cols], keep="last")
+    return latest.drop("_src", *order_cols)
 
 
-def _switch(root: str, version: str) -> None:
-    tmp = _pointer(root) + f".{uuid.uuid4().hex}.tmp"
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(version + "\n")
-    os.replace(tmp, _pointer(root))
+def current_version(root: str, spark: SparkSession | None = None) -> str | None:
+    version = read_pointer(spark or SparkSession.active(), root)
+    return os.path.join(root, version) if version else None
 
 
 def merge_batch(
     spark: SparkSession,
     batch: DataFrame,
     history_root: str,
-    forecast_date: dt.date,
+    forecast_date: dt.date | None = None,
     keys: Sequence[str] = ("grid_id", "date"),
     date_col: str = "date",
+    order_cols: Sequence[str] = (),
 ) -> str:
-    """Merge one landed batch into the retained history; returns the new version path."""
-    current = current_version(history_root)
+    """Merge one landed batch into the retained history; returns the new version path.
+
+    Without ``forecast_date`` the window ends at the newest date of the history
+    and the batch, so it moves on as days land.
+    """
+    current = current_version(history_root, spark)
     if current is None:
-        existing = spark.createDataFrame([], batch.schema)
+        existing = spark.createDataFrame([], batch.drop(*order_cols).schema)
     else:
         existing = spark.read.parquet(current)
-    merged = upsert_history(existing, batch, forecast_date, keys, date_col)
+    if forecast_date is None:
+        dates = batch.select(F.to_date(date_col).alias("d")).unionAll(existing.select(F.to_date(date_col)))
+        forecast_date = dates.agg(F.max("d")).first()[0]
+    merged = upsert_history(existing, batch, forecast_date, keys, date_col, order_cols=order_cols)
     version = f"v-{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:6]}"
     merged.write.mode("errorifexists").parquet(os.path.join(history_root, version))
-    _switch(history_root, version)
+    switch_pointer(spark, history_root, version)
     return os.path.join(history_root, version)
 
 
@@ -91,18 +91,28 @@ def start_history_stream(
     schema: StructType,
     history_root: str,
     checkpoint_dir: str,
-    forecast_date: dt.date,
+    forecast_date: dt.date | None = None,
     keys: Sequence[str] = ("grid_id", "date"),
     date_col: str = "date",
     once: bool = True,
 ) -> StreamingQuery:
     """File-source stream -> ``foreachBatch(merge_batch)``; exactly-once via the
-    stream checkpoint plus versioned outputs."""
+    stream checkpoint plus versioned outputs.
+
+    Without ``forecast_date`` each batch moves the window to the newest date
+    seen.  Of two files of one batch the one that landed later wins.
+    """
+    landed = ("_landed", "_file")
     stream = spark.readStream.schema(schema).parquet(landing_dir)
+    stream = stream.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias(landed[0]),
+        F.col("_metadata.file_path").alias(landed[1]),
+    )
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.limit(1).count():
-            merge_batch(spark, batch, history_root, forecast_date, keys, date_col)
+            merge_batch(batch.sparkSession, batch, history_root, forecast_date, keys, date_col, landed)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")

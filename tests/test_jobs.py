@@ -27,6 +27,30 @@ def test_stream_upsert_revises_and_trims(spark, tmp_dir):
     assert [(str(r["date"]), r["temperature_max"]) for r in rows] == [("2024-01-31", 21.0), ("2024-02-01", 22.0)]
 
 
+def test_stream_window_moves_with_the_batches(spark, tmp_dir):
+    landing, history, ckpt = (os.path.join(tmp_dir, p) for p in ("landing", "history", "ckpt"))
+    d = dt.date
+    for i, days in enumerate([[d(2024, 1, 1), d(2024, 1, 2)], [d(2024, 1, 20)], [d(2024, 2, 2)]]):
+        rows = [("CA-00001", day, float(i)) for day in days]
+        spark.createDataFrame(rows, SCHEMA).write.parquet(os.path.join(landing, f"batch{i}"))
+        q = start_history_stream(spark, os.path.join(landing, "*"), spark.createDataFrame([], SCHEMA).schema, history, ckpt)
+        q.awaitTermination(120)
+    kept = spark.read.parquet(current_version(history))
+    assert sorted(kept.columns) == ["date", "grid_id", "temperature_max"]
+    # [2024-01-03, 2024-02-02]: the first batch has left the window
+    assert sorted(r["date"] for r in kept.collect()) == [d(2024, 1, 20), d(2024, 2, 2)]
+
+
+def test_fold_parts_are_replaced(spark, tmp_dir):
+    from cellcast.plans.backtest import _replace_fold
+
+    path = os.path.join(tmp_dir, "parts")
+    for fold, n in (("a", 3), ("b", 2), ("a", 1)):
+        _replace_fold(spark.range(n).withColumn("fold", F.lit(fold)), path)
+    got = {r["fold"]: r["count"] for r in spark.read.parquet(path).groupBy("fold").count().collect()}
+    assert got == {"a": 1, "b": 2}
+
+
 def test_rolling_backtest_resumes(spark, tmp_dir):
     from cellcast.plans.backtest import rolling_backtest
     from cellcast.plans.catalog import full_panel_df

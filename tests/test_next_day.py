@@ -189,10 +189,9 @@ def test_weather_history_is_merged_revised_and_trimmed(spark):
     assert [r["temperature_max"] for r in out] == [21.0, 22.0]
 
 
-def test_large_grid_publishes_split_form(spark, tmp_dir, monkeypatch):
+def test_publishes_one_form_at_every_size(spark, tmp_dir):
     from cellcast.plans import daily_scoring as D
 
-    monkeypatch.setattr(D, "SINGLE_DOCUMENT_MAX_LOCATIONS", 10)
     cells = spark.range(1, 51).select(
         F.format_string("CA-%05d", "id").alias("grid_id"),
         (F.lit(32.5) + F.col("id") / 1000.0).alias("centroid_lat"),
@@ -206,6 +205,7 @@ def test_large_grid_publishes_split_form(spark, tmp_dir, monkeypatch):
     )
     target = D.publish(D.publish_locations(cells, 0.5), dt.date(2024, 1, 31), dt.date(2024, 2, 1), "m", tmp_dir, "now")
     header = spark.read.json(os.path.join(target, "header")).first()
-    locs = spark.read.json(os.path.join(target, "locations"))
+    head, locs = D.read_published(spark, tmp_dir)
+    assert head.first() == header
     assert header["grid_count"] == 50 and locs.count() == 50
     assert locs.agg(F.max("risk_score")).first()[0] == 100.0
