@@ -73,7 +73,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    train = docs.where(~held_out(3, 1)).join(labels.where(~held_out(3, 1)), "doc_id")
+    # Labels grow with the documents: one join form at every size, never a broadcast.
+    train = docs.where(~held_out(3, 1)).join(labels.where(~held_out(3, 1)).hint("merge"), "doc_id")
     field = toxicity.learn_field(train.select("doc_id", "text", "toxic"))
     scored = toxicity.score_toxicity(docs, field)
     return scored.select(

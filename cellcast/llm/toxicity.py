@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.llm import words as W
-from cellcast.session import ship_package
+from cellcast.session import cut_lineage, ship_package
 
 #: Bytes of the word beginnings that are features, and of the ending.
 BEGINNINGS = (4, 5, 6)
@@ -350,10 +350,17 @@ def learn_field(
     field.lexicon = np.sort(np.array([r.feature for r in marks.collect()], np.int64).view(np.uint64))
     keep = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("toxicity")), F.lit(1_000_003))
     rate = {k: int(1_000_003 * min(1.0, max_rows / v)) for k, v in sizes.items()}
-    sample = rows.where(keep < F.when(F.col("toxic"), rate[True]).otherwise(rate[False]))
+    # The larger rate alone needs no label, so it thins the documents before they meet their labels.
+    sample = cut_lineage(
+        rows.where(keep < max(rate.values())).where(
+            keep < F.when(F.col("toxic"), rate[True]).otherwise(rate[False])
+        ),
+        "sample",
+    )
     windows = sample.mapInArrow(
         _windows(spark.sparkContext.broadcast(field.lexicon)), "slots binary, labels binary"
     ).collect()
+    windows.sort(key=lambda w: (bytes(w.slots), bytes(w.labels)))
     width = len(BEGINNINGS) + 2
     slots = np.zeros((len(windows), _WINDOW, width), np.int64)
     labels = np.zeros((len(windows), _WINDOW))
