@@ -189,6 +189,8 @@ def near_vectors(
             F.least("part", "other").alias("p"),
             F.greatest("part", "other").alias("q"),
         )
+        # Without this the parts of a component stay where the join on its root put them.
+        .repartition("root", "p", "q")
     )
     counted = (
         units.groupBy("root", "p", "q")
