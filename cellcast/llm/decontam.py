@@ -16,7 +16,9 @@ shards of at most ``shard_bytes``; a larger benchmark takes more scans, each
 adding to the spans found so far, so no size is too large.
 
 Null or word-less documents have no spans; null or word-less items have no
-windows.  Repeated items, repeated documents and null ids are kept row by row.
+windows.  An item with a null id marks spans like any other and is left out of
+the item list alone.  Repeated items, repeated documents and null ids are kept
+row by row.
 """
 
 from __future__ import annotations
@@ -105,7 +107,7 @@ class Scanner:
 class PatternSet:
     """All windows of a shard of the benchmark: scanners by length, word bytes and items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         batch = pa.record_batch({"t": pa.array([t for _, t in items], pa.string())})
         words = W.batch_words(batch, "t", W.ALNUM)
         h = words.hashes()
@@ -116,7 +118,9 @@ class PatternSet:
             size = min(window, len(text))
             for i in range(len(text) - size + 1 if size else 0):
                 seen = by_size.setdefault(size, {})
-                seen.setdefault(tuple(text[i : i + size]), (a + i, set()))[1].add(item)
+                owners = seen.setdefault(tuple(text[i : i + size]), (a + i, set()))[1]
+                if item is not None:
+                    owners.add(item)
         self.groups = []
         for size, seen in sorted(by_size.items()):
             rows = np.array([h[at : at + size] for at, _ in seen.values()], dtype=np.uint64)
@@ -209,7 +213,7 @@ def find_contamination(
     ship_package(spark)
     bench = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")
-    ).where("text is not null and item is not null")
+    ).where("text is not null")
     size = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-int(size) // shard_bytes))
     state = documents.select(
@@ -221,7 +225,9 @@ def find_contamination(
         F.expr("cast(array() as array<string>)").alias("items"),
     )
     for k in range(shards):
-        part = bench.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == k) if shards > 1 else bench
+        # The text is hashed too, so items that share an id, or have none, spread over the shards.
+        own = F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k
+        part = bench.where(own) if shards > 1 else bench
         patterns = PatternSet([(r.item, r.text) for r in part.collect()], window)
         if k:
             state = cut_lineage(state, "decontam")

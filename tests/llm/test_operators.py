@@ -103,6 +103,20 @@ def test_decontamination(spark, odd_docs, no_docs):
     assert decontam.find_contamination(docs, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_decontamination_null_item_ids(spark):
+    items = [(None, prose(1, 25)), (None, prose(4, 12)), (6, prose(4, 12)), (None, None), (None, "lone wolf")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    data = [(1, prose(1, 40)), (2, "a " + prose(4, 20)), (3, "a lone Wolf"), (4, "clean"), (None, prose(1, 30))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    brute = brute_contamination(data, [("" if i is None else i, t) for i, t in items])
+    hits = {r[0]: r[2] for r in brute}
+    for size in (32 << 20, 20):
+        got = decontam.find_contamination(docs, bench, shard_bytes=size)
+        assert {r.doc_id: r.n_hit for r in decontam.digest(got).collect()} == hits
+        assert {r.doc_id: r["items"] for r in got.collect()} == {1: [], 2: ["6"], 3: [], 4: [], None: []}
+    assert hits[1] >= 25 and hits[3] == 2 and hits[4] == 0
+
+
 # ---- 2
 
 
