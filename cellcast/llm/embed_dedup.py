@@ -8,6 +8,15 @@ have to connect a group, not to meet every pair of it: afterwards the members of
 each component are compared with each other in blocks, which gives exact link
 counts however many neighbours a vector has.
 
+Passes come in rounds with new projections.  In a pass all vectors that share the
+first L bits with a vector lie in the blocks it is compared with, where L follows
+from the order itself and grows with the row count and the density around it; a
+vector at the threshold angle shares them with probability ``(1 - angle / pi)^L``.
+The next round takes the vectors whose passes together may still miss such a
+neighbour with more than probability ``miss``.  Rounds end when there is no such
+vector, or when one joins no two components.  Links are found with high
+probability, not with certainty: the README gives measured recall.
+
 Equal vectors are one class with a weight, so copies cost nothing.  Cosines are
 taken in double precision.  A vector that is null, empty, zero or holds null or
 non-finite components links with nothing, and so do vectors of different
@@ -17,6 +26,7 @@ count as vectors of their own.  Extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +46,7 @@ def _unit_rows(vectors: list[np.ndarray]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(passes: int, seed: int):
+def _keys(passes: int, seed: int, turn: int):
     """(id, vec) -> (pass, dim, key, id): 64 sign bits, most significant first, as an ordered long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,7 +58,7 @@ def _keys(passes: int, seed: int):
                 own = np.flatnonzero(sizes == dim)
                 x = _unit_rows([lists[int(i)].values.to_numpy(zero_copy_only=False) for i in own])
                 for p in range(passes):
-                    plane = np.random.default_rng([seed, p, dim]).standard_normal((dim, 64))
+                    plane = np.random.default_rng([seed, p + passes * turn, dim]).standard_normal((dim, 64))
                     key = ((x @ plane > 0) * weight).sum(axis=1, dtype=np.uint64)
                     yield pa.record_batch(
                         {
@@ -73,11 +83,35 @@ def _similar(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np
             yield rows, x @ x.T >= threshold
 
 
-def _window_links(threshold: float):
-    """Spanning links of a block and its successor."""
+def _common_bits(keys: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """How many leading bits each key shares with ``limit``."""
+    other = (keys ^ limit).view(np.uint64)
+    high, low = other >> np.uint64(32), other & np.uint64(0xFFFFFFFF)
+    return 64 - np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
 
-    def run(table: pa.Table) -> pa.Table:
+
+def _reach(table: pa.Table, here: int, last: int, block: int) -> np.ndarray:
+    """Leading bits that a row may share with rows beyond this block and its successor (-1: with none).
+
+    Rows of the block look at what follows, rows of its successor at what precedes.
+    """
+    place, keys = table["position"].to_numpy(), table["key"].to_numpy()
+    run = np.stack([table["pass"].to_numpy(), table["dim"].to_numpy()])
+    out = np.full(len(place), -1, np.int32)
+    own = place // block == here
+    for side, edge, whole in ((own, place.argmax(), here + 1 >= last), (~own, place.argmin(), here <= 0)):
+        rows = np.flatnonzero(side & (run == run[:, [edge]]).all(axis=0))
+        if not whole:
+            out[rows] = _common_bits(keys[rows], keys[edge])
+    return out
+
+
+def _window_links(threshold: float, last: int, block: int):
+    """Spanning links (a, b) of a block and its successor, and each row's reach (a, pass, bits)."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
+        bits = _reach(table, key[0].as_py(), last, block)
         a, b = [], []
         for rows, link in _similar(table, threshold):
             order = np.argsort(ids[rows])
@@ -94,7 +128,15 @@ def _window_links(threshold: float):
             a.append(ids[rows[moved]])
             b.append(ids[rows[root[moved]]])
         cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b)]
-        return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+        none = len(cols[0])
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([cols[0], ids]), pa.int64()),
+                "b": pa.concat_arrays([pa.array(cols[1], pa.int64()), pa.nulls(len(ids), pa.int64())]),
+                "pass": pa.concat_arrays([pa.nulls(none, pa.int32()), table["pass"].combine_chunks()]),
+                "bits": pa.concat_arrays([pa.nulls(none, pa.int32()), pa.array(bits, pa.int32())]),
+            }
+        )
 
     return run
 
@@ -118,6 +160,60 @@ def _count_links(threshold: float):
     return run
 
 
+def _one_round(
+    active: DataFrame, threshold: float, passes: int, block: int, seed: int, turn: int
+) -> DataFrame:
+    """Links and reach of ``passes`` sorted passes over ``active``."""
+    spark = active.sparkSession
+    keyed = active.select("id", "vec").mapInArrow(
+        _keys(passes, seed, turn), "pass int, dim int, key long, id long"
+    )
+    order = ["pass", "dim", "key", "id"]
+    placed = cut_lineage(
+        keyed.repartitionByRange(shuffle_partitions(spark), *order)
+        .sortWithinPartitions(*order)
+        .withColumn("mid", F.monotonically_increasing_id()),
+        "order",
+    )
+    # One row per partition: how many rows the partitions before it hold.
+    task = F.shiftright("mid", 33)
+    counts = sorted(placed.groupBy(task.alias("task")).count().collect())
+    before, table = 0, []
+    for number, count in counts:
+        table.append((number, before))
+        before += count
+    offsets = spark.createDataFrame(table, "task long, before long")
+    position = F.col("before") + F.col("mid").bitwiseAND(F.lit(_POSITION))
+    number = F.floor(F.col("position") / block)
+    blocks = (
+        placed.withColumn("task", task)
+        .join(F.broadcast(offsets), "task")
+        .withColumn("position", position)
+        .select("pass", "dim", "key", "position", "id", F.explode(F.array(number, number - 1)).alias("block"))
+    )
+    return cut_lineage(
+        blocks.join(active.select("id", "vec"), "id")
+        .groupBy("block")
+        .applyInArrow(
+            _window_links(threshold, max(0, before - 1) // block, block),
+            "a long, b long, pass int, bits int",
+        ),
+        "round",
+    )
+
+
+def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links whose ends are in different components."""
+    ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    return (
+        links.join(ra, "a", "left")
+        .join(rb, "b", "left")
+        .where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+        .select("a", "b")
+    )
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -127,10 +223,11 @@ def near_vectors(
     block: int = 256,
     part: int = 512,
     seed: int = 20,
+    miss: float = 1e-3,
 ) -> DataFrame:
     """One row per vector row: the id, ``n_links``, ``component_id`` and ``kept``.
 
-    ``passes`` and ``block`` set the recall; it grows with either.
+    ``passes`` and ``block`` set the size of a round, ``miss`` when a vector needs no further one.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -144,35 +241,33 @@ def near_vectors(
     classes = cut_lineage(
         good.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vectors"
     )
-    keyed = classes.select("id", "vec").mapInArrow(
-        _keys(passes, seed), "pass int, dim int, key long, id long"
-    )
-    order = ["pass", "dim", "key", "id"]
-    placed = cut_lineage(
-        keyed.repartitionByRange(shuffle_partitions(spark), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("mid", F.monotonically_increasing_id()),
-        "order",
-    )
-    # One row per partition: how many rows the partitions before it hold.
-    task = F.shiftright("mid", 33)
-    counts = sorted(placed.groupBy(task.alias("task")).count().collect())
-    before, table = 0, []
-    for number, count in counts:
-        table.append((number, before))
-        before += count
-    offsets = spark.createDataFrame(table, "task long, before long")
-    position = F.col("before") + F.col("mid").bitwiseAND(F.lit(_POSITION))
-    number = F.floor(position / block)
-    blocks = placed.withColumn("task", task).join(F.broadcast(offsets), "task").select(
-        "pass", "id", F.explode(F.array(number, number - 1)).alias("block")
-    )
-    links = (
-        blocks.join(classes.select("id", "vec"), "id")
-        .groupBy("block")
-        .applyInArrow(_window_links(threshold), "a long, b long")
-    )
-    roots = components(links)
+    agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+    active, turn = classes.select("id", "vec", F.lit(0.0).alias("missed")), 0
+    roots = None
+    while True:
+        found = _one_round(active, threshold, passes, block, seed, turn)
+        links = found.where("b is not null").select("a", "b")
+        if roots is None:
+            roots = components(links)
+        else:
+            fresh = cut_lineage(_between(links, roots), "fresh")
+            if fresh.isEmpty():
+                break
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(fresh))
+        # Beyond the reach of both sides all rows that share one bit more are met.
+        bits = found.where("b is null").groupBy("a", "pass").agg((F.max("bits") + 1).alias("bits"))
+        met = F.when(F.col("bits") <= 64, F.pow(F.lit(agree), F.col("bits"))).otherwise(0.0)
+        # A pass that meets everything leaves nothing to miss.
+        logs = bits.groupBy("a").agg(F.sum(F.log(F.greatest(1 - met, F.lit(1e-300)))).alias("log"))
+        active = cut_lineage(
+            active.join(logs, F.col("id") == F.col("a"))
+            .select("id", "vec", (F.col("missed") + F.col("log")).alias("missed"))
+            .where(F.col("missed") > math.log(miss)),
+            "active",
+        )
+        turn += 1
+        if active.isEmpty():
+            break
     members = classes.join(roots, F.col("id") == F.col("node")).select("id", "vec", "copies", "root")
     parts = members.groupBy("root").agg(F.ceil(F.count("*") / part).alias("parts"))
     own = F.pmod(F.xxhash64("id"), "parts")

@@ -152,6 +152,31 @@ def test_near_vectors(spark):
     assert embed_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_pairs_in_a_dense_cluster(spark):
+    rng = np.random.default_rng(7)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def off(x, cosine):
+        y = rng.standard_normal(x.shape)
+        y = unit(y - (x * y).sum(axis=-1, keepdims=True) * x)
+        return cosine * x + math.sqrt(1 - cosine**2) * y
+
+    centre = unit(rng.standard_normal(64))
+    own = off(np.tile(centre, (3000, 1)), math.sqrt(0.8))
+    vecs = np.concatenate([own, off(own[:300], 0.951)])
+    link = vecs @ vecs.T >= 0.95
+    np.fill_diagonal(link, False)
+    df = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>"
+    )
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_vectors(df, block=32).collect()}
+    want = link.sum(axis=1)
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.98 * want.sum()
+
+
 # ---- 3
 
 
