@@ -12,9 +12,11 @@ the false positive rate of the language's filter, ``(hits / n - f) / (1 - f)``
 estimates the share of its n-grams; the largest share decides (ties: the first
 name), and the score weighs it against the runner-up.
 
-The filters are learned from at most about ``max_rows`` labelled rows, chosen by
-a hash of the id; prediction reads the text only.  Null or letter-less text is
-``und`` with score 0.  With no labelled row everything is ``und``.  Repeated
+The filters are learned from at most about ``max_rows`` labelled rows of each
+language, chosen by a hash of the id and the text; a language with fewer rows is
+learned from all of them.  Repeated rows are in or out together, and the rows with
+a language's smallest hash are always in, so no labelled language is left out.
+Prediction reads the text only.  Null or letter-less text is ``und`` with score 0.  With no labelled row everything is ``und``.  Repeated
 rows, null ids, null labels and extra columns are harmless.
 """
 
@@ -33,6 +35,7 @@ from cellcast.session import ship_package
 GRAM = 4
 HASHES = 3
 _SLICE = 1 << 20
+_HASH_RANGE = 1_000_003
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[97:123] = True
 _LETTER = _ASCII_LETTER.copy()
@@ -106,10 +109,13 @@ def learn_filters(
     """Filters of the languages in ``labelled`` (rows with a null text or label are left out)."""
     ship_package(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    count = rows.count()
-    keep = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")), F.lit(1_000_003))
-    if count > max_rows:
-        rows = rows.where(keep < int(1_000_003 * max_rows / count))
+    lang = F.col(lang_col).cast("string")
+    keep = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col, F.lit("langid")), F.lit(_HASH_RANGE))
+    sizes = rows.groupBy(lang.alias("lang")).agg(F.count("*").alias("n"), F.min(keep).alias("least")).collect()
+    below = {r.lang: max(int(_HASH_RANGE * max_rows / r.n), r.least + 1) for r in sizes if r.n > max_rows}
+    if below:
+        limits = F.create_map(*[F.lit(v) for pair in below.items() for v in pair])
+        rows = rows.where(keep < F.coalesce(F.element_at(limits, lang), F.lit(_HASH_RANGE)))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

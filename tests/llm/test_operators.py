@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cellcast.llm import (
     bitmap,
@@ -198,6 +199,20 @@ def test_language_id_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
 
 
+def test_language_id_learns_rare_languages(spark):
+    data = [(i, prose(i, 30), "en") for i in range(600)]
+    data += [(None, f"zwölf boxkämpfer jagen viktor quer über den großen deich {prose(i, 4)}", "de") for i in range(300)]
+    data += [(5000 + i, "portez ce vieux whisky au juge blond qui fume", "fr") for i in range(4)]
+    data += [(7000, "el veloz murcielago comia feliz cardillo y kiwi", "es")] * 200
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    filters = language_id.learn_filters(df, max_rows=20)
+    got = {(r.text, r.lang, r.lang_pred) for r in df.join(language_id.identify(
+        df.where("lang in ('fr', 'es')").select(F.col("text").alias("id"), "text"), filters, id_col="id"
+    ).withColumnRenamed("id", "text"), "text").collect()}
+    assert {(x[1], x[2]) for x in got} == {("fr", "fr"), ("es", "es")}
+    assert filters.names == ["de", "en", "es", "fr"] and all(w > 0 for w in filters.wrong)
+
+
 def test_filters_answer_for_every_language():
     grams = {f"l{k:02d}": np.arange(k, 4000, 13, dtype=np.uint32) for k in range(13)}
     f = language_id.LanguageFilters(grams, slot_bits=12)
