@@ -5,8 +5,8 @@ before it left; its result is written as Parquet and read again.  All stages but
 the last return the columns of ``documents``; the last returns the pieces of the
 packed sequences.
 
-Rows that share an id stay or go together in the near-duplicate stage.  Null
-texts go in the first stage, which keeps texts of a learned language only; a
+The near-duplicate stage decides by row, whatever the ids: of repeated rows one
+stays, and rows without an id are compared like any other.  Null texts go in the first stage, which keeps texts of a learned language only; a
 document whose every line repeats an earlier one goes in the second.
 """
 
@@ -34,10 +34,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
-    groups = ngram_join.near_duplicates(docs)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near-duplicate rows one stays: the smallest id (null last), then the first row."""
+    # Written, so a row keeps its number in every later job.
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = ngram_join.near_duplicates(rows, id_col="__row")
+    near = cut_lineage(groups.where("component_id <> __row").select("__row", "component_id"), "near")
+    roots = near.select(F.col("component_id").alias("__row"), "component_id").distinct()
+    members = near.unionAll(roots).join(rows.select("__row", "doc_id"), "__row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    first = members.groupBy("component_id").agg(F.min(order).alias("first"))
+    gone = members.join(first, "component_id").where("__row <> first.__row").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cellcast.llm import (
     bitmap,
     decontam,
@@ -520,6 +521,21 @@ def test_ngram_join_groups_of_copies(spark):
     assert sorted(rows(small), key=str) == want
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    near = prose(1, 60).split()
+    near = " ".join([*near[:-1], "other"])
+    data = [
+        (1, prose(1, 60), "a"), (1, prose(1, 60), "a"), (2, near, "b"), (2, "a clean text under the same id", "c"),
+        (None, prose(2, 50), "d"), (None, prose(2, 50), "d"), (None, near, "e"), (None, "alone without an id", "f"),
+        (5, prose(4, 50), "g"), (4, prose(4, 50), "h"), (6, "", "i"), (7, None, "j"),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(r.source for r in out.collect()) == ["a", "c", "d", "f", "h", "i", "j"]
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
 # ---- 10
 
 
