@@ -17,7 +17,10 @@ from cellcast.llm import (
     lm_score,
     ngram_join,
     packing,
+    prefix_trie,
     secret_scan,
+    sharding,
+    token_align,
     token_count,
     toxicity,
 )
@@ -117,6 +120,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(summary)
 
 
+@_register
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8, law="rows")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_tokens(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.share_heads(turns))
+
+
 ORACLE_SQL["op1_decontaminate"] = f"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
@@ -206,7 +234,7 @@ FROM doc LEFT JOIN joined USING (doc_id)
 # Lines are compared as word lists joined by a blank; variants are texts, not hashes.
 ORACLE_SQL["op10_line_dedup"] = """
 WITH line AS (
-  SELECT doc_id, i - 1 AS line, regexp_extract_all(parts[i], '[^\\x20\\x09-\\x0D]+') AS w
+  SELECT doc_id, i - 1 AS line, regexp_extract_all(parts[i], '[^\x20\x09-\x0D]+') AS w
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
     unnest(range(1, len(parts) + 1)) AS r(i)),
 occurrence AS (
@@ -262,7 +290,7 @@ FROM v LEFT JOIN degree ON degree.a = vec_id LEFT JOIN root ON root.a = vec_id
 ORACLE_SQL["op9_ngram_join"] = f"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
-    '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+    '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 shingle AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM doc, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS r(i)),
@@ -278,3 +306,67 @@ root AS (SELECT a, least(a, min(b)) AS root FROM reach GROUP BY a)
 SELECT doc.doc_id, coalesce(n, 0) AS n_shingles, coalesce(root, doc.doc_id) AS component_id
 FROM doc LEFT JOIN size ON size.doc_id = doc.doc_id LEFT JOIN root ON root.a = doc.doc_id
 """
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+lengths AS (SELECT c, count(*) AS len FROM turns GROUP BY c),
+convs AS (
+  SELECT l.c, l.c - l.c % 20 AS base, coalesce(b.len, 0) AS base_len,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT],
+                       list_transform(range(1, length(l.c::VARCHAR) + 1),
+                                      lambda i: ord(substr(l.c::VARCHAR, i::INT, 1))::BIGINT)),
+           lambda crc, byte: list_reduce(
+             [xor(crc, byte), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT],
+             lambda r, step: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::BIGINT) ELSE r // 2 END)
+         ), 4294967295::BIGINT) % 4 AS h
+  FROM lengths l LEFT JOIN lengths b ON b.c = l.c - l.c % 20
+),
+rebuilt AS (
+  SELECT t.c, t.pos - v.h + least(v.h, v.base_len) AS pos, t.role, t.text
+  FROM turns t JOIN convs v ON v.c = t.c WHERE t.pos >= v.h
+  UNION ALL
+  SELECT v.c, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base AND t.pos < v.h
+),
+paths AS (
+  SELECT c, pos + 1 AS depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         md5(array_to_string(list(md5(length(role)::VARCHAR || ':' || role || text)) OVER (PARTITION BY c ORDER BY pos), '')) AS key
+  FROM rebuilt
+  UNION ALL
+  SELECT c, 0, 0, '' FROM convs
+),
+nodes AS (
+  SELECT depth, key, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY depth, key
+),
+placed AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.key AS parent_key
+  FROM nodes n
+  LEFT JOIN paths m ON m.c = n.conv_id AND m.depth = n.depth - 1
+  LEFT JOIN nodes p ON p.depth = m.depth AND p.key = m.key
+),
+children AS (
+  SELECT n.depth, n.key, count(p.key) AS n_children
+  FROM nodes n LEFT JOIN placed p ON p.depth = n.depth + 1 AND p.parent_key = n.key GROUP BY n.depth, n.key
+),
+below AS (
+  SELECT m.depth, m.key, sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens,
+         sum(CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves
+  FROM nodes u JOIN children k ON k.depth = u.depth AND k.key = u.key
+  JOIN paths m ON m.c = u.conv_id AND m.depth <= u.depth
+  GROUP BY m.depth, m.key
+),
+last_turn AS (SELECT c, max(depth) AS depth, max_by(key, depth) AS key FROM paths GROUP BY c),
+ends AS (
+  SELECT depth, key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256 FROM last_turn GROUP BY depth, key
+)
+SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, k.n_children, b.n_leaves, b.saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM placed n
+JOIN children k ON k.depth = n.depth AND k.key = n.key
+JOIN below b ON b.depth = n.depth AND b.key = n.key
+LEFT JOIN ends e ON e.depth = n.depth AND e.key = n.key
+"""
