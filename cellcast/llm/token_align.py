@@ -17,8 +17,8 @@ ids linked is summed from distinct pairs of slabs of documents; each slab gets
 back the counts of its own pairs only, never a table of all pairs.
 
 Neither tokenizer has a token across the end of a word and the blank after it,
-so a text is cut there, and a task tokenizes each distinct piece once.  Where
-the piece vocabulary had such an entry, the whole text is one piece.
+so a text is cut there, and a task tokenizes each distinct piece of a slice once.
+Where the piece vocabulary had such an entry, the whole text is one piece.
 
 Null and empty texts, and texts that B does not give back byte by byte, have no
 tokens: zeros and an empty ``groups``.  Repeated rows and rows without an id
@@ -45,8 +45,8 @@ from cellcast.session import cut_lineage, ship_package, shuffle_partitions
 _SLICE = 2 << 20
 _SLAB = 32 << 20
 _SLAB_DOCS = 100_000
-#: Pieces remembered by a worker; the memory is emptied when full.
-_REMEMBER = 200_000
+#: Text bytes of distinct pieces that are encoded at once.
+_RUN = 8 << 10
 #: Neighbouring fragments composed by one step of the tree.
 _FAN = 16
 
@@ -59,7 +59,7 @@ def default_vocabularies() -> tuple[str, str]:
 
 
 class Tokenizers:
-    """Ids of both tokenizers for distinct pieces of text, and the bytes of every id."""
+    """Ids of both tokenizers for pieces of text, and the bytes of every id."""
 
     def __init__(self, ranks_path: str, model_path: str):
         import public_tokenizers
@@ -77,30 +77,84 @@ class Tokenizers:
             self.a_len[rank] = len(entry)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         mark = "▁"
+        self.mark = mark.encode()
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(mark, " ").encode()
             for i, p in enumerate(pieces)
         ]
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
         self.blank = self.b.piece_to_id(mark)
-        #: whether no piece crosses from a word into the blank after it
+        #: whether no entry of B crosses from a word into the blank after it
         self.parts = not any(x != mark and y == mark for p in pieces for x, y in zip(p, p[1:]))
-        self.known: dict[bytes, tuple[list[int], list[int] | None]] = {}
-
-    def encode(self, piece: bytes) -> tuple[list[int], list[int] | None]:
-        """(A ids, B ids) of a piece that starts with a blank; B is None if it gives other bytes."""
-        found = self.known.get(piece)
-        if found is None:
-            text = piece.decode()
-            a = self.a.encode_ordinary(text)
-            # B puts the blank before the text itself, but not before an empty one.
-            b = self.b.encode(text[1:]) if len(text) > 1 else [self.blank]
-            found = (a, b if b"".join([self.b_bytes[i] for i in b]) == piece else None)
-            if len(piece) <= 64:
-                if len(self.known) >= _REMEMBER:
-                    self.known.clear()
-                self.known[piece] = found
-        return found
+
+    def _one(self, piece: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
+        text = piece.decode()
+        a = np.array(self.a.encode_ordinary(text), np.int64)
+        # B puts the blank before the text itself, but not before an empty one.
+        b = self.b.encode(text[1:]) if len(text) > 1 else [self.blank]
+        good = b"".join([self.b_bytes[i] for i in b]) == piece
+        return a, np.array(b if good else [], np.int64), good
+
+    def encode(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A ids, first A id of each piece, B ids, first B id, whether B gives the piece back).
+
+        Pieces start with a blank.  Those that may stand next to each other, as
+        neither tokenizer joins them, are strung together and encoded in long runs.
+        """
+        _, offs, data = pieces.buffers()
+        offsets = np.frombuffer(offs, np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        safe = np.zeros(len(pieces), bool)
+        if self.parts and len(pieces):
+            last = buf[offsets[1:] - 1]
+            # The end of white space beyond ASCII is left to the odd ones, with what shares its last byte.
+            safe = (last > 32) & ~np.isin(last, _WHITE_ENDS)
+            safe &= ~pc.match_substring(pieces, self.mark).to_numpy(zero_copy_only=False)
+        sizes = np.diff(offsets)
+        good = np.ones(len(pieces), bool)
+        order, a_all, b_all, a_n, b_n = [], [], [], [], []
+        joined = np.flatnonzero(safe)
+        run_of = np.cumsum(sizes[joined]) // _RUN
+        runs = np.split(joined, np.flatnonzero(np.diff(run_of)) + 1) if len(joined) else []
+        odd = np.flatnonzero(~safe).tolist()
+        texts = [b"".join(pieces.take(pa.array(r)).to_pylist()) for r in runs]
+        all_b = self.b.encode([t.decode()[1:] for t in texts], num_threads=1) if texts else []
+        for run, text, b in zip(runs, texts, all_b):
+            ends = np.cumsum(sizes[run])
+            a, b = np.array(self.a.encode_ordinary(text.decode()), np.int64), np.array(b, np.int64)
+            a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+            i, j = np.searchsorted(a_ends, ends, "right"), np.searchsorted(b_ends, ends, "right")
+            whole = b"".join([self.b_bytes[x] for x in b.tolist()]) == text
+            if not whole or (a_ends[i - 1] != ends).any() or (b_ends[j - 1] != ends).any():
+                odd.extend(run.tolist())  # one of them is odd: each by itself
+                continue
+            order.append(run)
+            a_all.append(a)
+            b_all.append(b)
+            a_n.append(np.diff(i, prepend=0))
+            b_n.append(np.diff(j, prepend=0))
+        for k in odd:
+            a, b, good[k] = self._one(pieces[k].as_py())
+            order.append(np.array([k]))
+            a_all.append(a)
+            b_all.append(b)
+            a_n.append(np.array([len(a)]))
+            b_n.append(np.array([len(b)]))
+        none = np.zeros(0, np.int64)
+        place = np.concatenate([none, *order])
+
+        def starts(counts: list[np.ndarray]) -> np.ndarray:
+            """First id and number of ids of every piece, though the ids stand in another order."""
+            n = np.concatenate([none, *counts])
+            out = np.empty((2, len(pieces)), np.int64)
+            out[0, place], out[1, place] = np.cumsum(n) - n, n
+            return out
+
+        return np.concatenate([none, *a_all]), starts(a_n), np.concatenate([none, *b_all]), starts(b_n), good
+
+
+#: Last bytes of white space beyond ASCII: U+0085, U+00A0, U+1680, U+2000-200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+_WHITE_ENDS = np.array(sorted({chr(c).encode()[-1] for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}), np.uint8)
 
 
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
@@ -143,17 +197,17 @@ class Tokens:
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(buf)]
         ).dictionary_encode()
-        encoded = [tok.encode(p) for p in pieces.dictionary.to_pylist()]
+        a_ids, a_of, b_ids, b_of, good = tok.encode(pieces.dictionary)
         index = pieces.indices.to_numpy(zero_copy_only=False)
-        bad = np.array([b is None for _, b in encoded], bool)[index]
+        bad = ~good[index]
         owner = np.searchsorted(offsets, starts, "right") - 1
         #: documents that B gives back
         self.ok = np.ones(len(offsets) - 1, bool)
         self.ok[owner[bad]] = False
         index = index[self.ok[owner]]
         owner = owner[self.ok[owner]]
-        self.a, a_owner = _gather([a for a, _ in encoded], index, owner)
-        self.b, b_owner = _gather([b or [] for _, b in encoded], index, owner)
+        self.a, a_owner = _gather(a_ids, a_of, index, owner)
+        self.b, b_owner = _gather(b_ids, b_of, index, owner)
         self.a_first = np.searchsorted(a_owner, np.arange(len(offsets)))
         self.b_first = np.searchsorted(b_owner, np.arange(len(offsets)))
         # Lengths of earlier documents that hold, so that ends ascend over the run.
@@ -163,47 +217,63 @@ class Tokens:
         self.b_ends = np.cumsum(tok.b_len[self.b])
 
 
-def _gather(lists: list[list[int]], index: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pieces in order, and the document of each id."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.fromiter((i for x in lists for i in x), np.int64, int(first[-1]))
-    n = sizes[index]
+def _gather(ids: np.ndarray, of: np.ndarray, index: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces in order, and the document of each id; ``of``: first id and number by piece."""
+    first, n = of[0, index], of[1, index]
     ends = np.cumsum(n)
-    at = np.arange(ends[-1] if len(n) else 0) - np.repeat(ends - n, n) + np.repeat(first[index], n)
-    return flat[at], np.repeat(owner, n)
-
-
-def links(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(end, code) of every link: intervals between neighbouring ends of either tokenizer."""
-    ends = np.union1d(a_ends, b_ends)
-    return ends, (a[np.searchsorted(a_ends, ends)] << 16) | b[np.searchsorted(b_ends, ends)]
-
-
-_SEPARATED: list[list[bytes]] = []
-
-
-def _texts() -> list[bytes]:
-    if not _SEPARATED:
-        ids = [str(i).encode() for i in range(1 << 16)]
-        _SEPARATED.append([i + s for s in (b",", b"|", b";") for i in ids])
-    return _SEPARATED[0]
-
-
-def group_text(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(ids with the separators after them, in order; where each A token stands; common ends)."""
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    a_last, b_last = np.searchsorted(a_ends, common), np.searchsorted(b_ends, common)
-    a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
-    # A's tokens of a group stand after B's of all groups before, B's after A's of this group too.
-    a_at = np.arange(len(a)) + np.concatenate([[0], b_last + 1])[a_group]
-    b_at = np.arange(len(b)) + (a_last + 1)[b_group]
-    out = np.empty(len(a) + len(b), np.int64)
-    out[a_at], out[b_at] = a, b
-    out[a_at[a_last]] += 1 << 16
-    out[b_at[b_last]] += 2 << 16
-    texts = _texts()
-    return [texts[i] for i in out.tolist()], a_at, common
+    at = np.arange(ends[-1] if len(n) else 0) + np.repeat(first - (ends - n), n)
+    return ids[at], np.repeat(owner, n)
+
+
+class Overlay:
+    """Both cuts of one stretch of bytes: an interval between neighbouring ends is a link."""
+
+    def __init__(self, a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray):
+        size = int(a_ends[-1]) if len(a_ends) else 0
+        flags = np.zeros(size + 1, np.uint8)
+        flags[a_ends] = 1
+        flags[b_ends] |= 2
+        self.a, self.b = a, b
+        #: where the intervals end, and whether an A, a B token ends there
+        self.ends = np.flatnonzero(flags)
+        self.is_a, self.is_b = flags[self.ends] & 1 > 0, flags[self.ends] & 2 > 0
+        self.a_at, self.b_at = np.cumsum(self.is_a) - self.is_a, np.cumsum(self.is_b) - self.is_b
+        both = self.is_a & self.is_b
+        self.common = self.ends[both]
+        #: tokens up to and with each common end, and the group of each interval
+        self.a_upto, self.b_upto = self.a_at[both] + 1, self.b_at[both] + 1
+        self.group = np.cumsum(both) - both
+
+    def codes(self) -> np.ndarray:
+        """The pair of ids of every link."""
+        return (self.a[self.a_at] << 16) | self.b[self.b_at]
+
+    def text(self) -> tuple[memoryview, np.ndarray]:
+        """All groups as text, each followed by ``;``, and where each token's text starts in it
+        (tokens in the order of the text)."""
+        # A's tokens of a group stand after B's of all groups before, B's after A's of this group too.
+        a_at = np.arange(len(self.a)) + np.concatenate([[0], self.b_upto])[self.group[self.is_a]]
+        b_at = np.arange(len(self.b)) + self.a_upto[self.group[self.is_b]]
+        out = np.empty(len(self.a) + len(self.b), np.int64)
+        out[a_at], out[b_at] = self.a, self.b
+        out[a_at[self.a_upto - 1]] += 1 << 16
+        out[b_at[self.b_upto - 1]] += 2 << 16
+        letters, width = _texts()
+        n = width[out]
+        written = letters[out][np.arange(letters.shape[1]) < n[:, None]]
+        return memoryview(written.tobytes()), np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+
+
+_TEXTS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _texts() -> tuple[np.ndarray, np.ndarray]:
+    """Every id followed by ``,``, ``|`` and ``;``: rows of letters, and how many count."""
+    if not _TEXTS:
+        made = [str(i).encode() + s for s in (b",", b"|", b";") for i in range(1 << 16)]
+        letters = np.frombuffer(b"".join(x.ljust(6) for x in made), np.uint8).reshape(-1, 6)
+        _TEXTS.append((letters, np.array([len(x) for x in made], np.uint8)))
+    return _TEXTS[0]
 
 
 _SLAB_SCHEMA = pa.schema(
@@ -249,23 +319,22 @@ class _Slab:
     def add(self, tok: Tokenizers, ids: list, buf: np.ndarray, offsets: np.ndarray) -> None:
         filled = np.flatnonzero(np.diff(offsets) > 0)
         t = Tokens(tok, buf, np.append(offsets[filled], len(buf)))
-        parts, a_at, common = group_text(t.a, t.a_ends, t.b, t.b_ends)
-        ends, codes = links(t.a, t.a_ends, t.b, t.b_ends)
-        first_link = np.searchsorted(ends, t.at, "right")
-        first_group = np.searchsorted(common, t.at, "right")
+        laid = Overlay(t.a, t.a_ends, t.b, t.b_ends)
+        text, place = laid.text()
+        first_link = np.searchsorted(laid.ends, t.at, "right")
+        first_group = np.searchsorted(laid.common, t.at, "right")
         doc = np.repeat(np.arange(len(filled)), np.diff(first_link))
-        distinct, times = np.unique((doc << 32) | codes, return_counts=True)
+        distinct, times = np.unique((doc << 32) | laid.codes(), return_counts=True)
         n_pairs = np.zeros(len(ids), np.int64)
         n_pairs[filled] = np.bincount(distinct >> 32, minlength=len(filled))
         zero = np.zeros((4, len(ids)), np.int64)
         for row, values in zip(zero, (t.a_first, t.b_first, first_group, first_link)):
             row[filled] = np.diff(values)
         sha = [""] * len(ids)
-        both = t.a_first + t.b_first
+        cuts = place[t.a_first + t.b_first].tolist()
         for d, at in enumerate(filled.tolist()):
             if t.ok[d]:
-                text = b"".join(parts[both[d] : both[d + 1]])
-                sha[at] = hashlib.sha256(text[:-1]).hexdigest()
+                sha[at] = hashlib.sha256(text[cuts[d] : cuts[d + 1] - 1]).hexdigest()
         for column, values in zip(self.columns, (ids, *[z.tolist() for z in zero], sha, n_pairs.tolist())):
             column.extend(values)
         self.pairs.append((distinct & 0xFFFFFFFF).astype("<u4"))
@@ -479,11 +548,10 @@ def _part_pairs(paths: tuple[str, str]):
             for row, at, a, b in zip(*[batch.column(c).to_pylist() for c in ("row", "at", "a1", "b1")]):
                 a, b = _unpack(a), _unpack(b)
                 a_ends, b_ends = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
-                texts, _, common = group_text(a, a_ends, b, b_ends)
-                ends, codes = links(a, a_ends, b, b_ends)
-                code, times = np.unique(codes, return_counts=True)
-                text = b"".join(texts)
-                out.append((row, at, len(a), len(b), len(common), len(ends), text, code.tolist(), times.tolist()))
+                laid = Overlay(a, a_ends, b, b_ends)
+                code, times = np.unique(laid.codes(), return_counts=True)
+                counts = len(a), len(b), len(laid.common), len(laid.ends)
+                out.append((row, at, *counts, laid.text()[0].tobytes(), code.tolist(), times.tolist()))
             columns = list(zip(*out)) if out else [()] * len(types)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
 
