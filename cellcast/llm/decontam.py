@@ -11,7 +11,8 @@ with fewer words is one pattern).  Patterns of one length share a scanner:
 * the bytes of the words are compared directly before a hit counts.
 
 All documents of a batch are scanned in lockstep: one pointer per stretch of
-text, moved with array operations.  Benchmark text is sent to the tasks in
+text, moved with array operations.  Patterns are places in one byte array, and
+the shift table grows with their number.  Benchmark text is sent to the tasks in
 shards of at most ``shard_bytes``; a larger benchmark takes more scans, each
 adding to the spans found so far, so no size is too large.
 
@@ -33,8 +34,12 @@ from pyspark.sql import functions as F
 from cellcast.llm import words as W
 from cellcast.session import cut_lineage, ship_package
 
-_TABLE_BITS = 18
+#: The shift table has a slot for every few blocks of the patterns, from 2^18 to 2^26 slots of a byte.
+_TABLE_BITS = (18, 26)
 _STRETCH = 256
+#: Benchmark text handled at once.  Its tables take about 60 bytes for each of its words: a
+#: shard of 8 MB costs the driver and every Python worker some 150 MB, whatever the benchmark's size.
+SHARD_BYTES = 8 << 20
 
 
 def _window_hash(h: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
@@ -48,18 +53,19 @@ class Scanner:
     """Wu-Manber tables for the patterns of one length (in words)."""
 
     def __init__(self, size: int, hashes: np.ndarray):
-        """``hashes``: one row of ``size`` word hashes per pattern."""
+        """``hashes``: one row of ``size`` word hashes per pattern, in the order of the windows' hashes."""
         self.size = size
         self.block = min(2, size)
         free = size - self.block + 1
-        self.shift = np.full(1 << _TABLE_BITS, min(free, 127), dtype=np.int8)
+        low, high = _TABLE_BITS
+        # Eight slots for each block that a pattern may add, so that other text seldom meets a taken one.
+        self.mask = (1 << min(high, max(low, (8 * len(hashes)).bit_length()))) - 1
+        self.shift = np.full(self.mask + 1, min(free, 127), dtype=np.int8)
         for end in range(self.block - 1, size):  # nearer blocks last: they shift least
             block = self._block(hashes[:, end], hashes[:, end - 1] if self.block == 2 else None)
-            self.shift[block & ((1 << _TABLE_BITS) - 1)] = min(size - 1 - end, 127)
-        flat = hashes.reshape(-1)
-        self.full = _window_hash(flat, np.arange(len(hashes)) * size, size)
-        self.order = np.argsort(self.full, kind="stable")
-        self.full = self.full[self.order]
+            self.shift[block & np.uint64(self.mask)] = min(size - 1 - end, 127)
+        #: window hashes, ascending as the patterns are
+        self.full = _window_hash(hashes.reshape(-1), np.arange(len(hashes)) * size, size)
         suffix = self._block(hashes[:, -1], hashes[:, -2] if self.block == 2 else None)
         self.suffix = np.unique(suffix)
 
@@ -76,10 +82,9 @@ class Scanner:
         at = lo[doc] + nth * _STRETCH
         stop = np.minimum(at + _STRETCH, hi[doc])
         found = []
-        mask = (1 << _TABLE_BITS) - 1
         while len(at):
             block = self._block(h[at], h[at - 1] if self.block == 2 else None)
-            jump = self.shift[block & np.uint64(mask)].astype(np.int64)
+            jump = self.shift[block & np.uint64(self.mask)].astype(np.int64)
             zero = jump == 0
             if zero.any():
                 ends, key = at[zero], block[zero]
@@ -101,44 +106,65 @@ class Scanner:
         hi = np.searchsorted(self.full, full, "right")
         for i in np.flatnonzero(hi > lo):
             for k in range(lo[i], hi[i]):
-                yield int(ends[i]), int(self.order[k])
+                yield int(ends[i]), k
 
 
 class PatternSet:
-    """All windows of a shard of the benchmark: scanners by length, word bytes and items."""
+    """All windows of a shard of the benchmark: the words' bytes once, and per length the
+    places of distinct windows, a scanner and the items that hold each window."""
 
     def __init__(self, items: list[tuple[str | None, str]], window: int):
         batch = pa.record_batch({"t": pa.array([t for _, t in items], pa.string())})
         words = W.batch_words(batch, "t", W.ALNUM)
-        h = words.hashes()
-        by_size: dict[int, dict[tuple[bytes, ...], tuple[int, set[str]]]] = {}
-        for d, (item, _) in enumerate(items):
-            a, b = int(words.first[d]), int(words.first[d + 1])
-            text = [words.bytes_of(i) for i in range(a, b)]
-            size = min(window, len(text))
-            for i in range(len(text) - size + 1 if size else 0):
-                seen = by_size.setdefault(size, {})
-                owners = seen.setdefault(tuple(text[i : i + size]), (a + i, set()))[1]
-                if item is not None:
-                    owners.add(item)
+        self.buf, self.starts, self.ends = words.buf, words.starts, words.ends
+        #: names of the items; -1 stands for an item without one
+        names = sorted({i for i, _ in items if i is not None})
+        number = {name: k for k, name in enumerate(names)}
+        self.names = names
+        owner = np.array([-1 if i is None else number[i] for i, _ in items], np.int64)
+        h, counts = words.hashes(), words.counts()
+        sizes = np.minimum(window, counts)
         self.groups = []
-        for size, seen in sorted(by_size.items()):
-            rows = np.array([h[at : at + size] for at, _ in seen.values()], dtype=np.uint64)
-            self.groups.append((Scanner(size, rows), list(seen), [s for _, s in seen.values()]))
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            docs = np.flatnonzero(sizes == size)
+            n = counts[docs] - size + 1
+            at = np.repeat(words.first[docs] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            own = np.repeat(owner[docs], n)
+            full = _window_hash(h, at, size)
+            # Windows of one hash stand together; equal ones are kept once, by their first place.
+            order = np.lexsort((at, full))
+            full, at, own = full[order], at[order], own[order]
+            same = np.zeros(len(at), bool)
+            for i in np.flatnonzero(full[1:] == full[:-1]) + 1:
+                same[i] = self._equal(at[i - 1], self.buf, self.starts, self.ends, at[i], size)
+            group = np.cumsum(~same) - 1
+            place = at[~same]
+            pairs = np.unique(np.stack([group, own], 1)[own >= 0], axis=0)
+            first = np.searchsorted(pairs[:, 0], np.arange(len(place) + 1))
+            self.groups.append((Scanner(size, h[place[:, None] + np.arange(size)]), place, first, pairs[:, 1]))
+
+    def _equal(self, at: int, buf, starts, ends, other: int, size: int) -> bool:
+        """Whether the words from ``at`` here are, byte by byte, those from ``other`` there."""
+        return all(
+            np.array_equal(
+                self.buf[self.starts[at + j] : self.ends[at + j]], buf[starts[other + j] : ends[other + j]]
+            )
+            for j in range(size)
+        )
 
     def search(self, words: W.Words) -> tuple[dict[int, list[tuple[int, int]]], dict[int, set[str]]]:
         """Merged word spans and item ids by document number."""
         h = words.hashes()
         ranges: list[tuple[int, int]] = []
         items: dict[int, set[str]] = {}
-        for scanner, texts, owners in self.groups:
+        for scanner, place, first, owners in self.groups:
             m = scanner.size
             for end, k in scanner.hits(h, words.first):
                 start = end - m + 1
-                if all(words.bytes_of(start + j) == texts[k][j] for j in range(m)):
+                if self._equal(place[k], words.buf, words.starts, words.ends, start, m):
                     ranges.append((start, end + 1))
                     d = int(np.searchsorted(words.first, start, "right")) - 1
-                    items.setdefault(d, set()).update(owners[k])
+                    items.setdefault(d, set()).update(self.names[o] for o in owners[first[k] : first[k + 1]])
         spans: dict[int, list[tuple[int, int]]] = {}
         for start, end in sorted(ranges):
             d = int(np.searchsorted(words.first, start, "right")) - 1
@@ -192,6 +218,25 @@ def _scan(shared):
     return run
 
 
+def _pattern_sets(
+    benchmark: DataFrame, item_col: str, item_text_col: str, window: int, shard_bytes: int
+) -> Iterator[PatternSet]:
+    """Patterns of the benchmark, shard by shard; an empty benchmark has one empty shard.
+
+    The driver holds the text of one shard, which :data:`SHARD_BYTES` bounds.
+    """
+    bench = benchmark.select(
+        F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")
+    ).where("text is not null")
+    size = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(1, -(-int(size) // shard_bytes))
+    for k in range(shards):
+        # The text is hashed too, so items that share an id, or have none, spread over the shards.
+        own = F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k
+        part = bench.where(own) if shards > 1 else bench
+        yield PatternSet([(r.item, r.text) for r in part.collect()], window)
+
+
 def find_contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -200,7 +245,7 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
-    shard_bytes: int = 32 << 20,
+    shard_bytes: int = SHARD_BYTES,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Spans of benchmark windows in each document.
@@ -211,11 +256,6 @@ def find_contamination(
     """
     spark = documents.sparkSession
     ship_package(spark)
-    bench = benchmark.select(
-        F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")
-    ).where("text is not null")
-    size = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(1, -(-int(size) // shard_bytes))
     state = documents.select(
         F.col(id_col).alias("__id"),
         F.col(text_col).alias("__text"),
@@ -224,17 +264,47 @@ def find_contamination(
         F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
-    for k in range(shards):
-        # The text is hashed too, so items that share an id, or have none, spread over the shards.
-        own = F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k
-        part = bench.where(own) if shards > 1 else bench
-        patterns = PatternSet([(r.item, r.text) for r in part.collect()], window)
+    for k, patterns in enumerate(_pattern_sets(benchmark, item_col, item_text_col, window, shard_bytes)):
         if k:
             state = cut_lineage(state, "decontam")
         state = state.mapInArrow(_scan(spark.sparkContext.broadcast(patterns)), state.schema)
     return state.drop("__text").withColumnRenamed("__id", id_col)
 
 
+def _keep_clean(shared, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = shared.value
+        for whole in batches:
+            for batch in W.slices(whole, text_col):
+                spans, _ = patterns.search(W.batch_words(batch, text_col, W.ALNUM))
+                clean = np.ones(batch.num_rows, bool)
+                clean[list(spans)] = False
+                yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def keep_clean(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = 10,
+    shard_bytes: int = SHARD_BYTES,
+) -> DataFrame:
+    """The rows of ``documents``, as they are, that hold no window of a benchmark item.
+
+    A filter: each text passes through Python once, and a row goes at the first
+    shard of the benchmark that it matches.
+    """
+    spark = documents.sparkSession
+    ship_package(spark)
+    for patterns in _pattern_sets(benchmark, item_col, item_text_col, window, shard_bytes):
+        documents = documents.mapInArrow(_keep_clean(spark.sparkContext.broadcast(patterns), text_col), documents.schema)
+    return documents
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts and item fingerprint of :func:`find_contamination` rows."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
