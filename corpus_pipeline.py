@@ -6,8 +6,9 @@ the last return the columns of ``documents``; the last returns the pieces of the
 packed sequences.
 
 The near-duplicate stage decides by row, whatever the ids: of repeated rows one
-stays, and rows without an id are compared like any other.  Null texts go in the first stage, which keeps texts of a learned language only; a
-document whose every line repeats an earlier one goes in the second.
+stays, and rows without an id are compared like any other.  Null texts go in the
+first stage, which keeps texts of a learned language only; a document whose every
+line repeats an earlier one goes in the second.
 """
 
 from __future__ import annotations
@@ -50,9 +51,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     benchmark = spark.read.parquet(os.path.join(sf_dir, "benchmark.parquet"))
-    found = decontam.find_contamination(docs, benchmark, keep=docs.columns)
-    clean = found.where(F.size("spans") == 0)
-    return clean.select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
+    return decontam.keep_clean(docs, benchmark)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
