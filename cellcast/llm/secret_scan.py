@@ -3,15 +3,24 @@
 Base spans come from three patterns (assignments of named secrets, access keys,
 long hexadecimal runs).  On top of them, candidate strings -- runs of 20 and
 more characters that credentials are written in, with a letter and a digit --
-are read with a sliding window of 20 characters.  The window keeps one count
-per character of its class (hexadecimal or base 64) and the sum of
-``c * log2(c)``; a step changes two counts, so the Shannon entropy
-``log2(w) - sum / w`` follows without recounting.  A candidate is reported from
-the first to the last window whose entropy reaches the class threshold.
-
-The allow list suppresses added spans that hold well-known harmless strings
-(placeholders, alphabets, UUIDs) or lie inside a base span.  Base spans are
-never suppressed.  Offsets count code points; the end is exclusive.
+are read with a sliding window of 20 characters.  The window keeps the sum of
+``c * log2(c)`` over the counts of its characters; a step takes one character in
+and one out, which changes two counts, so the Shannon entropy ``log2(w) - sum / w``
+follows from how often these two occur among the other 19.  The sum is kept in
+whole units of 2^-40, so it does not drift however long a run is, and a step
+costs the same at every length.
+
+A run is of the hexadecimal class if it holds hexadecimal digits only, in either
+case (upper and lower case then count as one), and of the base 64 class
+otherwise.  It is reported from the first to the last window whose entropy
+reaches the class threshold.
+
+The allow list holds well-known harmless strings (placeholders, alphabets): a
+window does not count if one lies in it or within 20 characters before or after
+it, so a placeholder quiets its surroundings, not a key further on in the same
+run.  Runs that are UUIDs are left out, and so are added spans inside a base
+span.  Base spans are never suppressed.  Offsets count code points; the end is
+exclusive.
 
 Null text counts as empty: no spans.  Every row is scanned by itself, so
 repeated rows, null ids and empty tables need no special treatment.
@@ -32,139 +41,176 @@ HEX = r"[0-9a-f]{24,}"
 #: Candidate strings: possessive runs, so a run is read once.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
 
-#: Character classes: (name, alphabet, entropy in bits that a window must reach).
-HEX_CLASS = ("entropy_hex", "0123456789abcdef", 3.0)
-BASE64_CLASS = (
-    "entropy_base64",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-",
-    3.8,
-)
+#: Classes: (name, entropy in bits that a window must reach).
+HEX_CLASS = ("entropy_hex", 3.0)
+BASE64_CLASS = ("entropy_base64", 3.8)
 WINDOW = 20
-#: Harmless strings; an added span that holds one is suppressed.
-ALLOW = (
-    r"(?i)example|placeholder|changeme|your[_-]?|xxxx|0123456789|1234567890|abcdefgh"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-)
-#: Difference that rounding may make in the running sum.
+HEX_RUN = "^[0-9a-fA-F]+$"
+#: Harmless strings; windows near one do not count.
+ALLOW = r"(?i)example|placeholder|changeme|your[_-]?|xxxx|0123456789|1234567890|abcdefgh"
+UUID_RUN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+#: Entropy may fall this much short of the threshold.
 _SLACK = 1e-9
+#: Units of the running sum.
+_UNIT = 1 << 40
+#: Matches whose places are summed in one step.
+_BLOCK = 64
 
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
+def _sums_before(values: Column) -> Column:
+    """For each value of an array of long, the sum of those before it.
+
+    Blocks of :data:`_BLOCK` values are summed apart and then shifted, so the cost
+    does not grow with the square of the length.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def chain(numbers: Column) -> Column:
+        """0 and the running sums; as long as ``numbers`` and one more."""
+        return F.aggregate(numbers, F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    def with_values(whole: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / _BLOCK).cast("int")),
+            lambda b: F.slice(whole, b * _BLOCK + 1, F.lit(_BLOCK)),
+        )
+
+        def with_blocks(parts: Column) -> Column:
+            totals = F.transform(parts, lambda p: F.aggregate(p, zero, lambda acc, x: acc + x))
+
+            def with_shifts(shifts: Column) -> Column:
+                return F.flatten(
+                    F.transform(
+                        parts,
+                        lambda p, b: F.transform(
+                            F.slice(chain(p), 1, F.size(p)), lambda x: x + F.element_at(shifts, b + 1)
+                        ),
+                    )
+                )
+
+            return _let(chain(totals), with_shifts)
+
+        return _let(blocks, with_blocks)
+
+    return F.when(F.size(values) > 0, _let(values, with_values)).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _placed(text: Column, pattern: str, kind: str) -> Column:
     """Matches of ``pattern`` with their places: array of (kind, start, end, match)."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    walk = F.aggregate(
-        F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("g")),
-        F.struct(
-            F.lit(0).cast("bigint").alias("at"),
-            F.expr(
-                "cast(array() as array<struct<kind:string,start:bigint,end:bigint,match:string>>)"
-            ).alias("out"),
-        ),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + F.length(x["m"])).cast("bigint").alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        F.lit(kind).alias("kind"),
-                        (acc["at"] + x["g"]).cast("bigint").alias("start"),
-                        (acc["at"] + x["g"] + F.length(x["m"])).cast("bigint").alias("end"),
-                        x["m"].alias("match"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    none = F.expr(
-        "cast(array() as array<struct<kind:string,start:bigint,end:bigint,match:string>>)"
-    )
-    return F.when(text.rlike(pattern), walk).otherwise(none)
+    pairs = F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("g"))
 
+    def with_pairs(zipped: Column) -> Column:
+        # A match starts after all gaps up to its own and all matches before it.
+        lengths = F.transform(zipped, lambda x: (x["g"] + F.length(x["m"])).cast("bigint"))
+        return F.transform(
+            F.arrays_zip(zipped.alias("x"), _sums_before(lengths).alias("at")),
+            lambda z: F.struct(
+                F.lit(kind).alias("kind"),
+                (z["at"] + z["x"]["g"]).alias("start"),
+                (z["at"] + z["x"]["g"] + F.length(z["x"]["m"])).alias("end"),
+                z["x"]["m"].alias("match"),
+            ),
+        )
 
-def _weight(count: Column) -> Column:
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+    none = F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint,match:string>>)")
+    return F.when(text.rlike(pattern), _let(pairs, with_pairs)).otherwise(none)
 
 
-def window_entropies(value: Column, alphabet: str, window: int) -> Column:
-    """Entropy of each window of ``value``, by incremental counts (array of double)."""
-    chars = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(alphabet), c))
-    zero = F.array_repeat(F.lit(0), len(alphabet) + 1)
+def _units(count: int) -> int:
+    """``c * log2(c)`` in units."""
+    return round(count * math.log2(count) * _UNIT) if count > 1 else 0
 
-    def count(counts: Column, char: Column) -> Column:
-        return F.element_at(counts, char + 1)
 
-    def changed(counts: Column, char: Column, by: int) -> Column:
-        return F.transform(
-            counts, lambda c, k: F.when(k == char, c + F.lit(by)).otherwise(c)
-        )
+def window_sums(chars: Column, window: int) -> Column:
+    """How the sum of ``c * log2(c)`` over the last ``window`` characters changes at each
+    position of an array of characters (in units).
+
+    The character that comes in and the one that goes out are counted among the
+    ``window - 1`` characters between them.
+    """
+    gain = F.array(*[F.lit(_units(c + 1) - _units(c)) for c in range(window)])
+
+    def change(char: Column, i: Column) -> Column:
+        between = F.slice(chars, F.greatest(i - (window - 2), F.lit(1)), F.least(i, F.lit(window - 1)))
+        gone = F.get(chars, i - window)
+        coming = F.element_at(gain, F.size(F.filter(between, lambda c: c == char)) + 1)
+        going = F.element_at(gain, F.size(F.filter(between, lambda c: c == gone)) + 1)
+        return coming - F.when(i >= window, going).otherwise(F.lit(0))
+
+    return F.transform(chars, change)
+
+
+def _first_and_last(chars: Column, least: float, quiet: Column, window: int) -> Column:
+    """(first, last) start of the windows that count, or nulls.
+
+    ``quiet``: whether the run holds a string of the allow list at all.
+    """
+    most = int((math.log2(window) - least + _SLACK) * window * _UNIT)
+
+    def near_allowed(last: Column) -> Column:
+        start = F.greatest(last - (2 * window - 2), F.lit(1))
+        around = F.slice(chars, start, last + 1 + window - start + 1)
+        return F.array_join(around, "").rlike(ALLOW)
 
     def step(acc: Column, x: Column) -> Column:
-        new, old = x["new"], x["old"]
-        gone = F.when(old >= 0, changed(acc["counts"], old, -1)).otherwise(acc["counts"])
-        lost = F.when(
-            old >= 0,
-            _weight(count(acc["counts"], old)) - _weight(count(acc["counts"], old) - 1),
-        ).otherwise(0.0)
-        won = F.aggregate(
-            F.array(gone),
-            F.struct(acc["counts"].alias("counts"), F.lit(0.0).alias("gain")),
-            lambda _, g: F.struct(
-                changed(g, new, 1).alias("counts"),
-                (_weight(count(g, new) + 1) - _weight(count(g, new))).alias("gain"),
-            ),
-        )
-        total = acc["total"] - lost + won["gain"]
+        total = acc["total"] + x
+        low = (acc["i"] >= window - 1) & (total <= most)
+        counts = F.when(low, F.when(quiet, ~near_allowed(acc["i"])).otherwise(True)).otherwise(False)
+        start = acc["i"] - (window - 1)
         return F.struct(
-            won["counts"].alias("counts"),
             total.alias("total"),
-            F.concat(acc["out"], F.array(F.lit(math.log2(window)) - total / window)).alias("out"),
+            (acc["i"] + 1).alias("i"),
+            F.when(acc["first"].isNull() & counts, start).otherwise(acc["first"]).alias("first"),
+            F.when(counts, start).otherwise(acc["last"]).alias("last"),
         )
 
-    old = F.concat(F.array_repeat(F.lit(-1), window), chars)
-    pairs = F.arrays_zip(
-        chars.alias("new"), F.slice(old, 1, F.size(chars)).alias("old")
-    )
-    return F.aggregate(
-        pairs,
-        F.struct(
-            zero.alias("counts"),
-            F.lit(0.0).alias("total"),
-            F.expr("cast(array() as array<double>)").alias("out"),
-        ),
-        step,
-        lambda acc: F.slice(acc["out"], window, F.greatest(F.size(acc["out"]) - (window - 1), F.lit(0))),
+    nothing = F.lit(None).cast("int")
+    state = F.struct(
+        F.lit(0).cast("bigint").alias("total"),
+        F.lit(0).alias("i"),
+        nothing.alias("first"),
+        nothing.alias("last"),
     )
+    return F.aggregate(window_sums(chars, window), state, step)
 
 
 def _entropy_spans(candidates: Column, base: Column, window: int) -> Column:
     def judged(c: Column) -> Column:
-        is_hex = c["match"].rlike("^[0-9a-f]+$")
-
-        def span(cls) -> Column:
-            name, alphabet, least = cls
-            values = window_entropies(c["match"], alphabet, window)
-            hits = F.transform(values, lambda v: v >= F.lit(least - _SLACK))
-            first = F.array_position(hits, F.lit(True))
-            last = F.size(hits) + 1 - F.array_position(F.reverse(hits), F.lit(True))
-            return F.when(
-                first > 0,
-                F.struct(
-                    F.lit(name).alias("kind"),
-                    (c["start"] + first - 1).cast("bigint").alias("start"),
-                    (c["start"] + last - 1 + window).cast("bigint").alias("end"),
-                ),
-            )
-
-        return F.when(is_hex, span(HEX_CLASS)).otherwise(span(BASE64_CLASS))
-
-    allowed = F.filter(
-        candidates,
-        lambda c: ~c["match"].rlike(ALLOW) & c["match"].rlike("[A-Za-z]"),
-    )
+        # Looked up once for each run, not at each of its windows.
+        return _let(c["match"].rlike(ALLOW), lambda quiet: of_class(c, quiet))
+
+    def of_class(c: Column, quiet: Column) -> Column:
+        def span(cls, run: Column) -> Column:
+            name, least = cls
+
+            def found(chars: Column) -> Column:
+                return _let(
+                    _first_and_last(chars, least, quiet, window),
+                    lambda w: F.when(
+                        w["first"].isNotNull(),
+                        F.struct(
+                            F.lit(name).alias("kind"),
+                            (c["start"] + w["first"]).cast("bigint").alias("start"),
+                            (c["start"] + w["last"] + window).cast("bigint").alias("end"),
+                        ),
+                    ),
+                )
+
+            return _let(F.split(run, ""), found)
+
+        is_hex = c["match"].rlike(HEX_RUN)
+        return F.when(is_hex, span(HEX_CLASS, F.lower(c["match"]))).otherwise(span(BASE64_CLASS, c["match"]))
+
+    allowed = F.filter(candidates, lambda c: ~c["match"].rlike(UUID_RUN) & c["match"].rlike("[A-Za-z]"))
     spans = F.filter(F.transform(allowed, judged), lambda s: s.isNotNull())
     return F.filter(
         spans,
