@@ -1,6 +1,7 @@
 """Language-model scores from a weighted backoff automaton over words.
 
-The model is a smoothed bigram model of all training documents.  Its automaton
+The model is a smoothed model of order two (words and pairs of words) of all
+training documents.  Its automaton
 has a state per word (and one for the start of a text).  A state u has an arc
 for every word seen after it, with the probability
 
@@ -12,7 +13,8 @@ seen takes the last share.  A text is read once from left to right: the state is
 the word before, a missing arc costs the failure weight, and the logarithms add
 up.  The probabilities of each state sum to one.
 
-No table of the whole model exists anywhere.  Documents are dealt into chunks;
+No table of the whole model exists anywhere.  Documents are dealt into chunks by
+a hash of id and text;
 each chunk's distinct words and word pairs (as hashes, with their counts in
 training texts) go to groups by hash, where they are added up over the
 corpus; a group answers a chunk with the sums that differ from what the chunk
@@ -58,21 +60,30 @@ def _code(bucket, low: np.ndarray) -> np.ndarray:
 
 
 def _pack(low: np.ndarray, counts: np.ndarray) -> bytes:
-    """Words first, then pairs: two lengths, six bytes per hash, four per count."""
+    """Words first, then pairs: two lengths and the width of a count, six bytes per hash, then
+    the counts, in four bytes each or, where one needs it, in eight."""
     words = int((low < _IS_PAIR).sum())
-    head = np.array([words, len(low) - words], "<u4").tobytes()
+    width = 8 if len(counts) and int(counts.max()) >= 1 << 32 else 4
+    head = np.array([words, len(low) - words, width], "<u4").tobytes()
     six = low.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-    return head + six + counts.astype("<u4").tobytes()
+    return head + six + counts.astype(f"<u{width}").tobytes()
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    words, pairs = np.frombuffer(blob, "<u4", 2).tolist()
+    words, pairs, width = np.frombuffer(blob, "<u4", 3).tolist()
     n = words + pairs
     low = np.zeros((n, 8), np.uint8)
-    low[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 8).reshape(n, 6)
+    low[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 12).reshape(n, 6)
     low = low.reshape(-1).view("<i8").copy()
     low[words:] += _IS_PAIR
-    return low, np.frombuffer(blob, "<u4", n, 8 + 6 * n).astype(np.int64)
+    return low, np.frombuffer(blob, f"<u{width}", n, 12 + 6 * n).astype(np.int64)
+
+
+def _add(at: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``counts`` by place, in whole numbers at any size."""
+    out = np.zeros(n, np.int64)
+    np.add.at(out, at, counts)
+    return out
 
 
 class _Tokens:
@@ -103,6 +114,7 @@ class _Tokens:
         out = []
         for h, w in ((words, np.concatenate([weight, train.astype(np.int64)])), (self.pair, weight)):
             keys, back = np.unique(h, return_inverse=True)
+            # At most as many as the slice has tokens, which a double holds exactly.
             out.append((keys, np.bincount(back, w, len(keys)).astype(np.int64)))
         return out
 
@@ -141,8 +153,12 @@ def _gather(buckets: int):
 _ANSWERS = "bucket long, chunk long, blob binary, tokens long, distinct long"
 
 
-def _answer(buckets: int):
-    """Sums over the corpus of a group's hashes; to each chunk, those it does not know itself."""
+def _answer(buckets: int, large: np.ndarray):
+    """Sums over the corpus of a group's hashes; to each chunk, those it does not know itself.
+
+    A ``large`` chunk is scored in several parts, which know less than the chunk: it
+    gets all sums.
+    """
     start = np.array([_START], np.uint64)
     start_group, start_low = int(_group_of(start, buckets)[0]), int(start[0] & _LOW)
 
@@ -153,7 +169,7 @@ def _answer(buckets: int):
         owner = np.repeat(chunks, [len(p[0]) for p in parts])
         own = np.concatenate([p[1] for p in parts])
         keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        total = np.bincount(back, own, len(keys)).astype(np.int64)
+        total = _add(back, own, len(keys))
         word = keys < _IS_PAIR
         if group == start_group:
             word &= keys != start_low
@@ -164,7 +180,7 @@ def _answer(buckets: int):
         head[1:] = (owner[1:] != owner[:-1]) | (back[1:] != back[:-1])
         own = np.add.reduceat(own, np.flatnonzero(head))
         owner, back = owner[head], back[head]
-        news = own != total[back]
+        news = (own != total[back]) | np.isin(owner, large)
         owner, back = owner[news], back[news]
         names, first = np.unique(owner, return_index=True)
         cuts = np.append(first, len(owner))
@@ -202,11 +218,20 @@ class BackoffAutomaton:
         return np.log10(prob), np.log10(plain), seen
 
 
+_SCORED = pa.schema(
+    [("id", pa.int64()), ("train", pa.bool_())]
+    + [(c, pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")]
+    + [(c, pa.float64()) for c in ("base_score", "score")]
+)
+
+
 def _score(n: int, v: int, kappa: float, buckets: int):
     def codes(h: np.ndarray, flag: int = 0) -> np.ndarray:
         return _code(_group_of(h, buckets), (h & _LOW).astype(np.int64) + flag)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows:  # a part of a large chunk that no row was dealt to
+            return _SCORED.empty_table()
         batches = [
             b
             for whole in texts.combine_chunks().to_batches()
@@ -221,11 +246,14 @@ def _score(n: int, v: int, kappa: float, buckets: int):
                 own_counts.append(counts)
             tokens.append(t)
         keys, back = np.unique(np.concatenate(own_keys), return_inverse=True)
-        counts = np.bincount(back, np.concatenate(own_counts), len(keys)).astype(np.int64)
-        # Answers replace the chunk's own counts.
+        counts = _add(back, np.concatenate(own_counts), len(keys))
+        # Answers replace the chunk's own counts; a part of a chunk does not hold all its hashes.
         for group, blob in zip(answers["bucket"].to_pylist(), answers["blob"].to_pylist()):
             low, total = _unpack(blob)
-            counts[np.searchsorted(keys, _code(group, low))] = total
+            code = _code(group, low)
+            at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+            mine = keys[at] == code
+            counts[at[mine]] = total[mine]
         automaton = BackoffAutomaton(keys, counts, n, v, kappa)
         out = []
         for batch, t in zip(batches, tokens):
@@ -256,14 +284,16 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     kappa: float = 200.0,
-    chunk_ids: int = 2048,
+    chunk_bytes: int = 7 << 20,
     entries: int = 1_000_000,
 ) -> DataFrame:
     """One row per document row: the id, ``train`` (whether it trained the model),
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
-    ``chunk_ids`` neighbouring ids make a chunk; ``entries`` is the size aimed at
-    for a group of hashes.
+    Chunks of about ``chunk_bytes`` text bytes are dealt by a hash of id and text.
+    One that holds far more (rows repeated very often, or a very long text) is
+    scored in parts of that size.  ``entries`` is the size aimed at for a group of
+    hashes.
     """
     spark = documents.sparkSession
     ship_package(spark)
@@ -271,14 +301,23 @@ def score_documents(
         F.col(id_col).cast("bigint").alias("id"),
         F.coalesce(train, F.lit(False)).alias("train"),
         F.col(text_col).alias("text"),
-        F.coalesce(F.floor(F.col(id_col) / chunk_ids), F.lit(-2)).cast("bigint").alias("chunk"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bytes_of = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1
+    size = docs.agg(F.coalesce(F.sum(bytes_of), F.lit(0))).first()[0]
     buckets = max(8, -(-int(size) // (8 * entries)))
+    chunks = max(1, -(-int(size) // chunk_bytes))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    # Chunks of more than thrice their size: at most a third as many as there are chunks, and
+    # in practice one for each text that is repeated so often, or so long.
+    sizes = docs.groupBy("chunk").agg(F.sum(bytes_of).alias("bytes")).where(F.col("bytes") > 3 * chunk_bytes)
+    parts = {r.chunk: -(-int(r["bytes"]) // chunk_bytes) for r in sizes.collect()}
+    large = np.array(sorted(parts), np.int64)
     answers = cut_lineage(
-        docs.mapInArrow(_gather(buckets), "bucket long, chunk long, blob binary")
+        docs.drop("row")
+        .mapInArrow(_gather(buckets), "bucket long, chunk long, blob binary")
         .groupBy("bucket")
-        .applyInArrow(_answer(buckets), _ANSWERS),
+        .applyInArrow(_answer(buckets, large), _ANSWERS),
         "answers",
     )
     total = answers.where("chunk = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
@@ -287,9 +326,18 @@ def score_documents(
         "base_score double, score double"
     )
     told = answers.where("chunk <> -1").select("chunk", "bucket", "blob")
+    zero = F.lit(0).cast("bigint")
+    part, copies = zero, F.array(zero)
+    if parts:
+        known = F.create_map(*[F.lit(v) for pair in parts.items() for v in pair])
+        n = F.coalesce(F.element_at(known, F.col("chunk")), F.lit(1)).cast("bigint")
+        # Any part will do for a row: all parts get the same sums.
+        part, copies = F.pmod(F.xxhash64("row"), n), F.sequence(zero, n - 1)
+    docs = docs.withColumn("part", part).drop("row")
+    told = told.withColumn("part", F.explode(copies))
     return (
-        docs.groupBy("chunk")
-        .cogroup(told.groupBy("chunk"))
+        docs.groupBy("chunk", "part")
+        .cogroup(told.groupBy("chunk", "part"))
         .applyInArrow(_score(int(total[0] or 0), int(total[1] or 0), kappa, buckets), schema)
         .withColumnRenamed("id", id_col)
     )
