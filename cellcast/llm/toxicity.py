@@ -39,6 +39,8 @@ BEGINNINGS = (4, 5, 6)
 ENDING = 4
 FEATURE_BITS = 18
 _WINDOW = 48
+#: Training windows at marked tokens that one document gives at most.
+MARKED_WINDOWS = 4
 _STRETCH = 64
 _SLICE = 1 << 20
 
@@ -240,8 +242,23 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
+def _marked_windows(marked: np.ndarray, hashes: np.ndarray, start: int) -> list[int]:
+    out, end = [], -1
+    for m in marked.tolist():
+        if m >= end:
+            out.append(max(start, m - _WINDOW // 2))
+            end = out[-1] + _WINDOW
+    key = lambda s: (int(W.mix(hashes[s : s + _WINDOW].sum(dtype=np.uint64, keepdims=True))[0]), s)
+    return sorted(out, key=key)[:MARKED_WINDOWS]
+
+
 def _windows(lexicon):
-    """Training windows: around marked tokens of toxic documents, and one by hash of each document."""
+    """Training windows: at marked tokens of toxic documents, and one by hash of each document.
+
+    Windows at marked tokens do not overlap and together hold all of them; of a
+    document with more than ``MARKED_WINDOWS`` those whose words hash lowest are
+    taken, wherever they stand.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = lexicon.value
@@ -260,7 +277,7 @@ def _windows(lexicon):
                         continue
                     starts = {a + int(f[a, 0] % np.uint64(b - a))}
                     marked = a + np.flatnonzero(label[a:b])
-                    starts |= {max(a, int(m) - _WINDOW // 2) for m in marked[:2]}
+                    starts.update(_marked_windows(marked, f[:, 0], a))
                     for s in sorted(starts):
                         e = min(b, s + _WINDOW)
                         out.append((_slot(f[s:e]).astype(np.int32).tobytes(), label[s:e].tobytes()))
@@ -343,12 +360,10 @@ def learn_field(
         .groupBy("feature")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     )
-    # A feature of a thousandth of the toxic documents at least: few by construction.
-    least = max(min_docs, sizes[True] // 1000)
     bad, good = F.col("bad") / sizes[True], F.col("good") / sizes[False]
-    marks = counts.where((F.col("bad") >= least) & (bad >= min_share * (bad + good))).select("feature")
-    field.lexicon = np.sort(np.array([r.feature for r in marks.collect()], np.int64).view(np.uint64))
-    keep = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("toxicity")), F.lit(1_000_003))
+    marks = counts.where((F.col("bad") >= min_docs) & (bad >= min_share * (bad + good))).select("feature")
+    # The text is hashed too: rows that share an id, or have none, are thinned one by one.
+    keep = F.pmod(F.xxhash64(F.col("id").cast("string"), "text", F.lit("toxicity")), F.lit(1_000_003))
     rate = {k: int(1_000_003 * min(1.0, max_rows / v)) for k, v in sizes.items()}
     # The larger rate alone needs no label, so it thins the documents before they meet their labels.
     sample = cut_lineage(
@@ -357,6 +372,10 @@ def learn_field(
         ),
         "sample",
     )
+    # Marks serve to label the sample, so only those that occur there are needed, at any corpus size.
+    here = sample.where("toxic").mapInArrow(_count_features, "feature long, bad long, good long").select("feature").distinct()
+    found = marks.join(here, "feature", "left_semi").collect()
+    field.lexicon = np.sort(np.array([r.feature for r in found], np.int64).view(np.uint64))
     windows = sample.mapInArrow(
         _windows(spark.sparkContext.broadcast(field.lexicon)), "slots binary, labels binary"
     ).collect()
