@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.llm import words as W
-from cellcast.session import ship_package
+from cellcast.session import cut_lineage, ship_package
 
 GRAM = 4
 HASHES = 3
@@ -133,11 +133,13 @@ def learn_filters(
                         }
                     )
 
-    counts = (
+    # Written once: totals, rates and the choice all read it.
+    counts = cut_lineage(
         rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
         .mapInArrow(tally, "lang string, gram long, n long")
         .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "grams",
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rated = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
