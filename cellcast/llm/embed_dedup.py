@@ -224,10 +224,12 @@ def near_vectors(
     part: int = 512,
     seed: int = 20,
     miss: float = 1e-3,
+    idle_rounds: int = 3,
 ) -> DataFrame:
     """One row per vector row: the id, ``n_links``, ``component_id`` and ``kept``.
 
     ``passes`` and ``block`` set the size of a round, ``miss`` when a vector needs no further one.
+    ``idle_rounds`` rounds in a row that join nothing end the search for the rest.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -242,7 +244,7 @@ def near_vectors(
         good.groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vectors"
     )
     agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    active, turn = classes.select("id", "vec", F.lit(0.0).alias("missed")), 0
+    active, turn, idle = classes.select("id", "vec", F.lit(0.0).alias("missed")), 0, 0
     roots = None
     while True:
         found = _one_round(active, threshold, passes, block, seed, turn)
@@ -251,9 +253,11 @@ def near_vectors(
             roots = components(links)
         else:
             fresh = cut_lineage(_between(links, roots), "fresh")
-            if fresh.isEmpty():
+            idle = idle + 1 if fresh.isEmpty() else 0
+            if idle == idle_rounds:
                 break
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(fresh))
+            if not idle:
+                roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(fresh))
         # Beyond the reach of both sides all rows that share one bit more are met.
         bits = found.where("b is null").groupBy("a", "pass").agg((F.max("bits") + 1).alias("bits"))
         met = F.when(F.col("bits") <= 64, F.pow(F.lit(agree), F.col("bits"))).otherwise(0.0)
