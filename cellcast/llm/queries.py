@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellcast.llm import (
+    bitmap,
     decontam,
     embed_dedup,
     language_id,
@@ -75,9 +76,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labels = _table(spark, sf_dir, "labels").where(~held_out(3, 1)).where("doc_id is not null and toxic is not null")
+    # One label for each id, toxic if any row of it says so; texts without a label stay where they are.
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = bitmap.key_bitmap(labels.select(F.xxhash64("doc_id").alias("key")), "key")
+    texts = docs.where(~held_out(3, 1)).select("doc_id", "text", F.xxhash64("doc_id").alias("key"))
+    texts = bitmap.filter_rows(texts, "key", known).drop("key")
     # Labels grow with the documents: one join form at every size, never a broadcast.
-    train = docs.where(~held_out(3, 1)).join(labels.where(~held_out(3, 1)).hint("merge"), "doc_id")
+    train = texts.join(labels.hint("merge"), "doc_id")
     field = toxicity.learn_field(train.select("doc_id", "text", "toxic"))
     scored = toxicity.score_toxicity(docs, field)
     return scored.select(
@@ -199,20 +205,23 @@ base AS (
   WHERE kind <> 'assign' OR length(regexp_replace(match,
     '(?i)^(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?', '')) >= 6),
 candidate AS (
-  SELECT doc_id, s, match, regexp_full_match(match, '[0-9a-f]+') AS is_hex FROM (
-    {_spans_sql("candidate", _CLASS + "{20,}", 3)})
+  SELECT doc_id, s, match, is_hex, CASE WHEN is_hex THEN lower(match) ELSE match END AS run FROM (
+    SELECT *, regexp_matches(match, '{secret_scan.HEX_RUN}') AS is_hex FROM (
+      {_spans_sql("candidate", _CLASS + "{20,}", 3)}))
   WHERE regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Za-z]')
-    AND NOT regexp_matches(match, '{secret_scan.ALLOW}')),
+    AND NOT regexp_matches(match, '{secret_scan.UUID_RUN}')),
 entropy AS (
   SELECT doc_id, s, is_hex, i, log2({secret_scan.WINDOW}) - list_sum(list_transform(
-    map_values(list_histogram(string_split(match[i:i + {secret_scan.WINDOW} - 1], ''))),
+    map_values(list_histogram(string_split(run[i:i + {secret_scan.WINDOW} - 1], ''))),
     lambda c: c * log2(c))) / {secret_scan.WINDOW} AS h
-  FROM candidate, unnest(range(1, length(match) - {secret_scan.WINDOW} + 2)) AS r(i)),
+  FROM candidate, unnest(range(1, length(match) - {secret_scan.WINDOW} + 2)) AS r(i)
+  WHERE NOT regexp_matches(match[greatest(1, i - {secret_scan.WINDOW}):i + 2 * {secret_scan.WINDOW} - 1],
+    '{secret_scan.ALLOW}')),
 added AS (
   SELECT doc_id, CASE WHEN is_hex THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind, 3 AS rank,
     s + min(i) - 1 AS s, s + max(i) - 1 + {secret_scan.WINDOW} AS e
   FROM entropy
-  WHERE h >= CASE WHEN is_hex THEN {secret_scan.HEX_CLASS[2]} ELSE {secret_scan.BASE64_CLASS[2]} END - 1e-9
+  WHERE h >= CASE WHEN is_hex THEN {secret_scan.HEX_CLASS[1]} ELSE {secret_scan.BASE64_CLASS[1]} END - 1e-9
   GROUP BY doc_id, s, is_hex),
 span AS (
   SELECT *, true AS is_base FROM base UNION ALL
