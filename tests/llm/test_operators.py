@@ -119,6 +119,34 @@ def test_decontamination_null_item_ids(spark):
     assert hits[1] >= 25 and hits[3] == 2 and hits[4] == 0
 
 
+def test_decontamination_filter(spark, odd_docs, no_docs):
+    items = [(1, prose(1, 25)), (None, "Short ITEM"), (3, None), (4, ""), (1, prose(1, 25)), (6, prose(4, 12))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = odd_docs.unionByName(
+        spark.createDataFrame([(50, "a short item, here")], "doc_id long, text string"), allowMissingColumns=True
+    )
+    hits = [r[2] for r in brute_contamination([(i, r.text) for i, r in enumerate(docs.collect())], [("" if i is None else i, t) for i, t in items])]
+    for size in (8 << 20, 30):
+        left = decontam.keep_clean(docs, bench, shard_bytes=size)
+        assert left.columns == docs.columns and left.count() == sum(h == 0 for h in hits)
+        assert decontam.keep_clean(no_docs, bench, shard_bytes=size).count() == 0
+    assert decontam.keep_clean(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_patterns_take_little_memory_and_skip():
+    """Patterns are places in one buffer; the shift table grows with them."""
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 200_000, 150_000))
+    patterns = decontam.PatternSet([("1", text)], 10)
+    (scanner, place, first, owners), = patterns.groups
+    assert len(place) > 149_000 and scanner.mask + 1 >= 8 * len(place) / 2
+    held = sum(x.nbytes for x in (patterns.buf, patterns.starts, patterns.ends, place, first, owners, scanner.shift, scanner.full, scanner.suffix))
+    assert held < 80 * 150_000
+    other = rng.integers(0, 1 << 63, 50_000).astype(np.uint64)
+    blocks = decontam.W.combine(other[:-1], other[1:]) & np.uint64(scanner.mask)
+    assert scanner.shift[blocks].mean() > 4
+
+
 # ---- 2
 
 
@@ -313,6 +341,29 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert {r.score for r in toxicity.score_toxicity(odd_docs, blank).collect()} == {0.0}
 
 
+def test_toxicity_windows_hold_late_marks():
+    from cellcast.llm.toxicity import MARKED_WINDOWS, _marked_windows
+
+    hashes = np.arange(10_000, dtype=np.uint64)
+    assert _marked_windows(np.array([9_000]), hashes, 0) == [9_000 - 24]
+    close = _marked_windows(np.array([50, 51, 60, 90]), hashes, 0)
+    assert sorted(close) == [26, 90 - 24]
+    many = _marked_windows(np.arange(0, 10_000, 100), hashes, 0)
+    assert len(many) == MARKED_WINDOWS and max(many) > 2_000  # by hash, not the first ones
+
+
+def test_toxicity_learns_a_word_of_few_of_many_toxic_rows(spark):
+    """A toxic word in 5 of 6,000 toxic rows is marked as it is on a small table."""
+    toxic = spark.range(6_000).selectExpr("id as doc_id", "concat('scum and filler', id % 50) as text", "1 as toxic")
+    rare = spark.range(6_000, 6_005).selectExpr("id as doc_id", "concat('you vermin of filler', id % 50) as text", "1 as toxic")
+    clean = spark.range(10_000, 16_000).selectExpr("id as doc_id", "concat('you and filler', id % 50, ' of') as text", "0 as toxic")
+    labelled = toxic.unionAll(rare).unionAll(clean)
+    field = toxicity.learn_field(labelled, max_rows=20_000)
+    words = toxicity.W.batch_words(toxicity.pa.record_batch({"t": toxicity.pa.array(["vermin filler3"])}), "t", toxicity.W.ALNUM)
+    marked = np.isin(toxicity.token_features(words)[:, :-1], field.lexicon).any(axis=1)
+    assert marked.tolist() == [True, False]
+
+
 def test_toxicity_held_out(spark):
     sf = SF.replace("0.001", "0.01")  # the smallest table has a handful of toxic labels
     got = queries.op5_toxicity(spark, sf).toPandas().merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
@@ -382,7 +433,7 @@ def test_lm_scores(spark, odd_docs, no_docs):
 
     data = odd_docs.where("length(text) < 1000 or text is null")
     train = F.col("doc_id") % 3 != 0
-    got = lm_score.score_documents(data, train, chunk_ids=3, entries=5).collect()
+    got = lm_score.score_documents(data, train, chunk_bytes=300, entries=5).collect()
     docs = [(r.doc_id, (r.text or "").encode().lower().split() + [0]) for r in data.collect()]
     c, pair, state = Counter(), Counter(), Counter()
     for doc, t in docs:
@@ -410,6 +461,29 @@ def test_lm_scores(spark, odd_docs, no_docs):
     assert lm_score.score_documents(no_docs, train).count() == 0
 
 
+def test_lm_counts_beyond_32_bits():
+    low = np.array([3, 9, 5 + (1 << 48)], np.int64)
+    for counts in ([1, 2, 3], [2**32 + 7, 2**40, 1]):
+        got = lm_score._unpack(lm_score._pack(low, np.array(counts)))
+        assert got[0].tolist() == low.tolist() and got[1].tolist() == counts
+    huge = np.array([2**53 + 1, 1, 2**53 + 1])
+    assert lm_score._add(np.array([0, 1, 0]), huge, 2).tolist() == [2**54 + 2, 1]
+
+
+def test_lm_scores_repeated_rows(spark):
+    """Half of all rows are one row: its chunk is scored in parts, with the same sums."""
+    data = [(7, "the same text again and again")] * 300 + [(i, prose(i, 12)) for i in range(100, 400)] + [(None, "x y")] * 50
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    train = F.col("doc_id") % 2 == 1
+    small = lm_score.score_documents(docs, train, chunk_bytes=500, entries=200)
+    large = lm_score.score_documents(docs, train, chunk_bytes=1 << 30)
+
+    def table(df):
+        return Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8), round(r.score, 8)) for r in df.collect())
+
+    assert table(small) == table(large) and sum(table(small).values()) == 650
+
+
 # ---- 8
 
 
@@ -424,13 +498,15 @@ def brute_secrets(text):
     added = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
         s = m[0]
-        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or re.search(secret_scan.ALLOW, s):
+        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or re.search(secret_scan.UUID_RUN, s):
             continue
-        name, _, least = secret_scan.HEX_CLASS if re.fullmatch("[0-9a-f]+", s) else secret_scan.BASE64_CLASS
+        is_hex = re.fullmatch("[0-9a-fA-F]+", s)
+        name, least = secret_scan.HEX_CLASS if is_hex else secret_scan.BASE64_CLASS
         hits = []
         for i in range(len(s) - 19):
-            h = -sum(k / 20 * math.log2(k / 20) for k in Counter(s[i : i + 20]).values())
-            if h >= least - 1e-9:
+            window = (s.lower() if is_hex else s)[i : i + 20]
+            h = -sum(k / 20 * math.log2(k / 20) for k in Counter(window).values())
+            if h >= least - 1e-9 and not re.search(secret_scan.ALLOW, s[max(0, i - 20) : i + 40]):
                 hits.append(i)
         if hits:
             a, b = m.start() + hits[0], m.start() + hits[-1] + 20
@@ -452,6 +528,9 @@ def test_secret_scan(spark, odd_docs, no_docs):
         "日本 x9Zk2LmQ8vT4wR7yB1nC6dF3gH5jS0aP tail 0123456789abcdef0123456789abcdef",
         "tok aaaaaaaaaaaaaaaaaaaaaaaaaaaa1 3f9a1c7e5b2d8f60 4e8c1a9b7d3f5e2c6a0b8d4f 550e8400-e29b-41d4-a716-446655440000",
         "password=" + "Q7w9E2r4T6y8U1i3O5p0" * 3,
+        "9F3A1C7E5B2D8F604E8C1A9B7D3F5E2C6A0B8D4F and AbCdEf0123987654aBcDeF0918273645",
+        "/home/your/path/kR8vQ2mZ7xT4wL9bN6cJ1dF5gH3sA0pYeU8iO2q and kR8vQ2mZ7xT4wL9bN6cJ1EXAMPLEdF5gH3sA0pYeU8iO2q",
+        " ".join(f"token=abcdef{i}" for i in range(150)),
         "",
         None,
     ]
@@ -464,6 +543,24 @@ def test_secret_scan(spark, odd_docs, no_docs):
     assert secret_scan.scan_secrets(no_docs).count() == 0
 
 
+def test_secret_scan_long_run(spark):
+    """A run of half a million characters is read in one pass; a key in it is found exactly."""
+    import time
+
+    rng = np.random.default_rng(4)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    key = "".join(rng.choice(alphabet, 30))
+    run = "a1" * 250_000 + key + "b2" * 10_000
+    df = spark.createDataFrame([(1, "x " + run + " y"), (2, "data:" + "".join(rng.choice(alphabet, 300_000)))], "doc_id long, text string")
+    started = time.time()
+    got = dict(rows(secret_scan.digest(secret_scan.scan_secrets(df)).select("doc_id", "spans")))
+    assert time.time() - started < 150
+    (kind, start, end), (kind2, start2, end2) = (got[i].split(":") for i in (1, 2))
+    assert kind == kind2 == "entropy_base64"
+    assert 2 + 500_000 - 20 < int(start) <= 2 + 500_000 and 2 + 500_030 <= int(end) < 2 + 500_030 + 20
+    assert int(start2) == 5 and int(end2) == 300_005
+
+
 # ---- 9
 
 
@@ -501,6 +598,20 @@ def test_ngram_join(spark, odd_docs, no_docs):
     assert ngram_join.near_duplicates(no_docs).count() == 0
 
 
+def test_ngram_join_hot_id(spark):
+    """Many rows under one id, equal and different ones: one text for each class is fetched."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, 40)) for _ in range(40)]
+    data = [(5, t) for t in texts] + [(5, t + " end") for t in texts] + [(5, texts[0])] * 30
+    data += [(100 + i, " ".join(["more", t])) for i, t in enumerate(texts)] + [(None, texts[1])]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted(rows(ngram_join.near_duplicates(docs)), key=str) == brute_near(data)
+    base = docs.selectExpr("doc_id as id", "text", "xxhash64(text) as mark")
+    wanted = base.where("id = 5").groupBy("mark").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    wanted = wanted.select(F.col("mark").alias("sig"), "rep", F.col("mark").alias("rep_mark"), "rows")
+    assert ngram_join._class_texts(wanted, base).count() == 80
+
+
 def test_ngram_join_groups_of_copies(spark):
     rng = np.random.default_rng(6)
     data = []
@@ -536,6 +647,51 @@ def test_near_duplicate_stage_decides_by_row(spark):
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
 
 
+# ---- pipeline
+
+
+def write_tables(df, bench, path):
+    df.write.parquet(f"{path}/documents.parquet")
+    bench.write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def pipeline_docs(spark, odd_docs):
+    plain = odd_docs.withColumn("source", F.col("row")).select("doc_id", "text", "lang", "source", F.length("text").cast("bigint").alias("n_chars"))
+    more = [(100 + i, prose(i, 30 + i), "en", "s", 1) for i in range(30)] + [(200, prose(11, 300), None, "s", 1)]
+    return plain.unionByName(spark.createDataFrame(more, plain.schema))
+
+
+def test_pipeline_stages_and_run(spark, odd_docs, tmp_path):
+    docs = pipeline_docs(spark, odd_docs)
+    bench = spark.createDataFrame([(1, prose(5, 40)), (2, None), (None, "")], "item_id long, text string")
+    sf = write_tables(docs, bench, tmp_path)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    step = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, step, sf)
+        assert after.columns == docs.columns, name
+        kept = Counter(r.doc_id for r in after.select("doc_id").collect())
+        assert not kept - Counter(r.doc_id for r in step.select("doc_id").collect()), name
+        gone = {r.doc_id for r in step.collect()} - set(kept)
+        if name == "language_id":
+            assert gone == {3, 4, 5, 6}  # null, empty, blank and without a letter
+        if name == "decontaminate":
+            brute = brute_contamination([(r.doc_id, r.text) for r in step.collect()], [(1, prose(5, 40))])
+            assert gone == {r[0] for r in brute if r[5]} and gone
+        step = after
+    left = Counter(r.doc_id for r in step.collect())
+    assert left[1] + left[2] == 1 and left[7] + left[8] == 1  # one of each group of copies
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == left
+
+
+def test_pipeline_on_an_empty_table(spark, odd_docs, tmp_path):
+    docs = pipeline_docs(spark, odd_docs).limit(0)
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert corpus_pipeline.run(spark, write_tables(docs, bench, tmp_path)).count() == 0
+
+
 # ---- 10
 
 
