@@ -53,6 +53,29 @@ WEATHER_API_RENAMES = {
     "wind_direction_10m_dominant": "wind_direction_dominant",
 }
 
+# Columns that a training table has to hold.
+TRAINING_REQUIRED = [
+    "date",
+    "grid_id",
+    "centroid_lat",
+    "centroid_lon",
+    "temperature_max",
+    "temperature_min",
+    "humidity_mean",
+    "humidity_min",
+    "precipitation_total",
+    "rain_7d",
+    "rain_30d",
+    "wind_speed_max",
+    "fire_today",
+    "fire_next_day",
+]
+# Columns that tell one satellite detection from another.
+DETECTION_KEY = ["latitude", "longitude", "acq_date", "acq_time", "satellite", "instrument"]
+# Name and weight of the positive class that candidate models try; the second is
+# the square root of the training rows' imbalance.
+WEIGHT_CANDIDATES = [("unweighted", 1.0), ("sqrt_imbalance", None), ("moderate_weight", 40.0)]
+
 # --- fixed values: publishing ------------------------------------------------
 RISK_TIERS = [(99.0, "Extreme"), (95.0, "High"), (90.0, "Medium")]
 RISK_TIER_DEFAULT = "Low"
@@ -103,6 +126,9 @@ BACKTEST_FOLDS = [
 # Fixed single split: validation start, test start.
 SINGLE_SPLIT = ("2024-08-01", "2024-09-16")
 
+# Replacement values of the leakage audit.
+PERTURBED_WEATHER = {"precipitation_total": 999999.0, "temperature_max": 999999.0, "humidity_min": -999999.0}
+
 # Fire season used for prior-year summaries: May 1 to Oct 30 inclusive.
 SEASON_START = (5, 1)
 SEASON_END = (10, 30)

@@ -25,8 +25,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellcast.fixed_values import CATEGORICAL_MISSING_TOKEN
+from cellcast.fixed_values import CATEGORICAL_MISSING_TOKEN, MINIMUM_RECALL, WEIGHT_CANDIDATES
 from cellcast.functions.categories import category_string
+from cellcast.operators.encoders import CategoryText, ModeImputer, OrdinalEncoder
+from cellcast.operators.numbering import number_rows
+from cellcast.session import cut_lineage
 
 
 # --------------------------------------------------------------------------- #
@@ -68,21 +71,19 @@ def with_balanced_weights(df: DataFrame, label_col: str, weight_col: str = "weig
 def category_levels(train: DataFrame, columns: Sequence[str], as_type: dict[str, str] | None = None) -> DataFrame:
     """Sorted string levels per column, learned from training rows only.
 
-    Output (feature, level, level_index); a column with no levels raises.
+    Output (feature, level, level_index); a column with no levels raises.  One
+    scan reads all columns; levels are numbered by a range sort, so a vocabulary
+    of any size is spread over the cluster.
     """
     as_type = as_type or {}
-    parts = [
-        train.select(F.lit(c).alias("feature"), category_string(F.col(c), as_type.get(c)).alias("level"))
-        for c in columns
-    ]
-    levels = parts[0]
-    for p in parts[1:]:
-        levels = levels.unionByName(p)
-    levels = levels.distinct()
-    ordered = levels.withColumn(
-        "level_index", (F.row_number().over(Window.partitionBy("feature").orderBy("level")) - 1).cast("int")
+    entry = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("feature"), category_string(F.col(c), as_type.get(c)).alias("level")) for c in columns])
     )
-    return ordered
+    levels = train.select(entry.alias("e")).select("e.feature", "e.level").distinct()
+    numbered = number_rows(levels, ["feature"], ["level"], "level_index")
+    numbered = numbered.withColumn("level_index", F.col("level_index").cast("int"))
+    require_levels(numbered, columns)
+    return numbered
 
 
 def require_levels(levels: DataFrame, columns: Sequence[str]) -> None:
@@ -112,6 +113,14 @@ def apply_levels(
     return out
 
 
+def ordinal_codes(df: DataFrame, levels: DataFrame, columns: Sequence[str], as_type: dict[str, str] | None = None) -> DataFrame:
+    """M4 for a level table of any size: ``<column>_code`` is the place in the table, -1 if unseen."""
+    out = apply_levels(df.select("*", *[F.col(c).alias(f"_own_{c}") for c in columns]), levels, columns, as_type)
+    codes = {f"{c}_code": F.coalesce(F.col(f"{c}_index"), F.lit(-1)) for c in columns}
+    kept = {c: F.col(f"_own_{c}") for c in columns}
+    return out.withColumns(codes | kept).drop(*[f"_own_{c}" for c in columns], *[f"{c}_index" for c in columns])
+
+
 # --------------------------------------------------------------------------- #
 # Legacy-schema tolerance
 # --------------------------------------------------------------------------- #
@@ -129,38 +138,40 @@ def available_features(df: DataFrame, wanted: Sequence[str], optional: Sequence[
 # --------------------------------------------------------------------------- #
 # M1-M5: preprocessing and classifiers
 # --------------------------------------------------------------------------- #
-def preprocessing_stages(numeric: Sequence[str], categorical: Sequence[str], scale: bool = True, one_hot: bool = True):
-    """M1: median impute + scale numerics; most-frequent impute + one-hot categories.
+def preprocessing_stages(
+    numeric: Sequence[str], categorical: Sequence[str], scale: bool = True, one_hot: bool = True, missing: str = ""
+):
+    """M1 and M4: median impute (+ scale) for numbers; categories most-frequent impute,
+    then one-hot (unseen levels are all zero) or ordinal codes in level order (unseen: -1).
 
-    Categories are strings (missing token for nulls); unseen levels at scoring
-    time fall into the extra "keep" bucket, i.e. are ignored by the encoder.
+    With a ``missing`` token nulls are a category of their own instead (M5).
     """
     stages = []
     imputed = [f"{c}__imp" for c in numeric]
     if numeric:
         stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=imputed))
-    indexed = [f"{c}__idx" for c in categorical]
-    for c, out in zip(categorical, indexed):
-        stages.append(StringIndexer(inputCol=f"{c}__str", outputCol=out, handleInvalid="keep", stringOrderType="frequencyDesc"))
-    cat_vec = indexed
-    if one_hot and categorical:
-        cat_vec = [f"{c}__oh" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=cat_vec, handleInvalid="keep", dropLast=True))
+    encoded: list[str] = []
+    if categorical:
+        text, filled = [f"{c}__str" for c in categorical], [f"{c}__cat" for c in categorical]
+        encoded = [f"{c}__code" for c in categorical]
+        stages.append(CategoryText(inputCols=list(categorical), outputCols=text, missing=missing))
+        stages.append(ModeImputer(inputCols=text, outputCols=filled))
+        if one_hot:
+            indexed = [f"{c}__idx" for c in categorical]
+            stages.append(StringIndexer(inputCols=filled, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
+            stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True))
+        else:
+            stages.append(OrdinalEncoder(inputCols=filled, outputCols=encoded))
     if scale and numeric:
         stages.append(VectorAssembler(inputCols=imputed, outputCol="_num_vec", handleInvalid="keep"))
         stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
-        inputs = ["_num_scaled", *cat_vec]
+        inputs = ["_num_scaled", *encoded]
     else:
-        inputs = [*imputed, *cat_vec]
+        inputs = [*imputed, *encoded]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return stages
 
 
-def prepare_categories(df: DataFrame, categorical: Sequence[str], as_type: dict[str, str] | None = None) -> DataFrame:
-    as_type = as_type or {}
-    return df.select("*", *[category_string(F.col(c), as_type.get(c)).alias(f"{c}__str") for c in categorical])
-
-
 def classifier(kind: str, label_col: str, weight_col: str | None, seed: int = 42, **params):
     """M2 logistic, M3 random forest, M4/M5 gradient-boosted trees."""
     common = {"labelCol": label_col, "featuresCol": "features"}
@@ -200,25 +211,29 @@ def fit_model(
     kind: str = "gbt",
     balanced: bool = True,
     validation: DataFrame | None = None,
+    weight_col: str | None = None,
     **params,
 ) -> PipelineModel:
     """Fit preprocessing + classifier as one PipelineModel.
 
     With ``validation`` and a boosted model, the validation rows are appended
-    with an indicator column for early stopping (M5).
+    with an indicator column for early stopping, and missing categories are a
+    level of their own (M5); all other models impute them (M1-M4).
     """
-    data = prepare_categories(train, categorical)
-    weight_col = None
+    data = train
+    early_stopping = validation is not None and kind == "gbt"
     if balanced:
         data = with_balanced_weights(data, label_col, "_weight")
         weight_col = "_weight"
-    if validation is not None and kind == "gbt":
-        v = prepare_categories(validation, categorical)
+    if early_stopping:
+        v = validation
         if balanced:
             v = with_balanced_weights(v, label_col, "_weight")
         data = data.withColumn("_is_val", F.lit(False)).unionByName(v.withColumn("_is_val", F.lit(True)))
         params["validation_col"] = "_is_val"
-    stages = preprocessing_stages(numeric, categorical, scale=(kind == "logistic"), one_hot=(kind == "logistic"))
+    linear = kind == "logistic"
+    missing = CATEGORICAL_MISSING_TOKEN if early_stopping else ""
+    stages = preprocessing_stages(numeric, categorical, scale=linear, one_hot=linear, missing=missing)
     stages.append(classifier(kind, label_col, weight_col, **params))
     # Every stage and every optimizer iteration scans the training rows: keep
     # them cached for the fit (spills to disk if they do not fit in memory).
@@ -231,7 +246,7 @@ def fit_model(
 
 def score(model: PipelineModel, df: DataFrame, categorical: Sequence[str], output_col: str = "score") -> DataFrame:
     """M6: probability of class 1 from a fitted pipeline."""
-    scored = model.transform(prepare_categories(df, categorical))
+    scored = model.transform(df)
     out = scored.withColumn(output_col, vector_to_array(F.col("probability"))[1])
     drop = [c for c in scored.columns if c not in df.columns and c != output_col]
     return out.drop(*drop)
@@ -279,6 +294,56 @@ def select_candidate(results: DataFrame, keys: Sequence[str], index_col: str = "
     return results.join(best, index_col, "inner")
 
 
+def weight_candidates(train: DataFrame, label_col: str) -> list[tuple[str, float]]:
+    """(name, weight of the positive class) of the candidates; one count of both classes."""
+    n = train.agg(F.count_if(F.col(label_col) == 1).alias("pos"), F.count_if(F.col(label_col) == 0).alias("neg")).first()
+    if not n["pos"]:
+        raise ValueError("No positive row to learn from.")
+    root = math.sqrt(n["neg"] / n["pos"])
+    return [(name, root if weight is None else weight) for name, weight in WEIGHT_CANDIDATES]
+
+
+def search_positive_weight(
+    train: DataFrame,
+    validation: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    label_col: str,
+    kind: str = "gbt",
+    minimum_recall: float = MINIMUM_RECALL,
+    **params,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """A model per weight of the positive class; (best model, its row, all rows).
+
+    Each candidate's threshold is chosen on the validation rows; the best has the
+    highest precision there, then the highest average precision, then comes first.
+    """
+    from cellcast.operators.ranking import binary_metrics, choose_threshold, score_levels
+
+    models, records = {}, []
+    for i, (name, weight) in enumerate(weight_candidates(train, label_col)):
+        weighted = train.withColumn("_weight", F.when(F.col(label_col) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
+        models[i] = fit_model(weighted, numeric, categorical, label_col, kind, balanced=False, weight_col="_weight", **params)
+        scored = cut_lineage(score(models[i], validation, categorical).select(label_col, "score"), "candidate")
+        chosen = choose_threshold(score_levels(scored, label_col, "score"), "score", minimum_recall=minimum_recall).first()
+        row = binary_metrics(scored, label_col, "score", chosen["threshold"])
+        records.append(
+            row.select(
+                F.lit(i).alias("candidate"),
+                F.lit(name).alias("weight_name"),
+                F.lit(float(weight)).alias("positive_weight"),
+                F.lit(float(chosen["threshold"])).alias("threshold"),
+                *row.columns,
+            )
+        )
+    results = records[0]
+    for r in records[1:]:
+        results = results.unionByName(r)
+    results = cut_lineage(results, "candidates")  # a row per candidate
+    best = select_candidate(results, ["precision", "pr_auc"])
+    return models[best.first()["candidate"]], best, results
+
+
 def finite_or_null(x: float | None) -> float | None:
     return x if x is not None and math.isfinite(x) else None
 
@@ -293,14 +358,15 @@ def blended_daily_ranks(
     date_col: str = "date",
     output_col: str = "blended_score",
 ) -> DataFrame:
-    """Score every model on the same (persisted) rows, turn each score into a
+    """Score every model on the same rows, turn each score into a
     within-day average percentile (W8), and blend them (F22)."""
     from cellcast.operators.ranking import average_percentile, blend, score_bounds_many
 
     scored = df
     for name, (model, categorical) in models.items():
         scored = score(model, scored, categorical, f"_score_{name}")
-    scored = scored.persist()
+    # Written once: every rank reads it, and nothing has to be released afterwards.
+    scored = cut_lineage(scored, "scored")
     bounds = score_bounds_many(scored, [f"_score_{n}" for n in models])
     for name in models:
         scored = average_percentile(scored, [date_col], f"_score_{name}", f"rank_{name}", bounds[f"_score_{name}"])

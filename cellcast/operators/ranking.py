@@ -25,11 +25,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellcast.fixed_values import MINIMUM_RECALL, NDCG_CUTOFF, TOP_FRACTIONS
-from cellcast.session import shuffle_partitions
+from cellcast.session import cut_lineage, shuffle_partitions, ship_package
 
 _BUCKET = "_score_bucket"
 
@@ -672,49 +675,163 @@ def weight_grid(n_models: int, units: int) -> list[tuple[float, ...]]:
     return vectors
 
 
+#: Buckets of the blended score, and their ceiling for the table of counts.
+BLEND_BUCKETS = 1 << 14
+
+
+def _blended(batch: pa.RecordBatch, rank_cols: Sequence[str], vectors: np.ndarray) -> np.ndarray:
+    """rows x candidates: the same sums, in the same order, as :func:`blend`."""
+    total = np.zeros((batch.num_rows, len(vectors)))
+    for i, name in enumerate(rank_cols):
+        ranks = pc.fill_null(batch.column(name).cast(pa.float64()), float("nan")).to_numpy(zero_copy_only=False)
+        total = total + vectors[:, i] * ranks[:, None]
+    return total
+
+
+def _blend_bucket(scores: np.ndarray, buckets: int) -> np.ndarray:
+    """Ascending with the score; what lies outside [0, 1) goes to the end buckets."""
+    at = np.nan_to_num(scores * buckets, nan=0.0, posinf=buckets, neginf=0)
+    return np.clip(at, 0, buckets - 1).astype(np.int64)
+
+
+_BLEND_ROWS = 4096
+
+
+def _count_buckets(rank_cols: Sequence[str], vectors: np.ndarray, buckets: int):
+    """Positives and negatives of every (candidate, bucket) in a task's rows."""
+    names = ["candidate", "bucket", "pos", "neg"]
+
+    def run(batches):
+        cells = len(vectors) * buckets
+        pos, neg = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+        offset = np.arange(len(vectors)) * buckets
+        for whole in batches:
+            for start in range(0, whole.num_rows, _BLEND_ROWS):
+                batch = whole.slice(start, _BLEND_ROWS)
+                cell = _blend_bucket(_blended(batch, rank_cols, vectors), buckets) + offset
+                y = batch.column("y").to_numpy(zero_copy_only=False)
+                np.add.at(pos, cell[y == 1].ravel(), 1)
+                np.add.at(neg, cell[y == 0].ravel(), 1)
+        some = np.flatnonzero(pos + neg)
+        columns = [some // buckets, some % buckets, pos[some], neg[some]]
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names)
+
+    return run
+
+
+def _open_rows(rank_cols: Sequence[str], vectors: np.ndarray, wanted: np.ndarray, open_cells: np.ndarray, buckets: int):
+    """(candidate, bucket, score, pos, neg) of the rows in open buckets, equal scores of a batch together."""
+    names = ["candidate", "bucket", "blended_score", "pos", "neg"]
+
+    def run(batches):
+        is_open = np.zeros(len(wanted) * buckets, bool)
+        is_open[open_cells] = True
+        offset = np.arange(len(wanted)) * buckets
+        for whole in batches:
+            for start in range(0, whole.num_rows, _BLEND_ROWS):
+                batch = whole.slice(start, _BLEND_ROWS)
+                scores = _blended(batch, rank_cols, vectors[wanted])
+                bucket = _blend_bucket(scores, buckets)
+                row, candidate = np.nonzero(is_open[bucket + offset])
+                y = batch.column("y").to_numpy(zero_copy_only=False)[row]
+                keys, back = np.unique(
+                    np.rec.fromarrays([candidate, bucket[row, candidate], scores[row, candidate]]), return_inverse=True
+                )
+                pos = np.bincount(back, weights=y, minlength=len(keys)).astype(np.int64)
+                n = np.bincount(back, minlength=len(keys)).astype(np.int64)
+                columns = [wanted[keys.f0], keys.f1, keys.f2, pos, n - pos]
+                yield pa.record_batch(
+                    [pa.array(c, pa.float64() if i == 2 else pa.int64()) for i, c in enumerate(columns)], names
+                )
+
+    return run
+
+
 def blend_weight_search(
     df: DataFrame,
     label_col: str,
     rank_cols: Sequence[str],
     units: int,
-    bounds: Sequence[float] | None = None,
+    only_best: bool = False,
+    buckets: int = BLEND_BUCKETS,
 ) -> DataFrame:
-    """Average precision of every candidate weight vector, one pass over the rows.
+    """Exact average precision of every candidate weight vector, in two reads of the rows.
 
-    Rows are first counted by rank vector and label; each distinct vector is
-    then replicated once per candidate by exploding a literal array (the
-    candidate list is a fixed, small parameter), and AP is computed per
-    candidate with the grouped curve.  Output: candidate index, weights, AP.
+    The first read counts positives and negatives per candidate and score bucket:
+    a table of candidates x buckets, however many rows there are.  Precision at a
+    positive needs an exact order only inside buckets that hold a positive and
+    something else; the second read gives the rows of those alone.  Positives are
+    rare, so almost every row stays where it is.
+
+    With ``only_best`` the counts also bound each candidate's average precision
+    from both sides; candidates whose upper bound is below another's lower bound
+    are left out before the second read.  Output: candidate index, weights, AP.
     """
-    vectors = weight_grid(len(rank_cols), units)
-    y = F.col(label_col).cast("long")
-    counts = df.groupBy(*rank_cols).agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
-    candidates = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("candidate"),
-                    blend(rank_cols, v).alias("blended_score"),
-                )
-                for i, v in enumerate(vectors)
-            ]
-        )
-    ).alias("_c")
-    long_form = counts.select("pos", "neg", candidates).select(
-        "pos", "neg", "_c.candidate", "_c.blended_score"
+    spark = df.sparkSession
+    ship_package(spark)
+    grid = weight_grid(len(rank_cols), units)
+    vectors = np.array(grid)
+    rows = df.select(*rank_cols, F.col(label_col).cast("long").alias("y"))
+    counts = rows.mapInArrow(
+        _count_buckets(rank_cols, vectors, buckets), "candidate long, bucket long, pos long, neg long"
+    )
+    counts = counts.groupBy("candidate", "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    better = Window.partitionBy("candidate").orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    counts = cut_lineage(
+        counts.select(
+            "*",
+            F.coalesce(F.sum("pos").over(better), zero).alias("tp"),
+            F.coalesce(F.sum("neg").over(better), zero).alias("fp"),
+        ),
+        "blend-counts",
     )
-    if bounds is None:
-        # Blended ranks live in (0, 1]; fixed boundaries avoid a quantile pass
-        # over the replicated rows.
-        n = default_bucket_count(df)
-        bounds = [i / n for i in range(1, n)]
-    levels = counted_levels(long_form, "blended_score", ["candidate"], bounds)
-    ap = curve_metrics(levels, ["candidate"]).select("candidate", F.col("pr_auc").alias("validation_pr_auc"))
-    weights = df.sparkSession.createDataFrame(
-        [(i, *v) for i, v in enumerate(vectors)],
-        ["candidate", *[f"{c}_weight" for c in rank_cols]],
+    wanted = np.arange(len(grid))
+    if only_best:
+        wanted = np.array(_contenders(counts), dtype=np.int64)
+    # Candidates x buckets flags at most; the driver and every task hold them as bits.
+    mixed = counts.where("pos > 0 and pos + neg > 1").where(F.col("candidate").isin([int(w) for w in wanted]))
+    found = mixed.select("candidate", "bucket").toArrow()
+    place = np.full(len(grid), -1)
+    place[wanted] = np.arange(len(wanted))
+    open_cells = place[found.column("candidate").to_numpy()] * buckets + found.column("bucket").to_numpy()
+    exact = rows.mapInArrow(
+        _open_rows(rank_cols, vectors, wanted, open_cells, buckets),
+        "candidate long, bucket long, blended_score double, pos long, neg long",
     )
-    return F.broadcast(weights).join(ap, "candidate", "left")
+    levels = exact.groupBy("candidate", "bucket", "blended_score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    levels = levels.join(counts.select("candidate", "bucket", "tp", "fp"), ["candidate", "bucket"])
+    inside = Window.partitionBy("candidate", "bucket").orderBy(F.col("blended_score").desc())
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    tp = F.col("tp") + F.sum("pos").over(upto)
+    fp = F.col("fp") + F.sum("neg").over(upto)
+    # A positive alone in its bucket needs no second look.
+    alone = counts.where("pos = 1 and neg = 0").where(F.col("candidate").isin([int(w) for w in wanted]))
+    gains = levels.select("candidate", F.col("pos"), tp.alias("tp"), fp.alias("fp")).unionByName(
+        alone.select("candidate", "pos", (F.col("tp") + 1).alias("tp"), "fp")
+    )
+    sums = gains.groupBy("candidate").agg(F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))).alias("gain"))
+    totals = counts.groupBy("candidate").agg(F.sum("pos").alias("P"))
+    ap = totals.join(sums, "candidate").select("candidate", (F.col("gain") / F.col("P")).alias("validation_pr_auc"))
+    weights = spark.createDataFrame(
+        [(int(i), *grid[i]) for i in wanted], "candidate long, " + ", ".join(f"{c}_weight double" for c in rank_cols)
+    )
+    return weights.join(ap, "candidate", "left")
+
+
+def _contenders(counts: DataFrame) -> list[int]:
+    """Candidates that may be best, from bounds on average precision by buckets.
+
+    A bucket's positives gain most if they are one level above its negatives, and
+    least if they come one by one after them.  1e-9 covers rounding of the sums.
+    """
+    n_pos, n_neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
+    bounds = counts.groupBy("candidate").agg(
+        F.sum(F.when(n_pos > 0, n_pos * (tp + n_pos) / (tp + n_pos + fp)).otherwise(0.0)).alias("high"),
+        F.sum(F.when(n_pos > 0, n_pos * (tp + 1) / (tp + 1 + fp + n_neg)).otherwise(0.0)).alias("low"),
+    ).collect()  # a line per candidate
+    floor = max((r["low"] for r in bounds), default=0.0)
+    return sorted(r["candidate"] for r in bounds if r["high"] * (1 + 1e-9) >= floor)
 
 
 def best_candidate(results: DataFrame, metric_col: str = "validation_pr_auc") -> DataFrame:

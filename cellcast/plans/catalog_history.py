@@ -523,6 +523,76 @@ def q_apply_levels(spark, sf_dir):
     return L.apply_levels(later, levels, ["event_type", "prop_k"])
 
 
+SQL_ODD_CATS = f"""
+odd AS (SELECT event_id, CAST(ts AS DATE) AS date, NULLIF(event_type, 'view') AS event_type,
+               NULLIF(json_extract_string(props, '$.k'), '3') AS prop_k,
+               CASE WHEN user_id % 5 <> 0 THEN user_id % 3 END AS third FROM events),
+odd_train AS (SELECT * FROM odd WHERE date < DATE '{CATEGORY_CUT}' AND COALESCE(event_type, '') <> 'click'),
+modes AS (SELECT feature, arg_min(value, struct_pack(less := -n, v := value)) AS mode, MAX(n) AS n
+          FROM (SELECT feature, value, COUNT(*) AS n
+                FROM (SELECT 'event_type' AS feature, event_type AS value FROM odd_train UNION ALL
+                      SELECT 'prop_k', prop_k FROM odd_train UNION ALL
+                      SELECT 'third', CAST(third AS VARCHAR) FROM odd_train)
+                WHERE value IS NOT NULL GROUP BY 1, 2) GROUP BY feature)"""
+ODD_COLS = ["event_type", "prop_k", "third"]
+
+
+def _odd_categories(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(training rows, later rows) with nulls; one event type does not occur in training."""
+    odd = _event_categories(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    odd = odd.select(
+        "event_id",
+        DAY,
+        F.nullif(F.col("event_type"), F.lit("view")).alias("event_type"),
+        F.nullif(F.col("prop_k"), F.lit("3")).alias("prop_k"),
+        F.when(F.col("user_id") % 5 != 0, F.col("user_id") % 3).alias("third"),
+    )
+    train = odd.filter((F.col(DAY) < F.lit(CATEGORY_CUT)) & (F.coalesce("event_type", F.lit("")) != "click"))
+    return train, odd.filter(F.col(DAY) >= F.lit(CATEGORY_CUT))
+
+
+@register("column_modes", f"WITH {SQL_ODD_CATS.strip()} SELECT feature, mode, n FROM modes")
+def q_column_modes(spark, sf_dir):
+    from cellcast.operators.encoders import column_modes
+
+    return column_modes(_odd_categories(spark, sf_dir)[0], ODD_COLS)
+
+
+@register(
+    "imputed_codes",
+    f"""WITH {SQL_ODD_CATS.strip()},
+lvl AS (SELECT feature, value, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY value) - 1 AS code
+        FROM (SELECT DISTINCT 'event_type' AS feature, event_type AS value FROM odd_train WHERE event_type IS NOT NULL
+              UNION SELECT DISTINCT 'prop_k', prop_k FROM odd_train WHERE prop_k IS NOT NULL
+              UNION SELECT DISTINCT 'third', CAST(third AS VARCHAR) FROM odd_train WHERE third IS NOT NULL)),
+f AS (SELECT event_id, COALESCE(event_type, (SELECT mode FROM modes WHERE feature = 'event_type')) AS event_type,
+             COALESCE(prop_k, (SELECT mode FROM modes WHERE feature = 'prop_k')) AS prop_k,
+             COALESCE(CAST(third AS VARCHAR), (SELECT mode FROM modes WHERE feature = 'third')) AS third
+      FROM odd WHERE date >= DATE '{CATEGORY_CUT}')
+SELECT f.event_id, f.event_type AS event_type_filled, f.prop_k AS prop_k_filled, f.third AS third_filled,
+       CAST(COALESCE(a.code, -1) AS DOUBLE) AS event_type_code, CAST(COALESCE(b.code, -1) AS DOUBLE) AS prop_k_code,
+       CAST(COALESCE(c.code, -1) AS DOUBLE) AS third_code
+FROM f LEFT JOIN lvl a ON a.feature = 'event_type' AND a.value = f.event_type
+LEFT JOIN lvl b ON b.feature = 'prop_k' AND b.value = f.prop_k
+LEFT JOIN lvl c ON c.feature = 'third' AND c.value = f.third""",
+)
+def q_imputed_codes(spark, sf_dir):
+    """M1 + M4: the category stages of the tree models, fitted on early days, applied to later ones."""
+    from pyspark.ml import Pipeline
+
+    from cellcast.operators.encoders import CategoryText, ModeImputer, OrdinalEncoder
+
+    train, later = _odd_categories(spark, sf_dir)
+    text, filled = [f"{c}_text" for c in ODD_COLS], [f"{c}_filled" for c in ODD_COLS]
+    stages = [
+        CategoryText(inputCols=ODD_COLS, outputCols=text),
+        ModeImputer(inputCols=text, outputCols=filled),
+        OrdinalEncoder(inputCols=filled, outputCols=[f"{c}_code" for c in ODD_COLS]),
+    ]
+    out = Pipeline(stages=stages).fit(train).transform(later)
+    return out.select("event_id", *filled, *[f"{c}_code" for c in ODD_COLS])
+
+
 @register(
     "missing_token",
     """

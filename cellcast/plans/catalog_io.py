@@ -17,7 +17,7 @@ from cellcast.fixed_values import (
 from cellcast.functions.display import condition_summary
 from cellcast.operators import panel as P
 from cellcast.operators import windows as W
-from cellcast.plans.backtest import past_only_audit
+from cellcast.plans.backtest import perturbation_audit
 from cellcast.plans.catalog import (
     CELL,
     DAY,
@@ -32,7 +32,7 @@ from cellcast.plans.catalog import (
     sparse_panel,
     table,
 )
-from cellcast.plans.daily_scoring import publish_document, publish_locations
+from cellcast.plans.daily_scoring import document_header, publish_locations, with_header
 from cellcast.plans.training_table import build_training_table
 from cellcast.session import cut_lineage
 from cellcast.sources import payload as S
@@ -216,16 +216,13 @@ def q_publish_json(spark, sf_dir):
     locations = publish_locations(feats, PUBLISH_THRESHOLD, CELL)
     import datetime as dt
 
-    doc = publish_document(locations, day, day + dt.timedelta(days=1), "stand-in", generated_at="fixed")
-    flat = doc.select("feature_date", "prediction_date", "grid_count", F.explode("locations").alias("l"))
-    c = F.col("l.conditions")
+    flat = with_header(locations, document_header(day, day + dt.timedelta(days=1), "stand-in", "fixed"))
+    c = F.col("conditions")
     return flat.select(
         "feature_date",
         "prediction_date",
         "grid_count",
-        *[F.col(f"l.{k}").alias(k) for k in (
-            "id", "name", "area", "lat", "lng", "forest_type", "risk_score", "risk_level", "model_score", "above_model_threshold"
-        )],
+        "id", "name", "area", "lat", "lng", "forest_type", "risk_score", "risk_level", "model_score", "above_model_threshold",
         c["temperature_max_c"].alias("temperature_max_c"),
         c["humidity_min_percent"].alias("humidity_min_percent"),
         c["wind_speed_max_kmh"].alias("wind_speed_max_kmh"),
@@ -267,25 +264,21 @@ UNION ALL SELECT 'rolling_including_today', n, n = 0 FROM today_d""",
 )
 def q_leakage_audit(spark, sf_dir):
     panel = full_panel_df(spark, sf_dir).select(CELL, DAY, "value_total", "value_max", "value_min")
+    panel = cut_lineage(panel, "audit-panel")
     start, end = P.calendar_bounds(panel, DAY)
     # middle day of the calendar, as a scalar subquery
     target = F.date_add(start, F.floor((F.datediff(end, start) + 1) / 2).cast("int"))
-    rows = []
-    for name, specs, inclusive in (
-        ("rolling_past_only", EVENT_PAST_SPECS, False),
-        ("rolling_including_today", EVENT_TODAY_SPECS, True),
-    ):
-        diff = past_only_audit(
-            panel,
-            lambda df, s=specs, i=inclusive: _rounded(W.rolling_rows(df, s, i, CELL, DAY), s),
-            target,
-            PERTURB,
-            [s[4] for s in specs],
-            CELL,
-            DAY,
+    families = {
+        name: (lambda df, s=specs, i=inclusive: _rounded(W.rolling_rows(df, s, i, CELL, DAY), s), [s[4] for s in specs])
+        for name, specs, inclusive in (
+            ("rolling_past_only", EVENT_PAST_SPECS, False),
+            ("rolling_including_today", EVENT_TODAY_SPECS, True),
         )
-        rows.append(diff.agg(F.count(F.lit(1)).alias("differing_rows")).select(F.lit(name).alias("check"), "differing_rows"))
-    out = rows[0].unionByName(rows[1])
+    }
+    differing = perturbation_audit(panel, families, [target], PERTURB, CELL, DAY)
+    counts = differing.groupBy("check").agg(F.count(F.lit(1)).alias("differing_rows"))
+    checks = spark.createDataFrame([(name,) for name in families], "check string")
+    out = checks.join(counts, "check", "left").select("check", F.coalesce("differing_rows", F.lit(0)).alias("differing_rows"))
     return out.withColumn("passed", F.col("differing_rows") == 0)
 
 

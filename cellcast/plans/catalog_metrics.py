@@ -316,9 +316,7 @@ ranks AS (SELECT user_id, date, label,
     {_sql_rank('sc', 'rank_max_3d')}, {_sql_rank('sd', 'rank_min_3d')} FROM lab)"""
 
 
-@register(
-    "blend_weights",
-    f"""WITH {SQL_FOUR},
+ORACLE_BLEND = f"""WITH {SQL_FOUR},
 long AS (SELECT wt.*, ranks.label,
                 0.0 + rank_total_7d_weight * rank_total_7d + rank_total_30d_weight * rank_total_30d
                     + rank_max_3d_weight * rank_max_3d + rank_min_3d_weight * rank_min_3d AS blended
@@ -329,8 +327,10 @@ c AS (SELECT candidate, pos, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp,
       FROM lv WINDOW w AS (PARTITION BY candidate ORDER BY blended DESC)),
 ap AS (SELECT candidate, SUM(pos * tp / (tp + fp)) / MAX("P") AS ap FROM c GROUP BY candidate)
 SELECT wt.*, ROUND(ap.ap, 10) AS validation_pr_auc
-FROM {_sql_weights()} JOIN ap ON wt.candidate = ap.candidate""",
-)
+FROM {_sql_weights()} JOIN ap ON wt.candidate = ap.candidate"""
+
+
+@register("blend_weights", ORACLE_BLEND)
 def q_blend_weights(spark, sf_dir):
     ranks = four_rank_panel(spark, sf_dir)
     out = R.blend_weight_search(ranks, "label", BLEND_MODELS, BLEND_WEIGHT_UNITS)
@@ -396,5 +396,5 @@ ORDER BY validation_pr_auc DESC, wt.candidate ASC LIMIT 1""",
 def q_blend_best(spark, sf_dir):
     """The best weight vector by validation PR AUC, first candidate on ties."""
     ranks = four_rank_panel(spark, sf_dir)
-    out = R.blend_weight_search(ranks, "label", BLEND_MODELS, BLEND_WEIGHT_UNITS)
+    out = R.blend_weight_search(ranks, "label", BLEND_MODELS, BLEND_WEIGHT_UNITS, only_best=True)
     return R.best_candidate(out.withColumn("validation_pr_auc", r10("validation_pr_auc")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellcast.functions import geo as G
 from cellcast.operators import ranking as R
 from cellcast.operators import spatial as S
+from cellcast.operators.windows import sequential_ids
 from cellcast.plans.catalog import register, table
 
 
@@ -250,28 +251,145 @@ def q_web_mercator_clusters(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- #
-# J10 -- clip generated cells to a region derived from the data (no SQL oracle)
+# J6 / S8 -- points within cells that have a square hole
 # --------------------------------------------------------------------------- #
-@register("clip_cells")
-def q_clip_cells(spark, sf_dir):
-    """Region = the per-label centroids of the points joined in angle order
-    around their mean (a star-shaped, generally concave polygon); cells are
-    0.02-unit squares over its bounding box."""
+@register(
+    "point_in_holed_cell",
+    f"""WITH {SQL_POINTS},
+bb AS (SELECT MIN(x) AS x0, MIN(y) AS y0, MAX(x) AS x1, MAX(y) AS y1 FROM pts),
+dims AS (SELECT x0, y0, CAST(CEIL((x1 - x0) / {CELL_SIZE}) AS BIGINT) AS nx, CAST(CEIL((y1 - y0) / {CELL_SIZE}) AS BIGINT) AS ny FROM bb),
+cells AS (SELECT ix, iy, dims.x0 + ix * {CELL_SIZE} AS cx0, dims.y0 + iy * {CELL_SIZE} AS cy0,
+                 dims.x0 + (ix + 1) * {CELL_SIZE} AS cx1, dims.y0 + (iy + 1) * {CELL_SIZE} AS cy1
+          FROM dims, (SELECT UNNEST(range((SELECT nx FROM dims))) AS ix) a, (SELECT UNNEST(range((SELECT ny FROM dims))) AS iy) b),
+ids AS (SELECT *, cx0 + {CELL_SIZE} / 4 AS hx0, cx1 - {CELL_SIZE} / 4 AS hx1, cy0 + {CELL_SIZE} / 4 AS hy0,
+               cy1 - {CELL_SIZE} / 4 AS hy1, printf('CA-%05d', ROW_NUMBER() OVER (ORDER BY ix, iy)) AS grid_id FROM cells)
+SELECT p.vec_id, i.grid_id FROM pts p JOIN ids i ON p.x > i.cx0 AND p.x < i.cx1 AND p.y > i.cy0 AND p.y < i.cy1
+WHERE NOT (p.x BETWEEN i.hx0 AND i.hx1 AND p.y BETWEEN i.hy0 AND i.hy1)""",
+)
+def q_point_in_holed_cell(spark, sf_dir):
     pts = embedding_points(spark, sf_dir)
-    cen = pts.groupBy("label").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
-    mx, my = cen.agg(F.avg("x"), F.avg("y")).first()  # two scalars
-    ordered = cen.withColumn("ang", F.atan2(F.col("y") - F.lit(my), F.col("x") - F.lit(mx)))
-    ring = ordered.agg(F.array_sort(F.collect_list(F.struct("ang", "x", "y"))).alias("r")).select(
-        F.transform("r", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("ring")
+    x0, y0, x1, y1 = _bounds(pts, "x", "y")
+    grid = S.generate_grid(spark, x0, y0, x1, y1, CELL_SIZE)
+    inset = F.lit(CELL_SIZE) / 4
+    hole = S.box_ring(F.col("x0") + inset, F.col("y0") + inset, F.col("x1") - inset, F.col("y1") - inset)
+    grid = grid.withColumn("holes", F.array(hole))
+    found = S.point_in_polygon(
+        pts.select("vec_id", "x", "y"), grid, "x", "y", "grid_id", "ring", CELL_SIZE, holes_col="holes"
     )
-    region = ring.select(F.concat(F.col("ring"), F.slice(F.col("ring"), 1, 1)).alias("ring"))
+    return found.select("vec_id", "grid_id")
+
+
+# --------------------------------------------------------------------------- #
+# J10 -- clip generated cells to a region derived from the data
+# --------------------------------------------------------------------------- #
+CLIP_SIZE = 0.02
+
+
+def _clip_sql(part: str, hole: bool) -> str:
+    """Area and centroid of every cell by Green's theorem, edge by edge.
+
+    Each edge, cut where it crosses the cell's bottom and top, bounds a trapezoid
+    above the cell's bottom; ``part`` defines ``ring`` (r, i, x, y): open rings.
+    """
+    inner = """, holes AS (SELECT 1 AS r, i, mx + (x - mx) / 4 AS x, my + (y - my) / 4 AS y FROM ring, mid),
+rings AS (SELECT 0 AS r, i, x, y FROM ring UNION ALL SELECT r, i, x, y FROM holes)""" if hole else """,
+rings AS (SELECT 0 AS r, i, x, y FROM ring)"""
+    return f"""WITH {SQL_POINTS}, {part}{inner},
+seg AS (SELECT r, x AS ax, y AS ay,
+               COALESCE(LEAD(x) OVER (PARTITION BY r ORDER BY i), FIRST_VALUE(x) OVER (PARTITION BY r ORDER BY i)) AS ex,
+               COALESCE(LEAD(y) OVER (PARTITION BY r ORDER BY i), FIRST_VALUE(y) OVER (PARTITION BY r ORDER BY i)) AS ey FROM rings),
+turn AS (SELECT r, SIGN(SUM(ax * ey - ex * ay)) * CASE WHEN r = 0 THEN 1 ELSE -1 END AS s FROM seg GROUP BY r),
+bb AS (SELECT MIN(x) AS x0, MIN(y) AS y0, MAX(x) AS x1, MAX(y) AS y1 FROM ring),
+dims AS (SELECT x0, y0, CAST(CEIL((x1 - x0) / {CLIP_SIZE}) AS BIGINT) AS nx, CAST(CEIL((y1 - y0) / {CLIP_SIZE}) AS BIGINT) AS ny FROM bb),
+cells AS (SELECT ix, iy, dims.x0 + ix * {CLIP_SIZE} AS cx0, dims.y0 + iy * {CLIP_SIZE} AS cy0,
+                 dims.x0 + (ix + 1) * {CLIP_SIZE} AS cx1, dims.y0 + (iy + 1) * {CLIP_SIZE} AS cy1
+          FROM dims, (SELECT UNNEST(range((SELECT nx FROM dims))) AS ix) a, (SELECT UNNEST(range((SELECT ny FROM dims))) AS iy) b),
+lr AS (SELECT c.*, t.s * CASE WHEN ax < ex THEN -1 ELSE 1 END AS s,
+              GREATEST(LEAST(ax, ex), cx0) AS xl, LEAST(GREATEST(ax, ex), cx1) AS xr,
+              ax, ay, (ey - ay) / (ex - ax) AS m
+       FROM cells c JOIN seg ON ax <> ex AND LEAST(ax, ex) < cx1 AND GREATEST(ax, ex) > cx0 JOIN turn t ON t.r = seg.r),
+cut AS (SELECT *, CASE WHEN m = 0 THEN xl ELSE LEAST(GREATEST(ax + (cy0 - ay) / m, xl), xr) END AS u,
+                  CASE WHEN m = 0 THEN xl ELSE LEAST(GREATEST(ax + (cy1 - ay) / m, xl), xr) END AS v FROM lr),
+bits AS (SELECT *, UNNEST([xl, LEAST(u, v), GREATEST(u, v)]) AS p, UNNEST([LEAST(u, v), GREATEST(u, v), xr]) AS q FROM cut),
+ends AS (SELECT *, LEAST(GREATEST(ay + (p - ax) * m, cy0), cy1) AS yp, LEAST(GREATEST(ay + (q - ax) * m, cy0), cy1) AS yq
+         FROM bits WHERE p < q),
+sums AS (SELECT ix, iy, ANY_VALUE(cx0) AS cx0, ANY_VALUE(cy0) AS cy0,
+                SUM(s * (q - p) * (yp + yq - 2 * cy0) / 2) AS a,
+                SUM(s * (q - p) * ((p - cx0) * (2 * (yp - cy0) + (yq - cy0)) + (q - cx0) * ((yp - cy0) + 2 * (yq - cy0))) / 6) AS mx,
+                SUM(s * (q - p) * ((yp - cy0) * (yp - cy0) + (yp - cy0) * (yq - cy0) + (yq - cy0) * (yq - cy0)) / 6) AS my
+         FROM ends GROUP BY ix, iy)
+SELECT printf('CA-%05d', ROW_NUMBER() OVER (ORDER BY ix, iy)) AS grid_id, ROUND(a, 10) AS area,
+       ROUND(cx0 + mx / a, 6) AS centroid_x, ROUND(cy0 + my / a, 6) AS centroid_y
+FROM sums WHERE a > {CLIP_SIZE} * {CLIP_SIZE} * 1e-9"""
+
+
+STAR_SQL = """
+cen AS (SELECT label, AVG(x) AS x, AVG(y) AS y FROM pts GROUP BY label),
+mid AS (SELECT AVG(x) AS mx, AVG(y) AS my FROM cen),
+ring AS (SELECT ROW_NUMBER() OVER (ORDER BY ATAN2(y - my, x - mx), x, y) AS i, x, y FROM cen, mid)"""
+
+
+def star_region(spark, sf_dir, hole: bool) -> DataFrame:
+    """Per-label centroids of the points joined in angle order around their mean
+    (star-shaped, generally concave); with ``hole`` a quarter of its size is left out."""
+    cen = embedding_points(spark, sf_dir).groupBy("label").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+    mx, my = cen.agg(F.avg("x"), F.avg("y")).first()  # two scalars
+    angle = F.atan2(F.col("y") - F.lit(my), F.col("x") - F.lit(mx))
+    turned = cen.agg(F.array_sort(F.collect_list(F.struct(angle.alias("ang"), "x", "y"))).alias("r"))
+    ring = F.transform("r", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+
+    def shrunk(p):
+        x, y = F.lit(mx) + (p["x"] - F.lit(mx)) / 4, F.lit(my) + (p["y"] - F.lit(my)) / 4
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    holes = F.array(F.transform("r", shrunk)) if hole else F.array(F.slice(ring, 1, 0))
+    return turned.select(ring.alias("ring"), holes.alias("holes"))
+
+
+def clipped_grid(spark, region: DataFrame) -> DataFrame:
+    """Cells over the region's box, clipped, with ids in (ix, iy) order of what is left."""
     b = region.select(F.explode("ring").alias("p")).agg(
         F.min("p.x"), F.min("p.y"), F.max("p.x"), F.max("p.y")
     ).first()
-    grid = S.generate_grid(spark, float(b[0]), float(b[1]), float(b[2]), float(b[3]), 0.02)
-    grid = grid.withColumn("cell_key", F.col("ix") * F.lit(1 << 20) + F.col("iy"))
-    clipped = S.clip_cells(grid, region, "cell_key", "ring", bucket=0.02)
-    return clipped.join(grid.select("cell_key", "grid_id"), clipped.grid_key == grid.cell_key).select(
-        "grid_id", F.round("area", 10).alias("area"), F.round("centroid_x", 8).alias("centroid_x"),
-        F.round("centroid_y", 8).alias("centroid_y"),
+    grid = S.generate_grid(spark, *[float(v) for v in b], CLIP_SIZE).drop("grid_id")
+    grid = grid.withColumn("cell_key", F.struct("ix", "iy"))
+    clipped = S.clip_cells(grid, region, "cell_key", "ring", "holes").where(F.col("area") > CLIP_SIZE * CLIP_SIZE * 1e-9)
+    return sequential_ids(clipped.select("*", "grid_key.*"), ("ix", "iy"), "grid_id").select(
+        "grid_id", F.round("area", 10).alias("area"), F.round("centroid_x", 6).alias("centroid_x"),
+        F.round("centroid_y", 6).alias("centroid_y"),
     )
+
+
+@register("clip_cells", _clip_sql(STAR_SQL, False))
+def q_clip_cells(spark, sf_dir):
+    return clipped_grid(spark, star_region(spark, sf_dir, False))
+
+
+@register("clip_cells_hole", _clip_sql(STAR_SQL, True))
+def q_clip_cells_hole(spark, sf_dir):
+    return clipped_grid(spark, star_region(spark, sf_dir, True))
+
+
+# --------------------------------------------------------------------------- #
+# J7 -- every point to the nearest of many clustered centroids
+# --------------------------------------------------------------------------- #
+CLUSTER_MAX = 0.05
+
+
+@register(
+    "nearest_clustered",
+    f"""WITH {SQL_POINTS},
+cen AS (SELECT vec_id AS cell_id, x * x * x AS cx, y * y * y AS cy FROM pts),
+d AS (SELECT p.vec_id, c.cell_id, SQRT((p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy)) AS dist
+      FROM pts p JOIN cen c ON c.cx BETWEEN p.x - {CLUSTER_MAX} AND p.x + {CLUSTER_MAX} AND c.cy BETWEEN p.y - {CLUSTER_MAX} AND p.y + {CLUSTER_MAX}),
+b AS (SELECT vec_id, arg_min(cell_id, struct_pack(dd := dist, cc := cell_id)) AS cell_id, MIN(dist) AS dist
+      FROM d WHERE dist <= {CLUSTER_MAX} GROUP BY vec_id)
+SELECT p.vec_id, b.cell_id AS grid_id, ROUND(b.dist, 10) AS assignment_distance_m FROM pts p LEFT JOIN b ON b.vec_id = p.vec_id""",
+)
+def q_nearest_clustered(spark, sf_dir):
+    """Cubed coordinates crowd around the origin, so squares there split."""
+    pts = embedding_points(spark, sf_dir)
+    cube = lambda c: F.col(c) * F.col(c) * F.col(c)
+    cen = pts.select(F.col("vec_id").alias("cell_id"), cube("x").alias("cx"), cube("y").alias("cy"))
+    out = S.nearest_cell(pts.select("vec_id", "x", "y"), cen, "x", "y", "cell_id", "cx", "cy", CLUSTER_MAX, max_candidates=16)
+    return out.select("vec_id", "grid_id", r10("assignment_distance_m").alias("assignment_distance_m"))

@@ -1,4 +1,4 @@
-"""The three batch jobs, wired from landed files to outputs.
+"""The batch jobs, wired from landed files to outputs.
 
 Each job is a function of paths and parameters (no CLI parsing), runs as one
 Spark application, and writes only at stage boundaries worth reusing.
@@ -13,16 +13,29 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.fixed_values import BACKTEST_FOLDS, MAX_ASSIGN_DISTANCE_METRES, WEATHER_COLUMNS
+from cellcast.fixed_values import (
+    BACKTEST_FOLDS,
+    GRID_CELL_METRES,
+    HISTORY_YEARS,
+    MAX_ASSIGN_DISTANCE_METRES,
+    PERTURBED_WEATHER,
+    REFERENCE_COLUMNS,
+    STATIC_COLUMNS,
+    TRAINING_REQUIRED,
+    WEATHER_COLUMNS,
+)
 from cellcast.functions.dates import detection_day
-from cellcast.functions.geo import albers_xy
+from cellcast.functions.geo import albers_inverse, albers_xy
 from cellcast.operators import contracts as C
 from cellcast.operators import panel as P
+from cellcast.operators import profile as PR
 from cellcast.operators import spatial as S
-from cellcast.operators.windows import dedupe_keep
+from cellcast.operators.polygons import closed_ring
+from cellcast.operators.windows import dedupe_keep, sequential_ids
 from cellcast.plans import backtest as B
 from cellcast.plans import daily_scoring as D
-from cellcast.plans.training_table import build_training_table
+from cellcast.plans.training_table import build_model_panel, build_training_table, lookup
+from cellcast.session import cut_lineage
 from cellcast.sinks import writers as K
 from cellcast.sources import readers as RD
 
@@ -63,7 +76,8 @@ def assign_detections_within(detections: DataFrame, grid_rings: DataFrame, bucke
         F.col("longitude").alias("px"),
         F.col("latitude").alias("py"),
     )
-    located = S.point_in_polygon(pts, grid_rings, "px", "py", "grid_id", "ring", bucket_degrees, "grid_id")
+    holes = "holes" if "holes" in grid_rings.columns else None
+    located = S.point_in_polygon(pts, grid_rings, "px", "py", "grid_id", "ring", bucket_degrees, "grid_id", holes)
     return located.select("grid_id", "date", "frp")
 
 
@@ -76,9 +90,15 @@ def run_training_table(
     history_path: str,
     output_dir: str,
     grid_geojson: str | None = None,
+    satellite: str | None = None,
+    year: int | None = None,
 ) -> str:
     """Landed detections + weather + attributes -> training table (Parquet,
-    CSV, 5,000-row sample).
+    CSV, 5,000-row sample), with every weather measure of the input and the cells'
+    centroids.
+
+    Detections are refused if any has no place or date, occurs twice, or, where
+    these are given, comes from another satellite or year.
 
     Detections are assigned to the nearest centroid within 10 km (all must
     match), or, with ``grid_geojson``, strictly within the cell polygons
@@ -86,15 +106,17 @@ def run_training_table(
     years; their counts are not interchangeable.
     """
     det = RD.read_detection_csv(spark, detections_csv)
-    C.enforce_zero(C.coercion_report(det, "acq_date", "yyyy-MM-dd", ["latitude", "longitude"]), "Detections")
+    C.enforce_zero(C.detection_report(det, satellite, year), "Detections")
+    centroids = RD.read_columns(spark, centroids_path, ["grid_id", "centroid_lat", "centroid_lon"])
     if grid_geojson:
         assigned = assign_detections_within(det, RD.read_grid_geojson(spark, grid_geojson))
     else:
-        centroids = RD.read_columns(spark, centroids_path, ["grid_id", "centroid_lat", "centroid_lon"])
         assigned = assign_detections(det, centroids)
     daily = P.daily_cell_events(assigned, "grid_id", "date", "frp")
-    weather = RD.read_columns(spark, weather_path, WEATHER_COLUMNS[:2] + ["precipitation_total", "temperature_max", "humidity_min"])
-    weather = weather.withColumn("date", F.to_date("date"))
+    landed = spark.read.parquet(weather_path)
+    C.require_columns(landed, WEATHER_COLUMNS[:2] + ["precipitation_total", "temperature_max", "humidity_min"], "Weather")
+    weather = landed.select(*[c for c in WEATHER_COLUMNS if c in landed.columns])
+    weather = lookup(weather.withColumn("date", F.to_date("date")), centroids, "grid_id", "Centroids")
     static = spark.read.parquet(static_path)
     history = spark.read.parquet(history_path)
     table = build_training_table(weather, daily, static, history)
@@ -104,6 +126,108 @@ def run_training_table(
     return out + ".parquet"
 
 
+def run_validation(spark: SparkSession, table_path: str, output_dir: str, required: Sequence[str] = TRAINING_REQUIRED) -> str:
+    """Required columns, then the profiles of a training table: size, nulls, numbers, months."""
+    table = spark.read.parquet(table_path)
+    C.require_columns(table, required, "Training")
+    numbers = [c for c, t in table.dtypes if t in ("double", "float", "int", "bigint")]
+    reports = {
+        "profile": PR.table_profile(table, "grid_id", "date", "fire_next_day"),
+        "nulls": PR.null_fractions(table),
+        "numbers": PR.describe_numeric(table, numbers),
+        "months": PR.monthly_label_stats(table, "date", "fire_next_day"),
+    }
+    for name, report in reports.items():
+        K.write_new(report, os.path.join(output_dir, name))
+    return output_dir
+
+
+def run_model_panel(
+    spark: SparkSession,
+    panel_paths: Sequence[str],
+    season_path: str,
+    static_path: str,
+    output_path: str,
+    required: Sequence[str],
+) -> str:
+    """E2's input: yearly grid-days one after the other, features that stay in their
+    year, the season before and the static attributes, in date order."""
+    panel = None
+    for path in panel_paths:
+        part = spark.read.parquet(path)
+        panel = part if panel is None else panel.unionByName(part)
+    panel = panel.withColumn("date", F.to_date("date"))
+    static = RD.read_columns(spark, static_path, STATIC_COLUMNS)
+    data = build_model_panel(panel, spark.read.parquet(season_path), required, static=static)
+    # Range-sorted files: a fold reads only the days it needs.
+    K.write_new(data.orderBy("date", "grid_id"), output_path)
+    return output_path
+
+
+def run_grid_build(
+    spark: SparkSession, boundary: DataFrame, geojson_path: str, centroids_path: str, size: float = GRID_CELL_METRES
+) -> DataFrame:
+    """Square cells over a region, clipped by it, numbered after the clip; grid file and centroids.
+
+    ``boundary``: a row per part of the region, ``ring`` and ``holes`` in metres.
+    Returns (grid_id, centroid_lat, centroid_lon, polygons in degrees).
+    """
+    corner = boundary.select(F.explode("ring").alias("p")).agg(F.min("p.x"), F.min("p.y"), F.max("p.x"), F.max("p.y")).first()
+    grid = S.generate_grid(spark, *[float(v) for v in corner], size).drop("grid_id")
+    clipped = S.clip_cells(grid.withColumn("cell_key", F.struct("ix", "iy")), boundary, "cell_key", "ring", "holes")
+    cells = sequential_ids(clipped.select("*", "grid_key.*"), ("ix", "iy"), "grid_id")
+    cells = albers_inverse(cells, "centroid_x", "centroid_y", "centroid_lon", "centroid_lat")
+    # Corners go back to degrees one by one and are then put together again.
+    corners = cells.select("grid_id", F.posexplode("pieces").alias("piece", "r")).select(
+        "grid_id", "piece", "r.hole", F.posexplode(closed_ring(F.col("r.ring"))).alias("at", "c")
+    )
+    corners = albers_inverse(corners.select("grid_id", "piece", "hole", "at", "c.x", "c.y"), "x", "y", "lon", "lat")
+    place = F.struct("at", F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")).alias("c"))
+    rings = corners.groupBy("grid_id", "piece", "hole").agg(F.array_sort(F.collect_list(place)).alias("ring"))
+    rings = rings.withColumn("ring", F.transform("ring", lambda p: p["c"]))
+    # A hole belongs to the one outer ring of its cell; with several parts it follows the first.
+    outer = F.col("hole").cast("int")
+    lists = rings.groupBy("grid_id").agg(F.array_sort(F.collect_list(F.struct(outer.alias("hole"), "piece", "ring"))).alias("r"))
+    parts = F.transform(F.filter("r", lambda x: x["hole"] == 0), lambda x: F.array(x["ring"]))
+    holes = F.transform(F.filter("r", lambda x: x["hole"] == 1), lambda x: x["ring"])
+    polygons = F.transform(parts, lambda p, i: F.when(i == 0, F.concat(p, holes)).otherwise(p))
+    lists = lists.select("grid_id", polygons.alias("polygons"))
+    out = cut_lineage(cells.select("grid_id", "centroid_lat", "centroid_lon").join(lists, "grid_id"), "grid")
+    K.write_grid(out, geojson_path, centroids_path)
+    return out
+
+
+def run_history_summary(
+    spark: SparkSession, detections_csv: str | Sequence[str], grid_geojson: str, output_dir: str, years: tuple[int, int] = HISTORY_YEARS
+) -> str:
+    """Detections of past years within the cells -> counts, days and years of every cell (Parquet and CSV)."""
+    det = RD.read_detection_csv(spark, detections_csv)
+    cells = RD.read_grid_geojson(spark, grid_geojson)
+    within = assign_detections_within(det, cells)
+    summary = cut_lineage(P.history_summary(within, cells.select("grid_id").distinct(), years=years), "history")
+    C.enforce_zero(C.history_invariants(summary, f"{years[0]}_{years[1]}", years[1] - years[0] + 1), "History summary")
+    out = os.path.join(output_dir, "history_summary")
+    K.write_parquet_and_csv(summary, out + ".parquet", out + "_csv")
+    return out + ".parquet"
+
+
+def run_season_summary(
+    spark: SparkSession, daily_path: str, cells_path: str, output_dir: str, history_years: Sequence[int]
+) -> str:
+    """Daily detections -> each cell's last season, by year (one folder a year)."""
+    cells = spark.read.parquet(cells_path).select("grid_id").distinct()
+    summary = cut_lineage(P.season_summary(spark.read.parquet(daily_path), cells, history_years), "season")
+    K.write_by_year(summary, output_dir, expected_per_year=cells.count())
+    return output_dir
+
+
+def run_inference_grid(spark: SparkSession, source_path: str, output_path: str, columns: Sequence[str] = REFERENCE_COLUMNS) -> str:
+    """One row per cell of its position and height; conflicting or missing values are refused."""
+    source = RD.read_columns(spark, source_path, columns)
+    K.write_new(C.static_slice(source, columns[0], columns[1:]).orderBy(columns[0]), output_path)
+    return output_path
+
+
 def run_backtest(
     spark: SparkSession,
     panel_path: str,
@@ -112,14 +236,31 @@ def run_backtest(
     output_dir: str,
     season_path: str | None = None,
     folds: Sequence[tuple[str, str, str, str]] = BACKTEST_FOLDS,
+    feature_fn: Callable[[DataFrame], DataFrame] | None = None,
+    feature_cols: Sequence[str] = (),
+    perturb: dict[str, float] = PERTURBED_WEATHER,
+    audit_dates: Sequence[dt.date] = (),
+    lookback: int = 62,
     **model_params,
 ) -> DataFrame:
-    """Leakage audit first (raises on failure), then the resumable backtest."""
+    """Leakage audit first (raises on failure), then the resumable backtest.
+
+    ``feature_fn`` adds ``feature_cols`` to the panel by cell.  Before any model is
+    fitted they are computed again with the weather replaced from each audit date
+    on (by default the first day of every test slice); a feature that changes on
+    that date looks ahead, and the run is refused.
+    """
     panel = spark.read.parquet(panel_path).withColumn("date", F.to_date("date"))
     if season_path:
         years = sorted({int(f[1][:4]) for f in folds})
         audit = B.prior_year_audit(spark.read.parquet(season_path), years, None).collect()
         B.enforce_audit(audit)
+    if feature_fn:
+        dates = list(audit_dates) or sorted({dt.date.fromisoformat(f[2]) for f in folds})
+        B.enforce_past_only(
+            B.perturbation_audit(panel, {"features": (feature_fn, list(feature_cols))}, dates, perturb, lookback=lookback)
+        )
+        panel = feature_fn(panel)
     return B.rolling_backtest(panel, numeric, categorical, output_dir, folds=folds, **model_params)
 
 
@@ -143,7 +284,8 @@ def run_daily_scoring(
     reference = spark.read.parquet(reference_path) if reference_path else None
     features = D.build_next_day_features(
         weather.drop("_source_order"), spark.read.parquet(static_path), spark.read.parquet(history_path),
-        reference, feature_date,
+        reference, feature_date, validate="inline",
     )
-    doc = D.build_prediction_payload(features, scorer, metadata, model_name, expected_grid_count)
-    return D.write_document(doc, output_dir)
+    features = cut_lineage(features, "features")
+    locations, day, next_day = D.score_locations(features, scorer, metadata, expected_grid_count)
+    return D.write_nested(locations, D.document_header(day, next_day, model_name), output_dir)

@@ -9,3 +9,4 @@ from cellcast.plans import catalog_history  # noqa: F401,E402
 from cellcast.plans import catalog_spatial  # noqa: F401,E402
 from cellcast.plans import catalog_io  # noqa: F401,E402
 from cellcast.plans import catalog_functions  # noqa: F401,E402
+from cellcast.plans import catalog_contracts  # noqa: F401,E402

@@ -21,9 +21,33 @@ def write_parquet_and_csv(df: DataFrame, parquet_path: str, csv_path: str, mode:
     df.write.mode(mode).option("header", True).csv(csv_path)
 
 
+def write_grid(cells: DataFrame, geojson_path: str, centroids_path: str, id_col: str = "grid_id") -> None:
+    """K1: the grid as one GeoJSON FeatureCollection and its centroids as CSV, both in id order.
+
+    ``cells``: id, ``centroid_lat``, ``centroid_lon`` and ``polygons`` (array of
+    polygons, each an array of rings of (x, y) in degrees, closed).  Features are
+    written as text in parallel and strung together by the file system.
+    """
+    spark = cells.sparkSession
+    pairs = F.transform("polygons", lambda p: F.transform(p, lambda r: F.transform(r, lambda c: F.array(c["x"], c["y"]))))
+    single = F.size("polygons") == 1
+    geometry = F.when(
+        single, F.to_json(F.struct(F.lit("Polygon").alias("type"), pairs[0].alias("coordinates")))
+    ).otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), pairs.alias("coordinates"))))
+    properties = F.to_json(F.struct(id_col, "centroid_lat", "centroid_lon"))
+    feature = F.concat(
+        F.lit(',{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}")
+    )
+    parts = f"{geojson_path}.parts-{uuid.uuid4().hex[:8]}"
+    cells.select(id_col, feature.alias("value")).orderBy(id_col).select("value").write.text(parts)
+    join_text_parts(spark, parts, geojson_path, '{"type":"FeatureCollection","features":[\n', "]}\n", skip=1)
+    centroids = cells.select(id_col, "centroid_lat", "centroid_lon").orderBy(id_col)
+    centroids.write.mode("errorifexists").option("header", True).csv(centroids_path)
+
+
 def write_versioned(df: DataFrame, root: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """K2: write to ``root/v-<time>-<id>`` then move ``root/CURRENT`` to it."""
-    version = f"v-{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:6]}"
+    version = new_version()
     target = os.path.join(root, version)
     writer = df.write.mode("errorifexists").format(fmt)
     if partition_by:
@@ -33,6 +57,41 @@ def write_versioned(df: DataFrame, root: str, fmt: str = "parquet", partition_by
     return target
 
 
+def new_version() -> str:
+    """Name of a new version: its time, and a few random letters."""
+    return f"v-{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:6]}"
+
+
+def join_text_parts(spark: SparkSession, parts: str, target: str, head: str, foot: str, skip: int = 0) -> None:
+    """String the part files of a folder together, in name order, between ``head`` and ``foot``.
+
+    The Hadoop file system of ``target`` copies them through a fixed buffer;
+    ``skip`` leaves out the first bytes of all.  The folder of parts goes afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    api = jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder = api.Path(parts)
+    fs = folder.getFileSystem(conf)
+    names = sorted(s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-") and s.getLen())
+    out = fs.create(api.Path(target), False)
+    try:
+        out.write(bytearray(head.encode()))
+        for name in names:
+            stream = fs.open(api.Path(name))
+            try:
+                if skip:
+                    stream.seek(skip)
+                    skip = 0
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+            finally:
+                stream.close()
+        out.write(bytearray(foot.encode()))
+    finally:
+        out.close()
+    fs.delete(folder, True)
+
+
 def switch_pointer(spark: SparkSession, root: str, version: str) -> None:
     """Let ``root/CURRENT`` name ``version``: a new file, renamed over the old one by
     the Hadoop file system of ``root``."""
@@ -70,11 +129,9 @@ def append_checked(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     from cellcast.sources.readers import path_exists
 
     if path_exists(spark, path):
-        existing = spark.read.format(fmt).load(path)
-        if existing.columns != df.columns:
-            raise ValueError(
-                f"Result columns do not match {path}: expected {existing.columns}, got {df.columns}"
-            )
+        existing = spark.read.format(fmt).load(path).dtypes
+        if existing != df.dtypes:
+            raise ValueError(f"The rows to append do not match {path}: it holds {existing}, they have {df.dtypes}.")
     df.write.mode("append").format(fmt).save(path)
 
 

@@ -153,3 +153,29 @@ def test_within_assignment_drops_outside_points(spark, tmp_dir):
         "latitude double, longitude double, acq_date string, acq_time string, frp double")
     out = {r["frp"]: r["grid_id"] for r in assign_detections_within(det, read_grid_geojson(spark, path)).collect()}
     assert out == {1.0: "CA-00001", 2.0: "CA-00002"}
+
+
+def test_replayed_batch_writes_nothing_and_untouched_dates_stay(spark, tmp_dir):
+    """Three batches that move on, one replay: only touched dates get new folders."""
+    from cellcast.streaming.history_upsert import merge_batch, read_history
+
+    def batch(rows):
+        return spark.createDataFrame([(g, d(*day), v) for g, day, v in rows], SCHEMA)
+
+    def folders():
+        return {k: v for k, v in __import__("json").loads(open(os.path.join(tmp_dir, "CURRENT")).read())["dates"].items()}
+
+    merge_batch(spark, batch([("a", (2024, 1, 1), 1.0), ("b", (2024, 1, 1), 2.0), ("a", (2024, 1, 2), 3.0)]), tmp_dir, source="s", epoch=0)
+    one = folders()
+    merge_batch(spark, batch([("a", (2024, 1, 2), 4.0), ("a", (2024, 1, 3), 5.0)]), tmp_dir, source="s", epoch=1)
+    two = folders()
+    assert two["2024-01-01"] == one["2024-01-01"] and two["2024-01-02"] != one["2024-01-02"] and set(two) == set(one) | {"2024-01-03"}
+    before = sorted(os.listdir(os.path.join(tmp_dir, "parts")))
+    merge_batch(spark, batch([("a", (2024, 1, 2), 99.0)]), tmp_dir, source="s", epoch=1)  # the replay
+    assert folders() == two and sorted(os.listdir(os.path.join(tmp_dir, "parts"))) == before
+    merge_batch(spark, batch([("b", (2024, 2, 1), 6.0)]), tmp_dir, source="s", epoch=2)
+    assert set(folders()) == {"2024-01-02", "2024-01-03", "2024-02-01"}  # 31 dates back from the newest
+    got = sorted(tuple(r) for r in read_history(spark, tmp_dir).select("grid_id", "date", "temperature_max").collect())
+    assert got == [("a", d(2024, 1, 2), 4.0), ("a", d(2024, 1, 3), 5.0), ("b", d(2024, 2, 1), 6.0)]
+    merge_batch(spark, batch([("b", (2024, 2, 1), 7.0)]), tmp_dir, source="other", epoch=0)  # another stream's epochs
+    assert read_history(spark, tmp_dir).where("date = '2024-02-01'").first()["temperature_max"] == 7.0

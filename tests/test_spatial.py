@@ -88,3 +88,117 @@ def test_albers_round_trip(spark):
 
 def test_cluster_sizes_by_zoom():
     assert [S.cluster_pixels(z) for z in (3, 5, 6, 7, 8, 9)] == [110, 110, 90, 72, 52, 0]
+
+
+def _ring(points):
+    return [{"x": float(a), "y": float(b)} for a, b in points]
+
+
+RING = "array<struct<x:double,y:double>>"
+
+
+def _box(x0, y0, x1, y1):
+    return _ring([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)])
+
+
+def test_point_in_a_hole_is_outside(spark):
+    cells = spark.createDataFrame(
+        [("a", _box(0, 0, 10, 10), [_box(4, 4, 6, 6)]), ("a", _box(20, 0, 30, 10), None), ("b", _box(4.5, 4.5, 5.5, 5.5), [])],
+        f"grid_id string, ring {RING}, holes array<{RING}>",
+    )
+    pts = spark.createDataFrame(
+        [(1, 5.0, 4.2), (2, 3.0, 5.0), (3, 25.0, 5.0), (4, 15.0, 5.0), (5, 5.0, 5.0), (6, 4.0, 5.0), (7, None, 1.0)],
+        "pid int, x double, y double",
+    )
+    for bucket, most in ((1.0, 1024), (3.0, 1), (100.0, 2)):
+        found = S.point_in_polygon(pts, cells, "x", "y", bucket=bucket, holes_col="holes", max_edges=most)
+        assert {r["pid"]: r["grid_id"] for r in found.collect()} == {2: "a", 3: "a", 5: "b"}
+
+
+def _even_odd(rings, x, y):
+    inside = False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+                inside = not inside
+    return inside
+
+
+def test_long_ring_is_spread_over_buckets(spark):
+    """A jagged ring with a hole against the plain even-odd rule, at several bucket sizes."""
+    from cellcast.operators import polygons
+
+    rng = random.Random(5)
+
+    def star(n, low, high):
+        out = [((r := rng.uniform(low, high)) * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [*out, out[0]]
+
+    outer, hole = star(3000, 60, 100), star(500, 10, 40)
+    cells = spark.createDataFrame([("c", _ring(outer), [_ring(hole)])], f"grid_id string, ring {RING}, holes array<{RING}>")
+    pts = [(i, rng.uniform(-105, 105), rng.uniform(-105, 105)) for i in range(1500)]
+    df = spark.createDataFrame(pts, "pid int, x double, y double").repartition(3)
+    want = {i for i, x, y in pts if _even_odd([outer, hole], x, y)}
+    for bucket, most in ((7.0, 1024), (50.0, 64)):
+        found = S.point_in_polygon(df, cells, "x", "y", bucket=bucket, holes_col="holes", max_edges=most)
+        assert {r["pid"] for r in found.collect()} == want
+    sparse, dense = polygons.edge_index(polygons.polygon_edges(cells, "grid_id", "ring", "holes"), 7.0, 0.5, 1024)
+    assert sparse.count() > 300 and dense.count() == 0
+    assert sparse.selectExpr("max(size(cells[0].edges))").first()[0] < 200
+
+
+def test_vertices_on_reference_lines_and_points_level_with_vertices(spark):
+    cells = spark.createDataFrame([("d", _ring([(0.5, 0), (1, 0.5), (0.5, 1), (0, 0.5), (0.5, 0)]))], f"grid_id string, ring {RING}")
+    pts = [(i, (i % 33) / 32, (i // 33) / 32) for i in range(33 * 33)]  # exact in binary
+    df = spark.createDataFrame(pts, "pid int, x double, y double")
+    want = {i for i, x, y in pts if abs(x - 0.5) + abs(y - 0.5) < 0.5}
+    for bucket in (1.0, 0.25):
+        assert {r["pid"] for r in S.point_in_polygon(df, cells, "x", "y", bucket=bucket).collect()} == want
+
+
+def test_nearest_in_dense_clusters_matches_brute_force(spark):
+    rng = random.Random(9)
+    cells = [(f"c{i:04d}", rng.gauss(50, 0.01 if i % 3 else 30), rng.gauss(50, 0.01 if i % 3 else 30)) for i in range(900)]
+    cells += [(f"d{i}", 50.0, 50.0) for i in range(40)]
+    pts = [(i, rng.gauss(50, 5), rng.gauss(50, 5)) for i in range(200)] + [(200 + i, rng.gauss(50, 0.01), rng.gauss(50, 0.01)) for i in range(100)]
+    pts += [(400, None, 1.0), (401, 1e6, 1e6), (402, 50.0, 50.0)]
+    cdf = spark.createDataFrame(cells, "grid_id string, x double, y double")
+    pdf = spark.createDataFrame(pts, "pid int, px double, py double")
+    for most in (4, 2000):
+        out = {r["pid"]: r for r in S.nearest_cell(pdf, cdf, "px", "py", max_distance=20.0, max_candidates=most).collect()}
+        assert len(out) == len(pts)
+        for pid, px, py in pts:
+            d, cid = min((math.hypot(px - x, py - y), c) for c, x, y in cells) if px is not None else (1e9, None)
+            assert out[pid]["grid_id"] == (cid if d <= 20 else None), (most, pid)
+            if d <= 20:
+                assert out[pid]["assignment_distance_m"] == pytest.approx(d)
+    assert S.nearest_cell(pdf, cdf.limit(0), "px", "py").where("grid_id is not null").count() == 0
+
+
+def test_quadtree_lists_are_short(spark):
+    from cellcast.operators.nearest import quadtree
+
+    rng = random.Random(2)
+    rows = [(str(i), rng.gauss(0, 1e-4), rng.gauss(0, 1e-4)) for i in range(600)] + [("x", 5.0, 5.0)]
+    levels = quadtree(spark.createDataFrame(rows, "cell_id string, cx double, cy double"), 1.0, 10)
+    assert len(levels) > 8
+    assert max(t.selectExpr("max(size(cells))").first()[0] or 0 for t in levels) <= 10
+    assert sum(t.selectExpr("sum(size(cells))").first()[0] or 0 for t in levels) == 601
+
+
+def test_clip_two_parts_and_a_hole(spark):
+    region = spark.createDataFrame(
+        [(_box(0.1, 0.1, 2.9, 2.9), [_ring(reversed([(1.2, 1.2), (1.8, 1.2), (1.8, 1.8), (1.2, 1.8)]))]),
+         (_ring([(3.2, 0.2), (3.8, 0.2), (3.2, 0.8)]), None), (_box(2.95, 0.1, 3.1, 0.9), [])],
+        f"ring {RING}, holes array<{RING}>",
+    )
+    grid = S.generate_grid(spark, 0.0, 0.0, 4.0, 3.0, 1.0)
+    out = {r["grid_key"]: r for r in S.clip_cells(grid.withColumn("k", F.col("ix") * 10 + F.col("iy")), region, "k", "ring", "holes").collect()}
+    areas = {k: r["area"] for k, r in out.items()}
+    assert set(areas) == {0, 1, 2, 10, 11, 12, 20, 21, 22, 30}
+    assert areas[11] == pytest.approx(1 - 0.36) and areas[0] == pytest.approx(0.81) and areas[1] == pytest.approx(0.9)
+    assert areas[20] == pytest.approx(0.81 + 0.05 * 0.8) and areas[30] == pytest.approx(0.18 + 0.1 * 0.8)
+    assert (out[11]["centroid_x"], out[11]["centroid_y"]) == (pytest.approx(1.5), pytest.approx(1.5))
+    assert out[30]["centroid_x"] == pytest.approx((0.18 * 3.4 + 0.08 * 3.05) / 0.26)
+    assert [p["hole"] for p in out[11]["pieces"]].count(True) == 1
+    assert S.clip_cells(grid.withColumn("k", F.col("ix")), region.limit(0), "k").count() == 0
