@@ -130,12 +130,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches by bytes, unless the session has a tighter limit.
+
+    Spark's default of 64 MB counts for every running task several times over: once
+    in the JVM's buffers and at least once in the worker, before any result.  Texts
+    differ in length by orders of magnitude, so a row limit does not bound memory.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).strip().lower().removesuffix("b")
+    if not now.isdigit() or int(now) <= 0 or int(now) > ARROW_BATCH_BYTES:
+        spark.conf.set(key, str(ARROW_BATCH_BYTES))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable on every Python worker (once per context).
 
     Pandas and Arrow functions are pickled by reference to their module, so a
     worker started elsewhere needs the sources; Spark itself hands out the zip.
     """
+    bound_arrow_batches(spark)
     sc = spark.sparkContext
     if getattr(sc, "_cellcast_shipped", False):
         return
