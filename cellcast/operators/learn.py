@@ -90,7 +90,7 @@ def require_levels(levels: DataFrame, columns: Sequence[str]) -> None:
     present = {r[0] for r in levels.select("feature").distinct().collect()}
     empty = [c for c in columns if c not in present]
     if empty:
-        raise ValueError(f"Categorical features have no training levels: {empty}")
+        raise ValueError(f"There are no training levels of {empty}.")
 
 
 def apply_levels(
@@ -128,10 +128,10 @@ def available_features(df: DataFrame, wanted: Sequence[str], optional: Sequence[
     """Required features must exist; optional ones are dropped (with a warning) if absent."""
     missing_required = [c for c in wanted if c not in df.columns and c not in optional]
     if missing_required:
-        raise ValueError(f"Training data is missing columns: {missing_required}")
+        raise ValueError(f"The training rows lack {missing_required}.")
     missing_optional = [c for c in optional if c not in df.columns]
     if missing_optional:
-        print(f"Warning: optional history columns not found and skipped: {missing_optional}")
+        print(f"Going on without the optional columns {missing_optional}.")
     return [c for c in wanted if c in df.columns]
 
 
@@ -261,7 +261,7 @@ REQUIRED_ARTIFACT_KEYS = ("threshold", "feature_columns", "categorical_features"
 def save_artifact(model: PipelineModel, path: str, metadata: dict) -> None:
     missing = [k for k in REQUIRED_ARTIFACT_KEYS if k not in metadata]
     if missing:
-        raise ValueError(f"Model artifact is missing keys: {missing}")
+        raise ValueError(f"The metadata of a model needs {missing}.")
     model.write().overwrite().save(f"{path}/model")
     from pyspark.sql import SparkSession
 
@@ -280,7 +280,7 @@ def load_artifact(path: str) -> tuple[PipelineModel, dict]:
     meta = json.loads(session.read.json(f"{path}/metadata").first()["metadata"])
     missing = [k for k in REQUIRED_ARTIFACT_KEYS if k not in meta]
     if missing:
-        raise ValueError(f"Model artifact is missing keys: {missing}")
+        raise ValueError(f"The metadata of a model needs {missing}.")
     return PipelineModel.load(f"{path}/model"), meta
 
 

@@ -73,7 +73,7 @@ def date_bounds(df: DataFrame, date_col: str = "date") -> tuple[dt.date, dt.date
     """One small aggregate job: the first and last day present."""
     row = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     if row is None or row["lo"] is None:
-        raise ValueError("The table contains no usable dates.")
+        raise ValueError("No row has a date.")
     return row["lo"], row["hi"]
 
 
@@ -280,7 +280,7 @@ def yearly_summary(
     and distinct active days, keyed for the next year; active cells only (the
     lenient lookup fills the rest with 0).  Counts below 1 are rejected."""
     if daily.filter(F.col(count_col) < 1).limit(1).count():
-        raise ValueError("Daily detections contain non-positive counts.")
+        raise ValueError("A day counts less than one detection.")
     rows = daily
     if history_years:
         rows = year_range_filter(rows, date_col, min(history_years), max(history_years))
@@ -320,7 +320,7 @@ def prior_year_lookup(
     if strict:
         misses = joined.filter(F.col(value_cols[0]).isNull()).limit(1).count()
         if misses:
-            raise ValueError("Prior-year history is missing for some grid-years.")
+            raise ValueError("Some cells have no season of the year before.")
     out = joined
     for c in value_cols:
         kind = dict(summary.dtypes)[c]
@@ -419,16 +419,16 @@ def check_split_summary(summary_rows: list, require_positives: bool = True) -> N
     for name in ("train", "validation", "test"):
         row = by.get(name)
         if row is None or row["rows"] == 0:
-            raise ValueError(f"{name} split is empty.")
+            raise ValueError(f"The {name} slice holds no row.")
         if require_positives and not row["positives"]:
-            raise ValueError(f"{name} split has no positive rows.")
+            raise ValueError(f"The {name} slice holds no positive row.")
     if not (
         by["train"]["end_date"]
         < by["validation"]["start_date"]
         <= by["validation"]["end_date"]
         < by["test"]["start_date"]
     ):
-        raise ValueError("Split is not strictly chronological.")
+        raise ValueError("The slices overlap in time or are out of order.")
 
 
 def fold_split(df: DataFrame, date_col: str, folds: Sequence[tuple[str, str, str, str]]) -> DataFrame:

@@ -552,7 +552,7 @@ def daily_top_capture(
     """
     for fraction in fractions:
         if not 0 < fraction <= 1:
-            raise ValueError("Top fractions must be within (0, 1].")
+            raise ValueError("A top fraction lies within (0, 1].")
     ranked = ordinal_rank(
         df,
         [*group_cols, date_col],
@@ -604,7 +604,7 @@ def require_positives(capture: DataFrame) -> DataFrame:
     """
     empty = capture.filter(F.col("capture_rate").isNull()).limit(1).count()
     if empty:
-        raise ValueError("Daily ranking data contains no positive rows.")
+        raise ValueError("A ranked group holds no positive row.")
     return capture
 
 

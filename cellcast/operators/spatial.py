@@ -39,7 +39,7 @@ def select_region(boundaries: DataFrame, column: str, value: str) -> DataFrame:
     """One region from a boundary table by equality; an empty result is an error."""
     region = boundaries.filter(F.col(column) == F.lit(value))
     if region.limit(1).count() == 0:
-        raise ValueError(f"No boundary with {column} = {value!r} was found.")
+        raise ValueError(f"No region has {value!r} in {column}.")
     return region
 
 

@@ -197,6 +197,31 @@ def run_grid_build(
     return out
 
 
+def run_static_attributes(
+    spark: SparkSession,
+    cover_path: str,
+    fuel_path: str,
+    grid_geojson: str,
+    output_path: str,
+    nodata: float | None = None,
+    bucket_degrees: float = 0.1,
+) -> str:
+    """Two pixel tables and the cells -> mean cover and most frequent fuel model of every cell;
+    a cell without pixels of either is marked as missing."""
+    cells = RD.read_grid_geojson(spark, grid_geojson)
+    zone = dict(nodata=nodata, bucket=bucket_degrees, holes_col="holes")
+    cover = S.zonal_statistics(RD.read_pixels(spark, cover_path), cells, mean_col="value", **zone)
+    fuel = S.zonal_statistics(RD.read_pixels(spark, fuel_path), cells, mean_col=None, mode_col="value", **zone)
+    table = cover.join(fuel, "grid_id").select(
+        "grid_id",
+        F.col("value_mean").alias("vegetation_cover_mean"),
+        F.col("value_mode").cast("int").alias("fuel_model_dominant"),
+        (F.col("value_mean").isNull() | F.col("value_mode").isNull()).cast("int").alias("landfire_missing"),
+    )
+    K.write_new(table.orderBy("grid_id"), output_path)
+    return output_path
+
+
 def run_history_summary(
     spark: SparkSession, detections_csv: str | Sequence[str], grid_geojson: str, output_dir: str, years: tuple[int, int] = HISTORY_YEARS
 ) -> str:

@@ -94,7 +94,7 @@ def read_csv_folder(spark: SparkSession, folder: str, pattern: str, schema: T.St
     """Every CSV matching ``pattern`` in ``folder``; error when there is none."""
     files = list_files(spark, os.path.join(folder, pattern))
     if not files:
-        raise FileNotFoundError(f"No files matching {pattern} were found in {folder}.")
+        raise FileNotFoundError(f"{folder} holds no file like {pattern}.")
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(files)
@@ -106,14 +106,14 @@ def discover_parquet(spark: SparkSession, inputs: Sequence[str]) -> list[str]:
     for item in inputs:
         p, fs = _fs(spark, item)
         if not fs.exists(p):
-            raise FileNotFoundError(f"Weather input was not found: {item}")
+            raise FileNotFoundError(f"{item} does not exist.")
         if fs.getFileStatus(p).isDirectory():
             files.extend(list_files(spark, os.path.join(item, "*.parquet")))
         else:
             files.append(str(fs.makeQualified(p).toString()))
     unique = list(dict.fromkeys(files))
     if not unique:
-        raise FileNotFoundError("No Parquet weather files were found.")
+        raise FileNotFoundError("The inputs hold no Parquet file.")
     return unique
 
 
@@ -145,7 +145,7 @@ def read_ordered_parquet(
     if lost:
         raise ValueError("Some rows come from files whose position in the input list is unknown.")
     if dup:
-        raise ValueError(f"Weather files contain {dup:,} duplicate grid/date rows.")
+        raise ValueError(f"{dup:,} rows of the input files repeat a key of their own file.")
     return nan_to_null(tagged.drop("_file"))
 
 
@@ -229,4 +229,4 @@ def first_available(spark: SparkSession, candidates: Sequence[str], legacy_glob:
         legacy = list_files(spark, legacy_glob)
         if legacy:
             return legacy[-1]
-    raise FileNotFoundError(f"None of the sources exist: {list(candidates)} {legacy_glob or ''}")
+    raise FileNotFoundError(f"Looked for {list(candidates)} {legacy_glob or ''} and found nothing.")

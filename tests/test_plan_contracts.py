@@ -144,8 +144,20 @@ def test_summary_and_validation_jobs(spark, tmp_dir):
     assert spark.read.parquet(J.run_inference_grid(spark, f"{tmp_dir}/source", f"{tmp_dir}/inference")).count() == 2
     panel = spark.createDataFrame(panel_rows(), PANEL).withColumn("fire_next_day", F.col("fire_today"))
     panel.write.parquet(f"{tmp_dir}/table")
-    with pytest.raises(ValueError, match="missing columns"):
+    with pytest.raises(ValueError, match="are not there"):
         J.run_validation(spark, f"{tmp_dir}/table", f"{tmp_dir}/report")
     J.run_validation(spark, f"{tmp_dir}/table", f"{tmp_dir}/report", ["grid_id", "date"])
     assert spark.read.parquet(f"{tmp_dir}/report/profile").first()["rows"] == 80
     assert spark.read.parquet(f"{tmp_dir}/report/numbers").count() == 5
+
+
+def test_static_attributes_job(spark, tmp_dir):
+    square = lambda x: {"type": "Polygon", "coordinates": [[[x, 0], [x + 1, 0], [x + 1, 1], [x, 1], [x, 0]]]}
+    features = [{"type": "Feature", "properties": {"grid_id": f"CA-0000{i}"}, "geometry": square(float(i))} for i in (1, 2)]
+    geo = os.path.join(tmp_dir, "grid.geojson")
+    json.dump({"type": "FeatureCollection", "features": features}, open(geo, "w"))
+    pixels = [(1.2, 0.5, 10.0), (1.4, 0.5, 20.0), (1.6, 0.5, 20.0), (1.7, 0.5, -9999.0)]
+    spark.createDataFrame(pixels, "x double, y double, value double").write.parquet(f"{tmp_dir}/px")
+    out = J.run_static_attributes(spark, f"{tmp_dir}/px", f"{tmp_dir}/px", geo, f"{tmp_dir}/static", nodata=-9999.0, bucket_degrees=0.5)
+    got = [tuple(r) for r in spark.read.parquet(out).orderBy("grid_id").collect()]
+    assert got == [("CA-00001", pytest.approx(50 / 3), 20, 0), ("CA-00002", None, None, 1)]
