@@ -1,8 +1,8 @@
 """Nearest cell within a maximum distance (J7) through an adaptive quadtree.
 
 The plane is cut into squares as wide as the maximum distance.  A square with at
-most ``max_candidates`` centroids lists them; one with more is split into four,
-and so on, so no list is longer.  A centroid within the distance lies in a
+most ``max_candidates`` centroids lists them; one with more is split into sixteen
+(two levels of a quadtree at once), and so on, so no list is longer.  A centroid within the distance lies in a
 point's own square or one of the eight around it, and those nine are laid out per
 square: a point needs one equi-join.  Where all nine are lists, the nearest
 listed centroid is the answer.  Where some are split, their children are looked
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from cellcast.fixed_values import MAX_ASSIGN_DISTANCE_METRES
 from cellcast.session import cut_lineage
 
-#: Splits at most: squares of the last level are 2^-40 of the distance wide.
-_LEVELS = 40
-
-_NODE = "struct<bx:bigint,by:bigint,split:boolean,x0:double,y0:double,x1:double,y1:double,cells:array<struct<cell_id:{id},cx:double,cy:double>>>"
+#: Bits of a coordinate that one split looks at, and splits at most: squares of the last
+#: level are 2^-40 of the distance wide.
+_BITS = 2
+_LEVELS = 20
 
 
 def quadtree(centroids: DataFrame, side: float, max_candidates: int) -> list[DataFrame]:
@@ -33,7 +33,7 @@ def quadtree(centroids: DataFrame, side: float, max_candidates: int) -> list[Dat
     rest = centroids.groupBy("cx", "cy").agg(F.min("cell_id").alias("cell_id"))
     levels = []
     while True:
-        width = side / (1 << len(levels))
+        width = side / (1 << (_BITS * len(levels)))
         dealt = rest.withColumn("bx", F.floor(F.col("cx") / width)).withColumn("by", F.floor(F.col("cy") / width))
         # A list is built only where it is short: sizes come first.
         box = dealt.groupBy("bx", "by").agg(
@@ -144,9 +144,9 @@ def nearest_cell(
     frontier = crowd.select("_point", px.alias("px"), py.alias("py"), "_best", F.explode("_open").alias("_at"))
     best = crowd.select("_point", "_best")
     for depth in range(1, len(levels)):
-        # The children of a square are the squares of the next level with half its numbers.
+        # A square's children are those of the next level whose numbers, without the last bits, are its own.
         children = levels[depth].select(
-            F.floor(F.col("bx") / 2).alias("ux"), F.floor(F.col("by") / 2).alias("uy"), square.alias("s")
+            F.shiftright("bx", _BITS).alias("ux"), F.shiftright("by", _BITS).alias("uy"), square.alias("s")
         )
         at = frontier.select("_point", "px", "py", "_best", F.col("_at.bx").alias("ux"), F.col("_at.by").alias("uy"))
         met = at.join(children, ["ux", "uy"]).groupBy("_point").agg(
