@@ -13,8 +13,8 @@ seen takes the last share.  A text is read once from left to right: the state is
 the word before, a missing arc costs the failure weight, and the logarithms add
 up.  The probabilities of each state sum to one.
 
-No table of the whole model exists anywhere.  Documents are dealt into chunks by
-a hash of id and text;
+No table of the whole model exists anywhere.  Documents are dealt into chunks
+of neighbouring ids;
 each chunk's distinct words and word pairs (as hashes, with their counts in
 training texts) go to groups by hash, where they are added up over the
 corpus; a group answers a chunk with the sums that differ from what the chunk
@@ -284,16 +284,17 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     kappa: float = 200.0,
+    chunk_ids: int = 2048,
     chunk_bytes: int = 7 << 20,
     entries: int = 1_000_000,
 ) -> DataFrame:
     """One row per document row: the id, ``train`` (whether it trained the model),
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
-    Chunks of about ``chunk_bytes`` text bytes are dealt by a hash of id and text.
-    One that holds far more (rows repeated very often, or a very long text) is
-    scored in parts of that size.  ``entries`` is the size aimed at for a group of
-    hashes.
+    ``chunk_ids`` neighbouring ids make a chunk.  One that holds far more than
+    ``chunk_bytes`` of text (a hot or null id, long neighbours) is dealt out by a
+    hash of the text, and what one repeated or very long text still makes too large
+    is scored in parts.  ``entries`` is the size aimed at for a group of hashes.
     """
     spark = documents.sparkSession
     ship_package(spark)
@@ -306,12 +307,25 @@ def score_documents(
     bytes_of = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1
     size = docs.agg(F.coalesce(F.sum(bytes_of), F.lit(0))).first()[0]
     buckets = max(8, -(-int(size) // (8 * entries)))
-    chunks = max(1, -(-int(size) // chunk_bytes))
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
-    # Chunks of more than thrice their size: at most a third as many as there are chunks, and
-    # in practice one for each text that is repeated so often, or so long.
-    sizes = docs.groupBy("chunk").agg(F.sum(bytes_of).alias("bytes")).where(F.col("bytes") > 3 * chunk_bytes)
-    parts = {r.chunk: -(-int(r["bytes"]) // chunk_bytes) for r in sizes.collect()}
+    # Neighbouring ids make a chunk, so that a map task meets few chunks.  One of more than
+    # thrice its size is dealt out by a hash of the text, and what is still too large after
+    # that -- one text, repeated or very long -- is scored in parts.
+    def too_large() -> dict[int, int]:
+        sizes = docs.groupBy("chunk").agg(F.sum(bytes_of).alias("bytes")).where(F.col("bytes") > 3 * chunk_bytes)
+        return {r.chunk: -(-int(r["bytes"]) // chunk_bytes) for r in sizes.collect()}
+
+    def looked_up(found: dict[int, int]) -> Column:
+        known = F.create_map(*[F.lit(v) for pair in found.items() for v in pair])
+        return F.coalesce(F.element_at(known, F.col("chunk")), F.lit(1)).cast("bigint")
+
+    chunk = F.coalesce(F.floor(F.col("id") / chunk_ids), F.lit(-2)).cast("bigint")
+    docs = docs.withColumn("chunk", chunk)
+    dealt, parts = too_large(), {}
+    if dealt:
+        n = looked_up(dealt)
+        spread = F.xxhash64("chunk", F.pmod(F.xxhash64("text"), n))
+        docs = docs.withColumn("chunk", F.when(n > 1, spread).otherwise(F.col("chunk")))
+        parts = too_large()
     large = np.array(sorted(parts), np.int64)
     answers = cut_lineage(
         docs.drop("row")
@@ -329,8 +343,7 @@ def score_documents(
     zero = F.lit(0).cast("bigint")
     part, copies = zero, F.array(zero)
     if parts:
-        known = F.create_map(*[F.lit(v) for pair in parts.items() for v in pair])
-        n = F.coalesce(F.element_at(known, F.col("chunk")), F.lit(1)).cast("bigint")
+        n = looked_up(parts)
         # Any part will do for a row: all parts get the same sums.
         part, copies = F.pmod(F.xxhash64("row"), n), F.sequence(zero, n - 1)
     docs = docs.withColumn("part", part).drop("row")
