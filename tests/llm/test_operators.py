@@ -632,6 +632,30 @@ def test_ngram_join_groups_of_copies(spark):
     assert sorted(rows(small), key=str) == want
 
 
+def test_ngram_join_chance_phrases(spark, monkeypatch):
+    """Full frequency tables: phrases of common words, which unrelated texts share by chance, stay out of the lists."""
+    monkeypatch.setattr(ngram_join, "SKETCH_BITS", 10)
+    monkeypatch.setattr(ngram_join, "WORD_BITS", 10)
+    monkeypatch.setattr(ngram_join, "_SLICE", 256)
+    rng = np.random.default_rng(11)
+
+    def text():
+        return [f"c{rng.integers(5)}" if rng.random() < 0.65 else f"w{rng.integers(3000)}" for _ in range(60)]
+
+    texts = [text() for _ in range(400)]
+    texts += [[*t[:30], "other", *t[31:]] for t in texts[:20]]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    in_lists, unsettled = [], ngram_join._unsettled
+    monkeypatch.setattr(
+        ngram_join,
+        "_unsettled",
+        lambda lists, roots: in_lists.append(lists.select("sig").distinct().count()) or unsettled(lists, roots),
+    )
+    got = ngram_join.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted(rows(got), key=str) == brute_near(data)
+    assert 40 <= in_lists[0] <= 60
+
+
 def test_near_duplicate_stage_decides_by_row(spark):
     near = prose(1, 60).split()
     near = " ".join([*near[:-1], "other"])
