@@ -636,6 +636,21 @@ def test_ngram_join_groups_of_copies(spark):
     assert sorted(rows(small), key=str) == want
 
 
+def test_ngram_join_sets_a_part_at_a_time():
+    """Sets of a group's texts are made a part at a time, not from all texts at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = " ".join(f"w{i}" for i in range(1000))
+    table = pa.table({"sig": pa.array([0] * 600, pa.int64()), "text": [text] * 600})
+    tracemalloc.start()
+    ngram_join._sets(table, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+
+
 def test_ngram_join_chance_phrases(spark, monkeypatch):
     """Full frequency tables: phrases of common words, which unrelated texts share by chance, stay out of the lists."""
     monkeypatch.setattr(ngram_join, "SKETCH_BITS", 10)
