@@ -636,6 +636,40 @@ def test_ngram_join_groups_of_copies(spark):
     assert sorted(rows(small), key=str) == want
 
 
+def test_ngram_join_rules_out_shared_passages(spark, monkeypatch):
+    """Texts that share a passage but are far from linking are ruled out before texts move."""
+    rng = np.random.default_rng(8)
+    data = []
+    for i in range(60):
+        passage = [f"p{i // 6}x{j}" for j in range(60)]
+        data.append((i, " ".join(passage + [f"u{x}" for x in rng.integers(0, 10**9, 140)])))
+    data += [(100 + i, text + " end") for i, text in data[:6]]
+    seen, verify = [], ngram_join._verify
+
+    def watched(pairs, *more):
+        seen.append(pairs.count())
+        return verify(pairs, *more)
+
+    monkeypatch.setattr(ngram_join, "_verify", watched)
+    got = ngram_join.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted(rows(got), key=str) == brute_near(data)
+    assert 6 <= sum(seen) <= 12
+
+
+def test_ngram_join_parities_bound():
+    """Parities differ in no more places than sets differ in shingles; large sets ask for several matches."""
+    rng = np.random.default_rng(9)
+    for n, changed in [(1, 0), (40, 10), (900, 30), (5000, 4000)]:
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        b = np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64) * np.uint64(2) + np.uint64(1)])
+        p, q = ngram_join._parities(a), ngram_join._parities(b)
+        assert len(p) == ngram_join._PARITY_WORDS
+        assert sum(int(x).bit_count() for x in (p ^ q).view(np.uint64)) <= 2 * changed
+    n = np.array([8, 800])
+    k = ngram_join.choose_matches(n, ngram_join.needed_own(n, 75), np.zeros(808), np.array([0, 8, 808]))
+    assert k[0] == 1 and k[1] > 3
+
+
 def test_ngram_join_sets_a_part_at_a_time():
     """Sets of a group's texts are made a part at a time, not from all texts at once."""
     import tracemalloc
