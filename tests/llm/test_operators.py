@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from cellcast.llm import (
     token_count,
     toxicity,
 )
+from cellcast.session import cut_lineage
 from tests.llm.conftest import prose
 
 SF = "/root/testdata/sf0.001"
@@ -836,5 +838,39 @@ def test_line_dedup_odd_rows(odd_docs, no_docs):
     assert cleaned.count() == 0 and summary.count() == 0
 
 
+def test_line_dedup_one_python_worker_a_task(spark, monkeypatch):
+    """However small the wanted rows, the texts are exchanged between the filter and the variants."""
+    plans = {}
+
+    def cut(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr(line_dedup, "cut_lineage", cut)
+    line = prose(1, 12)
+    df = spark.createDataFrame([(i, line + f" w{i}\n" + prose(i + 2, 9)) for i in range(4)], "doc_id long, text string")
+    line_dedup.dedup_lines(df)
+    plan = [(len(x) - len(x.lstrip(" :+-*()0123456789")), x.lstrip(" :+-*()0123456789")) for x in plans["variants"]]
+    maps = [i for i, (_, x) in enumerate(plan) if x.startswith("MapInArrow")]
+    assert len(maps) == 2
+    depth, above = plan[maps[1]][0], []
+    for d, x in reversed(plan[maps[0] : maps[1]]):
+        if d < depth:
+            depth = d
+            above.append(x.split(" ")[0])
+    assert "Exchange" in above
+
+
+def test_line_dedup_takes_a_part_of_the_texts():
+    """Lines of a batch are listed and varied a bounded part of its text at a time."""
+    texts = [prose(i, 14_000) for i in range(40)]
+    size = [len(t) for t in texts]
+    batch = pa.record_batch({"id": pa.array(range(40)), "row": pa.array(range(40)), "text": texts, "lines": [[0]] * 40})
+    for run in (line_dedup._list_lines(8), line_dedup._line_variants):
+        parts = [b.column("id").to_pylist() for b in run(iter([batch]))]
+        assert [i for part in parts for i in part] == list(range(40))
+        assert all(sum(size[i] for i in part) <= 1 << 20 for part in parts)
+
+
 def test_packages_import_without_path():
     assert "cellcast.llm.queries" in sys.modules
